@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -358,7 +359,8 @@ def missing_column(spark, d):
 
 def plan_frame(spark: SparkSession, tests: list[dict[str, str]]) -> DataFrame:
     """A plan from test descriptions; fields that a test lacks are NULL."""
-    return spark.createDataFrame([tuple(t.get(f) for f in PLAN_FIELDS) for t in tests], PLAN_SCHEMA)
+    columns = {f: pa.array([t.get(f) for t in tests], pa.string()) for f in PLAN_FIELDS}
+    return spark.createDataFrame(pa.table(columns), PLAN_SCHEMA)
 
 
 def _test(kind: str, column: str, table_name: str, **more: str) -> dict[str, str]:

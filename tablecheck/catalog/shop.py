@@ -1,8 +1,8 @@
 """Staging models, marts and metrics over the given tables.
 
 The shop's raw inputs are projections of the given tables: customers, orders,
-order items (lineitem), products (part), stores (supplier) and supplies (one per
-product and supplier, costing the quantity sold in cents).
+order items (lineitem), products (part), stores (supplier) and supplies (three
+per product, with a cost that follows from its size).
 """
 
 from __future__ import annotations
@@ -91,15 +91,14 @@ class Shop:
     @cached_property
     def supplies_stg(self) -> DataFrame:
         raw = (
-            self._table("lineitem")
-            .groupBy("l_suppkey", "l_partkey")
-            .agg(F.sum("l_quantity").cast("bigint").alias("cost"))
+            self._table("part")
+            .select("p_partkey", "p_size", F.explode(F.array(*[F.lit(k) for k in (1, 2, 3)])).alias("k"))
             .select(
-                F.concat(F.lit("SUP-"), F.col("l_suppkey").cast("string")).alias("id"),
-                F.concat(F.lit("supply "), F.col("l_suppkey").cast("string")).alias("name"),
-                "cost",
-                (F.col("l_suppkey") % 2 == 0).alias("perishable"),
-                F.col("l_partkey").alias("sku"),
+                F.concat(F.lit("SUP-"), F.col("k").cast("string")).alias("id"),
+                F.concat(F.lit("supply "), F.col("k").cast("string")).alias("name"),
+                (F.col("p_size") * F.col("k")).alias("cost"),
+                (F.col("k") == 2).alias("perishable"),
+                F.col("p_partkey").alias("sku"),
             )
         )
         return staging.stg_supplies(raw)
@@ -136,10 +135,9 @@ FROM (SELECT *, o_orderkey AS id, o_custkey % 10 AS store_id, o_custkey AS custo
   coalesce(p_type = '{FOOD}', false) AS is_food_item, coalesce(p_type = '{DRINK}', false) AS is_drink_item FROM part""",
     "stg_locations": """SELECT s_suppkey AS location_id, s_name AS location_name, s_nationkey / CAST(100 AS DOUBLE) AS tax_rate,
   strftime(TIMESTAMP '2016-09-01 00:00:00' + to_hours(CAST(s_suppkey * 5 AS INTEGER)), '%Y-%m-%d') AS opened_date FROM supplier""",
-    "stg_supplies": f"""SELECT md5('SUP-' || l_suppkey || '-' || l_partkey) AS supply_uuid, 'SUP-' || l_suppkey AS supply_id,
-  l_partkey AS product_id, 'supply ' || l_suppkey AS supply_name,
-  {CENTS.format('CAST(sum(l_quantity) AS BIGINT)')} AS supply_cost, l_suppkey % 2 = 0 AS is_perishable_supply
-FROM lineitem GROUP BY l_suppkey, l_partkey""",
+    "stg_supplies": f"""SELECT md5('SUP-' || k || '-' || p_partkey) AS supply_uuid, 'SUP-' || k AS supply_id,
+  p_partkey AS product_id, 'supply ' || k AS supply_name, {CENTS.format('(p_size * k)')} AS supply_cost,
+  k = 2 AS is_perishable_supply FROM (SELECT *, unnest([1, 2, 3]) AS k FROM part)""",
 }
 STAGES = {
     "stg_customers": "customers_stg",

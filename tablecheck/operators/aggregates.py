@@ -65,25 +65,14 @@ def exact_median(df: DataFrame, keys: list[str], value: Column | str, out: str)
     group = [as_column(k) for k in keys]
     values = df.select(*group, as_column(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
     freq = values.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__n"))
-    # Order-preserving slices of the value range: 4096 per doubling of the value.
-    slices = F.signum("__v") * F.floor(F.log2(1 + F.abs("__v")) * 4096)
-    ranked = running_sum(freq, keys, ["__v"], "__n", "__upto", buckets=[slices])
-    totals = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("__total"))
+    # Order-preserving slices of the value range: by sign, then 4096 per doubling.
+    sign = F.signum("__v")
+    slices = [sign, sign * F.floor(F.log2(F.abs("__v")) * 4096)]
+    ranked = running_sum(freq, keys, ["__v"], "__n", "__upto", buckets=slices, total="__all")
     # A value is in the middle when its rank range covers one of the two middle ranks.
-    low, high = F.floor((F.col("__total") + 1) / 2), F.floor(F.col("__total") / 2) + 1
+    low, high = F.floor((F.col("__all") + 1) / 2), F.floor(F.col("__all") / 2) + 1
     start = F.col("__upto") - F.col("__n") + 1
     covers_low = (start <= low) & (F.col("__upto") >= low)
     covers_high = (start <= high) & (F.col("__upto") >= high)
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & as_column(k).eqNullSafe(F.col(f"__t_{k}"))
-    totals = totals.select(*[as_column(k).alias(f"__t_{k}") for k in keys], "__total")
-    if keys:
-        located = ranked.join(totals, cond)
-    else:
-        located = ranked.withColumn("__total", totals.scalar())
-    return (
-        located.filter(covers_low | covers_high)
-        .groupBy(*keys)
-        .agg(((F.min("__v") + F.max("__v")) / 2).alias(out))
-    )
+    middle = ranked.filter(covers_low | covers_high)
+    return middle.groupBy(*keys).agg(((F.min("__v") + F.max("__v")) / 2).alias(out))

@@ -33,28 +33,25 @@ _SALTS = "__salts"
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Measure whether a side is small enough to broadcast.
 
-    Runs one bounded job: at most ``max_rows + 1`` rows are read, counted, and
-    their variable-length cells summed. A side with a nested column never fits.
+    One aggregation with a one-row result counts the rows and, where there are
+    texts, their bytes; a Parquet scan without texts reads no column for it.
+    A side with a nested column never fits.
     """
-    size: Column = F.lit(0)
-    for field in df.schema.fields:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            size = size + F.coalesce(F.octet_length(as_column(field.name)), F.lit(0)) + F.lit(16)
-        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            return False
-        else:
-            size = size + F.lit(16)
-    probe = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size.cast("bigint")), F.lit(0)).alias("bytes")
-    )
-    row = probe.first()
-    return row["n"] <= max_rows and row["bytes"] <= max_bytes
+    fields = df.schema.fields
+    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) for f in fields):
+        return False
+    texts = [as_column(f.name) for f in fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    cells = [F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint") for c in texts]
+    size = F.coalesce(F.sum(reduce(operator.add, cells)), F.lit(0)) if cells else F.lit(0)
+    row = df.agg(F.count(F.lit(1)).alias("n"), size.alias("bytes")).first()
+    return row["n"] <= max_rows and row["bytes"] + 16 * len(fields) * row["n"] <= max_bytes
 
 
 def key_counts(df: DataFrame, on: list[str]) -> DataFrame:
     """Rows per non-NULL key, as columns ``on`` and ``n``; combined map-side."""
     keys = [as_column(c) for c in on]
-    return df.select(*keys).dropna(how="any").groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    present = reduce(operator.and_, [c.isNotNull() for c in keys])
+    return df.filter(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
 def hot_keys(
@@ -120,6 +117,7 @@ def join_dimension(
     on: list[str],
     how: str = "left",
     salt_on: list[str] | None = None,
+    count_on: DataFrame | None = None,
     max_rows: int = BROADCAST_ROWS,
     share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
@@ -127,19 +125,26 @@ def join_dimension(
     """Join every fact row with a smaller side (left, inner, semi or anti).
 
     A side whose measured size fits is broadcast and the fact is not shuffled;
-    a larger one is joined by shuffle with the hot keys salted.
+    a larger one is joined by shuffle with the hot keys salted. Hot keys are
+    looked for in ``count_on``, for a fact that is expensive to compute.
     """
     if fits_broadcast(dim, max_rows=max_rows):
         return fact.join(F.broadcast(dim), on, how)
-    hot = hot_keys(fact, on, share=share, min_rows=min_rows)
+    hot = hot_keys(fact if count_on is None else count_on, on, share=share, min_rows=min_rows)
     return salted_join(fact, dim, on, how, hot, salt_on)
 
 
-def enrich(fact: DataFrame, dims: list[tuple[DataFrame, list[str]]], salt_on: list[str] | None = None) -> DataFrame:
-    """Left-join several dimensions to a fact, one after another."""
+def enrich(
+    fact: DataFrame, dims: list[tuple[DataFrame, list[str]]], salt_on: list[str] | None = None, **limits
+) -> DataFrame:
+    """Left-join several dimensions to a fact, one after another.
+
+    Hot keys are counted on the bare fact, so no join runs twice.
+    """
+    joined = fact
     for dim, on in dims:
-        fact = join_dimension(fact, dim, on, "left", salt_on)
-    return fact
+        joined = join_dimension(joined, dim, on, "left", salt_on, count_on=fact, **limits)
+    return joined
 
 
 def key_match(child: DataFrame, parent: DataFrame, col: str, col2: str) -> DataFrame:
@@ -170,7 +175,7 @@ def orphans(
     child: DataFrame, parent: DataFrame, col: str, col2: str, salt_on: list[str] | None = None, **limits
 ) -> DataFrame:
     """Child rows with a non-NULL key that the parent does not have (anti-join)."""
-    parent_keys = parent.select(as_column(col2).alias(col)).dropna().distinct()
+    parent_keys = parent.filter(as_column(col2).isNotNull()).select(as_column(col2).alias(col)).distinct()
     keyed = child.filter(as_column(col).isNotNull())
     return join_dimension(keyed, parent_keys, [col], "left_anti", salt_on, **limits)
 

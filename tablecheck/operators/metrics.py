@@ -165,16 +165,26 @@ def _failed(df: DataFrame, m: Metric, message: str) -> DataFrame:
     return one.select(*_labels(m), F.lit(None).cast("double").alias("value"), F.lit(message).alias("message"))
 
 
-def _problem(df: DataFrame, m: Metric) -> str | None:
-    """Why a metric cannot be planned on this table, found without running a job."""
+def _planned(df: DataFrame, metrics: list[Metric]) -> list[DataFrame | str | None]:
+    """Per metric its own frame, None for a single-scan one, or why it has no plan.
+
+    Analyzes the metrics and compiles their patterns without running a job: a
+    pattern match on a literal is folded by the optimizer and reads nothing.
+    """
     try:
-        if m.pattern is not None:
-            # Constant-folded by the optimizer: compiles the pattern, reads nothing.
-            df.sparkSession.sql("SELECT '' RLIKE :p AS ok", args={"p": m.pattern}).collect()
-        (df.agg(m.value) if m.frame is None else m.frame(df)).schema  # noqa: B018
+        patterns = [m.pattern for m in metrics if m.pattern is not None]
+        if patterns:
+            df.sparkSession.sql("SELECT " + ", ".join(["'' RLIKE ?"] * len(patterns)), args=patterns).collect()
+        scans = [m.value for m in metrics if m.frame is None]
+        if scans:
+            df.agg(*scans).schema  # noqa: B018
+        return [None if m.frame is None else m.frame(df) for m in metrics]
     except (AnalysisException, SparkRuntimeException) as e:
-        return str(e).split("\n", 1)[0]
-    return None
+        if len(metrics) == 1:
+            return [str(e).split("\n", 1)[0]]
+    # Halving finds a few broken metrics among many without planning each alone.
+    half = len(metrics) // 2
+    return _planned(df, metrics[:half]) + _planned(df, metrics[half:])
 
 
 def run_metrics(df: DataFrame, metrics: list[Metric]) -> DataFrame:
@@ -184,19 +194,18 @@ def run_metrics(df: DataFrame, metrics: list[Metric]) -> DataFrame:
     planned (unknown column, broken expression) gives a row with a NULL value
     and a message, and so does one without rows to measure; the others run.
     """
-    failed, scans, shuffled = [], [], []
-    for m in metrics:
-        problem = _problem(df, m)
-        if problem is not None:
-            failed.append(_failed(df, m, problem))
-        else:
-            (scans if m.frame is None else shuffled).append(m)
     message = F.when(F.col("value").isNull(), F.lit(EMPTY_INPUT)).alias("message")
-    frames = []
+    scans, frames = [], []
+    for m, planned in zip(metrics, _planned(df, metrics), strict=True):
+        if planned is None:
+            scans.append(m)
+        elif isinstance(planned, str):
+            frames.append(_failed(df, m, planned))
+        else:
+            value = F.col("value").cast("double").alias("value")
+            frames.append(planned.select(*_labels(m), value).select("*", message))
     if scans:
         row = df.agg(*[m.value.cast("double").alias(f"m{i}") for i, m in enumerate(scans)])
         rows = F.array(*[F.struct(*_labels(m), F.col(f"m{i}").alias("value")) for i, m in enumerate(scans)])
-        frames.append(row.select(F.inline(rows)).select("*", message))
-    for m in shuffled:
-        frames.append(m.frame(df).select(*_labels(m), F.col("value").cast("double").alias("value")).select("*", message))
-    return union_frames(frames + failed)
+        frames.insert(0, row.select(F.inline(rows)).select("*", message))
+    return union_frames(frames)

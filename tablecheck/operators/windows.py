@@ -11,19 +11,24 @@ from .joins import hot_keys
 
 
 _CELL = "__cell"
+_TOTAL = "__total"
 
 
 def _shift_by_earlier_cells(cells: DataFrame, partition: list[str], size: Column, local: DataFrame, out: str) -> DataFrame:
     """Add to ``__local`` the total size of the earlier cells of the partition.
 
-    ``__cell`` is a struct of the partition keys and the bucket values: it is
+    ``__total`` is the size of the whole partition. ``__cell`` is a struct of the partition keys and the bucket values: it is
     never NULL, NULL fields compare equal, and because the rows are already
     hash-partitioned and sorted by it, this join does not move them again.
     """
     sizes = cells.groupBy(_CELL).agg(size.alias("__size"))
     keys = [F.col(f"{_CELL}.p{i}") for i in range(len(partition))]
     before = Window.partitionBy(*keys).orderBy(_CELL).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(_CELL, F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"))
+    offsets = sizes.select(
+        _CELL,
+        F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"),
+        F.sum("__size").over(Window.partitionBy(*keys)).alias(_TOTAL),
+    )
     joined = local.join(offsets, _CELL, "left")
     return joined.withColumn(out, F.col("__local") + F.coalesce(F.col("__offset"), F.lit(0)))
 
@@ -59,7 +64,7 @@ def ordinal(
     w = Window.partitionBy(_CELL).orderBy(*[as_column(o) for o in order])
     numbered = celled.withColumn("__local", F.row_number().over(w))
     shifted = _shift_by_earlier_cells(celled.filter(split), [partition], F.count(F.lit(1)), numbered, out)
-    return shifted.select(*[as_column(c) for c in df.columns], F.col(out).cast("int").alias(out))
+    return shifted.select(*[as_column(c) for c in df.columns], F.col(out).cast("bigint").alias(out))
 
 
 def running_sum(
@@ -69,9 +74,12 @@ def running_sum(
     value: str,
     out: str,
     buckets: list[Column | str] | None = None,
+    total: str | None = None,
 ) -> DataFrame:
     """Running total of ``value`` over ``partition`` by ``order``.
 
+    ``total`` names a further column for the total of the whole partition.
+
     With ``buckets`` (coarser than, and sorted like, a prefix of ``order``) each
     bucket is summed on its own and shifted by the total of the earlier ones, so
     that no task needs a whole partition. Without, use it on aggregated series.
@@ -80,12 +88,16 @@ def running_sum(
     by = [as_column(o) for o in order]
     if not buckets:
         w = Window.partitionBy(*keys).orderBy(*by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumn(out, F.sum(as_column(value)).over(w))
+        summed = df.withColumn(out, F.sum(as_column(value)).over(w))
+        if total is not None:
+            summed = summed.withColumn(total, F.sum(as_column(value)).over(Window.partitionBy(*keys)))
+        return summed
     celled = df.withColumn(_CELL, _cell(partition, [as_column(b) for b in buckets]))
     w = Window.partitionBy(_CELL).orderBy(*by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = celled.withColumn("__local", F.sum(as_column(value)).over(w))
     shifted = _shift_by_earlier_cells(celled, partition, F.sum(as_column(value)), local, out)
-    return shifted.select(*[as_column(c) for c in df.columns], F.col(out))
+    extra = [] if total is None else [F.col(_TOTAL).alias(total)]
+    return shifted.select(*[as_column(c) for c in df.columns], F.col(out), *extra)
 
 
 def cumulative(series: DataFrame, day: str, value: str, out: str, keys: list[str] | None = None) -> DataFrame:
