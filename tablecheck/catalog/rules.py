@@ -221,7 +221,7 @@ UNION ALL SELECT 'orders', 'pk(o_orderkey)', (SELECT count(*) FROM (SELECT o_ord
 UNION ALL SELECT 'orders', 'fk(o_custkey)', count(*) FILTER (WHERE o_custkey NOT IN (SELECT c_custkey FROM c WHERE segment IS NOT NULL)) FROM o
 UNION ALL SELECT 'customer', 'max_length(segment,8)', count(*) FILTER (WHERE length(segment) > 8) FROM c
 UNION ALL SELECT 'customer', 'unique(segment)', (SELECT count(*) FROM (SELECT segment FROM c WHERE segment IS NOT NULL GROUP BY 1 HAVING count(*) > 1))
-UNION ALL SELECT 'customer', 'pk(segment,c_nationkey)', (SELECT sum(CASE WHEN segment IS NULL THEN n WHEN n > 1 THEN 1 ELSE 0 END)
+UNION ALL SELECT 'customer', 'pk(segment,c_nationkey)', (SELECT CAST(sum(CASE WHEN segment IS NULL THEN n WHEN n > 1 THEN 1 ELSE 0 END) AS BIGINT)
   FROM (SELECT segment, c_nationkey, count(*) AS n FROM c GROUP BY 1, 2))""",
 )
 def constraints(spark, d):

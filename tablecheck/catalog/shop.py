@@ -279,7 +279,7 @@ def order_ordinal(spark, d):
 
 @query(
     "order_ordinal_split",
-    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, row_number() OVER (PARTITION BY l_returnflag
+    """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, row_number() OVER (PARTITION BY l_returnflag
   ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS number FROM lineitem""",
 )
 def order_ordinal_split(spark, d):

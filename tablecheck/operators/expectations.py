@@ -117,8 +117,9 @@ def duplicated_rows(
     key = "__key"
     c = as_column(col)
     keyed = df.withColumn(key, F.sha2(c, 256) if digest and dict(df.dtypes)[col] == "string" else c)
-    repeated = frequencies(keyed, [key]).filter((F.col("n") > 1) & F.col(key).isNotNull())
-    return rows_in(keyed, repeated, [key], salt_on, **limits).drop(key)
+    counts = frequencies(keyed.filter(F.col(key).isNotNull()), [key])
+    repeated = counts.filter(F.col("n") > 1)
+    return rows_in(keyed, repeated, [key], salt_on, counts=counts, **limits).drop(key)
 
 
 def violations(

@@ -63,12 +63,13 @@ def hot_keys(
 ) -> DataFrame:
     """Keys with more than ``max(min_rows, share * rows)`` rows and their salt count.
 
-    At most ``1 / share`` keys can qualify, and because a key gets one salt per
-    such portion of rows, all salts together stay below ``2 / share``: the result
-    has a proven bound and may be broadcast.
+    ``counts`` are the rows per key, if already at hand. At most ``1 / share``
+    keys can qualify, and because a key gets one salt per such portion of rows,
+    all salts together stay below ``2 / share``: the result has a proven bound
+    and may be broadcast.
     """
     counts = key_counts(df, on) if counts is None else counts
-    total = df.select(F.count(F.lit(1)).alias("total")).scalar()
+    total = counts.agg(F.sum("n")).scalar()
     portion = F.greatest(F.lit(float(min_rows)), total.cast("double") * F.lit(share))
     return counts.filter(F.col("n") > portion).select(
         *[as_column(c) for c in on], F.ceil(F.col("n") / portion).cast("int").alias(_SALTS)
@@ -117,7 +118,7 @@ def join_dimension(
     on: list[str],
     how: str = "left",
     salt_on: list[str] | None = None,
-    count_on: DataFrame | None = None,
+    counts: DataFrame | None = None,
     max_rows: int = BROADCAST_ROWS,
     share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
@@ -125,13 +126,13 @@ def join_dimension(
     """Join every fact row with a smaller side (left, inner, semi or anti).
 
     A side whose measured size fits is broadcast and the fact is not shuffled;
-    a larger one is joined by shuffle with the hot keys salted. Hot keys are
-    looked for in ``count_on``, for a fact that is expensive to compute.
+    a larger one is joined by shuffle with the hot keys salted. ``counts`` gives
+    the fact's rows per key (see :func:`key_counts`) where they are known or
+    cheaper to get than from the fact itself.
     """
     if fits_broadcast(dim, max_rows=max_rows):
         return fact.join(F.broadcast(dim), on, how)
-    hot = hot_keys(fact if count_on is None else count_on, on, share=share, min_rows=min_rows)
-    return salted_join(fact, dim, on, how, hot, salt_on)
+    return salted_join(fact, dim, on, how, hot_keys(fact, on, counts, share, min_rows), salt_on)
 
 
 def enrich(
@@ -143,7 +144,7 @@ def enrich(
     """
     joined = fact
     for dim, on in dims:
-        joined = join_dimension(joined, dim, on, "left", salt_on, count_on=fact, **limits)
+        joined = join_dimension(joined, dim, on, "left", salt_on, key_counts(fact, on), **limits)
     return joined
 
 
