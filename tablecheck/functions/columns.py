@@ -76,16 +76,22 @@ def as_text(c: Column | str) -> Column:
     return as_column(c).cast("string")
 
 
+def _slash(text: Column, parsed: Column) -> Column:
+    """Parse only texts with a slash: a failing parse is slow, the rest cannot fit."""
+    return F.when(text.contains("/"), parsed)
+
+
 def parse_date(c: Column | str) -> Column:
     """Date from ``dd/MM/yyyy`` text or anything castable; NULL if neither fits."""
     col = as_column(c)
-    return F.coalesce(F.try_to_date(col.cast("string"), DATE_FORMAT_SLASH), col.try_cast("date"))
+    text = col.cast("string")
+    return F.coalesce(_slash(text, F.try_to_date(text, DATE_FORMAT_SLASH)), col.try_cast("date"))
 
 
 def parse_ts(c: Column | str) -> Column:
     """Timestamp from ``dd/MM/yyyy HH:mm:ss`` text or anything castable."""
     col = as_column(c)
+    text = col.cast("string")
     return F.coalesce(
-        F.try_to_timestamp(col.cast("string"), F.lit(TIMESTAMP_FORMAT_SLASH)),
-        col.try_cast("timestamp"),
+        _slash(text, F.try_to_timestamp(text, F.lit(TIMESTAMP_FORMAT_SLASH))), col.try_cast("timestamp")
     )

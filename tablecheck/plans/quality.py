@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import as_column, indicator, parse_date, parse_ts, pct, run_stamp
 from ..operators import metrics as m
 from ..operators.windows import union_frames
+from ..sources.jdbc import JdbcPartition, read_jdbc
 from ..sources.results import INDICATOR, PERCENT, STAMP, VALUE
 
 # Test types, their subtypes and the order of the name parts.
@@ -46,6 +47,29 @@ NAME_PARTS = {
 TableResolver = Callable[[str | None, str], DataFrame]
 
 
+def frames_resolver(frames: dict[str, DataFrame]) -> TableResolver:
+    """Tables of a plan given as DataFrames by name, whatever their schema."""
+    return lambda _schema, name: frames[name]
+
+
+def jdbc_resolver(
+    spark: SparkSession,
+    dialect: str,
+    host: str,
+    database: str,
+    user: str,
+    password: str,
+    partitions: dict[str, JdbcPartition] | None = None,
+) -> TableResolver:
+    """Tables of a plan read from a database, those in ``partitions`` in parallel."""
+
+    def resolve(schema: str | None, name: str) -> DataFrame:
+        full = name if schema is None else f"{schema}.{name}"
+        return read_jdbc(spark, dialect, host, database, full, user, password, (partitions or {}).get(name))
+
+    return resolve
+
+
 def _blank(name: str) -> Column:
     return F.coalesce(F.trim(as_column(name)) == "", F.lit(True))
 

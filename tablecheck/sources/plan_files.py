@@ -39,8 +39,10 @@ def load_plan(spark: SparkSession, path: str) -> DataFrame:
 def save_plan(plan: DataFrame, path: str) -> None:
     """Write a plan as one pretty-printed JSON array that :func:`load_plan` reads.
 
-    A plan is a few rows and must stay one array, hence one task and one file.
+    A plan is a few rows and must stay one array in its order, hence one file.
     """
     fields = [F.col(c) for c in PLAN_FIELDS if c in plan.columns]
-    array = F.to_json(F.collect_list(F.struct(*fields)), {"pretty": "true"})
-    plan.agg(array.alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    tests = plan.select(F.monotonically_increasing_id().alias("i"), F.struct(*fields).alias("test"))
+    ordered = tests.agg(F.array_sort(F.collect_list(F.struct("i", "test"))).alias("tests"))
+    array = F.to_json(F.col("tests.test"), {"pretty": "true"})
+    ordered.select(array.alias("value")).coalesce(1).write.mode("overwrite").text(path)

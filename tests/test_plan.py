@@ -135,3 +135,23 @@ def test_report(members):
     rows = {(r["source"], r["name"]): r["percent"] for r in q.report(metrics, checks).collect()}
     # A minimum is not a ratio and has no percentage.
     assert rows == {("analysis", "Completeness"): "54%", ("analysis", "Minimum"): None, ("check", "Compliance"): "90%"}
+
+
+def test_frames_resolver(spark, members):
+    rows = run(spark, [case(q.COMPLETENESS, "postcode"), case(q.COMPLETENESS, "id", "other")], q.frames_resolver({"members": members}))
+    assert rows["Completitud_members_postcode"] == (6 / 11, None)
+    assert rows["Completitud_other_id"][0] is None
+
+
+def test_jdbc_resolver_names_the_table(spark, members, monkeypatch):
+    calls = []
+
+    def read(_spark, dialect, host, database, table, user, password, partition=None):
+        calls.append((dialect, table, partition))
+        return members
+
+    monkeypatch.setattr(q, "read_jdbc", read)
+    part = q.JdbcPartition("id", 1, 11, 4)
+    resolve = q.jdbc_resolver(spark, "mysql", "db", "shop", "u", "p", {"members": part})
+    run(spark, [case(q.COMPLETENESS, "id"), case(q.COMPLETENESS, "id", "small")], resolve)
+    assert calls == [("mysql", "s.members", part), ("mysql", "s.small", None)]
