@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import constraints as c
 from ..operators import data_tests as dt
 from ..operators import expectations as e
-from ..operators.joins import orphan_keys, rows_in
+from ..operators.joins import join_dimension, orphan_keys, rows_in
 from ..operators.windows import union_frames
 from .data import portable, query, table
 from .quality import CUSTOMERS_SQL, ORDERS_SQL, _customers, _orders
@@ -175,6 +175,34 @@ def semi_joined_rows(spark, d):
     return rows_in(items, urgent, ["l_orderkey"], salt_on=["l_partkey", "l_suppkey"])
 
 
+@query(
+    "duplicates_hot_values",
+    """SELECT event_id, user_id FROM events
+WHERE user_id IN (SELECT user_id FROM events GROUP BY 1 HAVING count(*) > 1)""",
+)
+def duplicates_hot_values(spark, d):
+    """Repeated values joined back by shuffle, values with many rows split."""
+    events = table(spark, d, "events").select("event_id", "user_id")
+    return e.duplicated_rows(events, "user_id", ["event_id"], max_rows=0, min_rows=50)
+
+
+@query(
+    "join_hot_keys",
+    """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, p_name, p_size > 25 AS is_big
+FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_type <> 'LARGE') ON l_partkey = p_partkey""",
+)
+def join_hot_keys(spark, d):
+    """A dimension joined by shuffle as if too large to broadcast, hot keys salted."""
+    items = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    parts = (
+        table(spark, d, "part")
+        .filter("p_type <> 'LARGE'")
+        .select(F.col("p_partkey").alias("l_partkey"), "p_name", (F.col("p_size") > 25).alias("is_big"))
+    )
+    joined = join_dimension(items, parts, ["l_partkey"], "left", ["l_orderkey"], max_rows=0, min_rows=30)
+    return portable(joined)
+
+
 @query(
     "test_accepted_values",
     f"SELECT status, count(*) AS n FROM {ORDERS_SQL} WHERE status NOT IN ('O') GROUP BY 1",

@@ -64,7 +64,7 @@ def exact_median(df: DataFrame, keys: list[str], value: Column | str, out: str)
     """
     group = [as_column(k) for k in keys]
     values = df.select(*group, as_column(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
-    freq = values.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__n"))
+    freq = values.groupBy(*group, "__v").agg(F.count(F.lit(1)).alias("__n"))
     # Order-preserving slices of the value range: by sign, then 4096 per doubling.
     sign = F.signum("__v")
     slices = [sign, sign * F.floor(F.log2(F.abs("__v")) * 4096)]
@@ -75,4 +75,4 @@ def exact_median(df: DataFrame, keys: list[str], value: Column | str, out: str)
     covers_low = (start <= low) & (F.col("__upto") >= low)
     covers_high = (start <= high) & (F.col("__upto") >= high)
     middle = ranked.filter(covers_low | covers_high)
-    return middle.groupBy(*keys).agg(((F.min("__v") + F.max("__v")) / 2).alias(out))
+    return middle.groupBy(*group).agg(((F.min("__v") + F.max("__v")) / 2).alias(out))

@@ -147,7 +147,7 @@ def violations(
         frames.append(df.select(*keys, F.inline(found)))
     for e in expectations:
         if e.unexpected is None:
-            narrow = df.select(*dict.fromkeys([*key_cols, e.column]))
+            narrow = df.select(*[as_column(c) for c in dict.fromkeys([*key_cols, e.column])])
             dup = duplicated_rows(narrow, e.column, salt_on=key_cols, digest=digest, **limits)
             frames.append(dup.select(*keys, F.lit(e.rule).alias("rule"), as_column(e.column).cast("string").alias("value")))
     return union_frames(frames)

@@ -12,7 +12,7 @@ from __future__ import annotations
 import operator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -205,7 +205,9 @@ def combine_metrics(left: DataFrame, right: DataFrame, on: list[str]) -> DataFra
     return left.join(r, cond, "full_outer").select(*keys, *rest)
 
 
-def offset_join(series: DataFrame, day: str, value: str, out: str, months: int = 1, keys: list[str] | None = None) -> DataFrame:
+def offset_join(
+    series: DataFrame, day: str, value: str, out: str, months: int = 1, keys: list[str] | None = None
+) -> DataFrame:
     """Attach the value of ``months`` earlier to every row of an aggregated series.
 
     The month step clamps at month ends (31 March looks at 28 or 29 February).

@@ -50,6 +50,7 @@ def orders(stg_orders: DataFrame, items: DataFrame, **limits) -> DataFrame:
     An order without items keeps NULL counts and flags. Orders of one day are
     numbered by order id. The number depends on the staged orders only, so it is
     computed before the join, where counting hot customers is a narrow scan.
+    ``limits`` go to :func:`~tablecheck.operators.windows.ordinal`.
     """
     numbered = ordinal(stg_orders, "customer_id", ["ordered_at", "order_id"], "customer_order_number", **limits)
     joined = join_summary(numbered, order_items_summary(items), "order_id")

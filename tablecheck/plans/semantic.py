@@ -215,16 +215,18 @@ class MetricCatalog:
             prev = f"__prev_{name}"
             frame = self._offset(frame, metric.metric, prev, metric.offset_months, names)
             return frame.withColumn(name, growth_pct(metric.metric, prev)).drop(prev)
-        taken = []
-        for alias, source in metric.inputs.items():
+        sources = {}
+        for i, (alias, source) in enumerate(metric.inputs.items()):
             frame = self._add(frame, source.metric, names)
+            sources[alias] = source.metric
             if source.offset_months:
-                frame = self._offset(frame, source.metric, alias, source.offset_months, names)
-                taken.append(alias)
-            elif alias != source.metric:
-                frame = frame.withColumn(alias, as_column(source.metric))
-                taken.append(alias)
-        return frame.withColumn(name, F.expr(metric.expr)).drop(*taken)
+                sources[alias] = f"__{name}_{i}"
+                frame = self._offset(frame, source.metric, sources[alias], source.offset_months, names)
+        # The expression sees only its inputs, so an alias may equal another metric's name.
+        kept = {f"__k{i}": c for i, c in enumerate(frame.columns)}
+        inputs = [as_column(c).alias(alias) for alias, c in sources.items()]
+        scope = frame.select(*[as_column(c).alias(k) for k, c in kept.items()], *inputs)
+        return scope.select(*[F.col(k).alias(c) for k, c in kept.items()], F.expr(metric.expr).alias(name))
 
     @staticmethod
     def _offset(frame: DataFrame, metric: str, out: str, months: int, names: list[str]) -> DataFrame:

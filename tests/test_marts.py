@@ -191,6 +191,14 @@ def test_cumulative_and_totals(catalog):
     assert tuple(total) == (D("52.00"), D("52.00"), 4)
 
 
+def test_derived_inputs_do_not_hide_other_metrics(catalog):
+    row = catalog.query_metrics(["orders", "average_order_value", "order_gross_profit"], []).first()
+    assert row["orders"] == 4
+    assert row["average_order_value"] == pytest.approx(42 / 4)
+    # Cost of o1, o2 and o3; the item of the unknown order counts in the revenue only.
+    assert row["order_gross_profit"] == D("52.00") - (D("13.00") + D("8.50") + D("9.07"))
+
+
 def test_entities_and_averages(catalog):
     rows = {r["location"]: r for r in catalog.query_metrics(["order_total", "orders"], [Key("location")]).collect()}
     assert (rows["s1"]["order_total"], rows["s1"]["orders"]) == (D("22.26"), 2)
