@@ -172,7 +172,7 @@ WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-UR
 def semi_joined_rows(spark, d):
     urgent = table(spark, d, "orders").filter("o_orderpriority = '1-URGENT'").select(F.col("o_orderkey").alias("l_orderkey"))
     items = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return rows_in(items, urgent, ["l_orderkey"], salt_on=["l_partkey", "l_suppkey"])
+    return rows_in(items, urgent, ["l_orderkey"])
 
 
 @query(
@@ -183,7 +183,7 @@ WHERE user_id IN (SELECT user_id FROM events GROUP BY 1 HAVING count(*) > 1)""",
 def duplicates_hot_values(spark, d):
     """Repeated values joined back by shuffle, values with many rows split."""
     events = table(spark, d, "events").select("event_id", "user_id")
-    return e.duplicated_rows(events, "user_id", ["event_id"], max_rows=0, min_rows=50)
+    return e.duplicated_rows(events, "user_id", max_rows=0, min_rows=50)
 
 
 @query(

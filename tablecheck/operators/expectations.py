@@ -106,9 +106,7 @@ def summarize(df: DataFrame, expectations: list[Expectation], digest: bool = Fal
     return union_frames(frames)
 
 
-def duplicated_rows(
-    df: DataFrame, col: str, salt_on: list[str] | None = None, digest: bool = False, **limits
-) -> DataFrame:
+def duplicated_rows(df: DataFrame, col: str, digest: bool = False, **limits) -> DataFrame:
     """Every row whose non-NULL value occurs more than once.
 
     Only the values that repeat are joined back, and hot ones are split. With
@@ -119,7 +117,7 @@ def duplicated_rows(
     keyed = df.withColumn(key, F.sha2(c, 256) if digest and dict(df.dtypes)[col] == "string" else c)
     counts = frequencies(keyed.filter(F.col(key).isNotNull()), [key])
     repeated = counts.filter(F.col("n") > 1)
-    return rows_in(keyed, repeated, [key], salt_on, counts=counts, **limits).drop(key)
+    return rows_in(keyed, repeated, [key], counts=counts, **limits).drop(key)
 
 
 def violations(
@@ -148,7 +146,7 @@ def violations(
     for e in expectations:
         if e.unexpected is None:
             narrow = df.select(*[as_column(c) for c in dict.fromkeys([*key_cols, e.column])])
-            dup = duplicated_rows(narrow, e.column, salt_on=key_cols, digest=digest, **limits)
+            dup = duplicated_rows(narrow, e.column, digest, **limits)
             frames.append(dup.select(*keys, F.lit(e.rule).alias("rule"), as_column(e.column).cast("string").alias("value")))
     return union_frames(frames)
 

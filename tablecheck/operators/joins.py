@@ -112,6 +112,30 @@ def salted_join(
     return joined.select(*[as_column(c) for c in [*left.columns, *extra]])
 
 
+def split_join(left: DataFrame, right: DataFrame, on: list[str], how: str, hot: DataFrame) -> DataFrame:
+    """Equi-join (left, left_semi or left_anti) with a side that has one row per key.
+
+    Rows of normal keys meet ``right`` on the partitioning it already has. Rows
+    of hot keys are not shuffled: ``right`` has one row for each of those keys, a
+    bounded set that is broadcast. Rows without a key match nothing. Where no key
+    is hot, adaptive execution drops that branch without reading for it.
+    """
+    assert how in {"left", "left_semi", "left_anti"}, how
+    keys = F.broadcast(hot.select(*[as_column(c) for c in on]))
+    present = reduce(operator.and_, [as_column(c).isNotNull() for c in on])
+    cold = left.filter(present).join(keys, on, "left_anti").join(right, on, how)
+    hot_right = right.join(keys, on, "left_semi")
+    if how != "left":
+        # Only membership counts here, so repeated keys may be dropped.
+        hot_right = hot_right.select(*[as_column(c) for c in on]).distinct()
+    joined = cold.unionByName(left.join(keys, on, "left_semi").join(F.broadcast(hot_right), on, how))
+    if how == "left_semi":
+        return joined.select(*[as_column(c) for c in left.columns])
+    extra = [] if how == "left_anti" else [f for f in right.schema.fields if f.name not in on]
+    without = left.filter(~present).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
+    return joined.unionByName(without).select(*[as_column(c) for c in [*left.columns, *[f.name for f in extra]]])
+
+
 def join_dimension(
     fact: DataFrame,
     dim: DataFrame,
@@ -122,17 +146,20 @@ def join_dimension(
     max_rows: int = BROADCAST_ROWS,
     share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
+    unique: bool = False,
 ) -> DataFrame:
     """Join every fact row with a smaller side (left, inner, semi or anti).
 
-    A side whose measured size fits is broadcast and the fact is not shuffled;
-    a larger one is joined by shuffle with the hot keys salted. ``counts`` gives
-    the fact's rows per key (see :func:`key_counts`) where they are known or
-    cheaper to get than from the fact itself.
+    A side whose measured size fits is broadcast and the fact is not shuffled. A
+    larger one is joined by shuffle with the hot keys salted or, if it has one
+    row per key by construction (``unique``), split off. ``counts`` gives the
+    fact's rows per key (see :func:`key_counts`) where they are known or cheaper
+    to get than from the fact itself.
     """
     if fits_broadcast(dim, max_rows=max_rows):
         return fact.join(F.broadcast(dim), on, how)
-    return salted_join(fact, dim, on, how, hot_keys(fact, on, counts, share, min_rows), salt_on)
+    hot = hot_keys(fact, on, counts, share, min_rows)
+    return split_join(fact, dim, on, how, hot) if unique else salted_join(fact, dim, on, how, hot, salt_on)
 
 
 def enrich(
@@ -167,27 +194,21 @@ def orphan_keys(child: DataFrame, parent: DataFrame, col: str, col2: str) -> Dat
     return key_match(child, parent, col, col2).filter(F.col("key").isNotNull() & ~F.col("matched")).select("key", "n")
 
 
-def rows_in(df: DataFrame, keys: DataFrame, on: list[str], salt_on: list[str] | None = None, **limits) -> DataFrame:
+def rows_in(df: DataFrame, keys: DataFrame, on: list[str], **limits) -> DataFrame:
     """Rows whose key is in ``keys`` (semi-join); ``limits`` as in :func:`join_dimension`."""
-    return join_dimension(df, keys.select(*[as_column(c) for c in on]), on, "left_semi", salt_on, **limits)
+    return join_dimension(df, keys.select(*[as_column(c) for c in on]), on, "left_semi", unique=True, **limits)
 
 
-def orphans(
-    child: DataFrame, parent: DataFrame, col: str, col2: str, salt_on: list[str] | None = None, **limits
-) -> DataFrame:
+def orphans(child: DataFrame, parent: DataFrame, col: str, col2: str, **limits) -> DataFrame:
     """Child rows with a non-NULL key that the parent does not have (anti-join)."""
     parent_keys = parent.filter(as_column(col2).isNotNull()).select(as_column(col2).alias(col)).distinct()
     keyed = child.filter(as_column(col).isNotNull())
-    return join_dimension(keyed, parent_keys, [col], "left_anti", salt_on, **limits)
-
+    return join_dimension(keyed, parent_keys, [col], "left_anti", unique=True, **limits)
 
-def join_summary(df: DataFrame, summary: DataFrame, key: str) -> DataFrame:
-    """Left-join an aggregate that has one row per key.
 
-    Meant for a left side that is itself keyed by ``key`` (an entity and the
-    summary of its facts), so neither side has a hot key.
-    """
-    return df.join(summary, key, "left")
+def join_summary(df: DataFrame, summary: DataFrame, key: str, **limits) -> DataFrame:
+    """Left-join an aggregate that has one row per key; ``limits`` as in :func:`hot_keys`."""
+    return split_join(df, summary, [key], "left", hot_keys(df, [key], **limits))
 
 
 def combine_metrics(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:

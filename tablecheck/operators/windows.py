@@ -44,6 +44,7 @@ def ordinal(
     order: list[str],
     out: str,
     buckets: list[Column | str] | None = None,
+    cells_from: DataFrame | None = None,
     **limits,
 ) -> DataFrame:
     """``row_number`` over ``partition`` by ``order`` (end it with a unique tie-break).
@@ -52,18 +53,24 @@ def ordinal(
     default the values of the first order column: rows are numbered inside their
     bucket and shifted by the size of the earlier buckets of that partition.
     ``buckets`` must be coarser than, and sorted like, a prefix of ``order``.
-    Partitions of normal size stay in one bucket. ``limits`` as in
+    Partitions of normal size stay in one bucket. ``cells_from`` is a frame with
+    the same rows that is cheaper to count than ``df``. ``limits`` as in
     :func:`~tablecheck.operators.joins.hot_keys`.
     """
     cuts = [as_column(b) for b in (buckets or order[:1])]
-    hot = hot_keys(df, [partition], **limits)
+    source = df if cells_from is None else cells_from
+    hot = hot_keys(source, [partition], **limits)
     # NULL is one more partition that may be large, so it is always cut.
     split = F.col("__salts").isNotNull() | as_column(partition).isNull()
-    marked = df.join(F.broadcast(hot), partition, "left")
-    celled = marked.withColumn(_CELL, _cell([partition], [F.when(split, c) for c in cuts]))
+
+    def celled(frame: DataFrame) -> DataFrame:
+        marked = frame.join(F.broadcast(hot), partition, "left").withColumn("__split", split)
+        return marked.withColumn(_CELL, _cell([partition], [F.when(F.col("__split"), c) for c in cuts]))
+
     w = Window.partitionBy(_CELL).orderBy(*[as_column(o) for o in order])
-    numbered = celled.withColumn("__local", F.row_number().over(w))
-    shifted = _shift_by_earlier_cells(celled.filter(split), [partition], F.count(F.lit(1)), numbered, out)
+    numbered = celled(df).withColumn("__local", F.row_number().over(w))
+    cut_cells = celled(source).filter("__split")
+    shifted = _shift_by_earlier_cells(cut_cells, [partition], F.count(F.lit(1)), numbered, out)
     return shifted.select(*[as_column(c) for c in df.columns], F.col(out).cast("bigint").alias(out))
 
 

@@ -44,17 +44,16 @@ def order_items_summary(items: DataFrame) -> DataFrame:
     )
 
 
-def orders(stg_orders: DataFrame, items: DataFrame, **limits) -> DataFrame:
+def orders(stg_orders: DataFrame, items: DataFrame, buckets: list | None = None, **limits) -> DataFrame:
     """One row per order with its items summed up and the customer's order number.
 
     An order without items keeps NULL counts and flags. Orders of one day are
-    numbered by order id. The number depends on the staged orders only, so it is
-    computed before the join, where counting hot customers is a narrow scan.
-    ``limits`` go to :func:`~tablecheck.operators.windows.ordinal`.
+    numbered by order id. Hot customers and orders are looked for in the staged
+    orders, a narrow scan. ``buckets`` and ``limits`` as in
+    :func:`~tablecheck.operators.windows.ordinal`.
     """
-    numbered = ordinal(stg_orders, "customer_id", ["ordered_at", "order_id"], "customer_order_number", **limits)
-    joined = join_summary(numbered, order_items_summary(items), "order_id")
-    return joined.select(
+    joined = join_summary(stg_orders, order_items_summary(items), "order_id", **limits)
+    flagged = joined.select(
         *stg_orders.columns,
         "order_cost",
         "order_items_subtotal",
@@ -63,11 +62,12 @@ def orders(stg_orders: DataFrame, items: DataFrame, **limits) -> DataFrame:
         "count_order_items",
         (F.col("count_food_items") > 0).alias("is_food_order"),
         (F.col("count_drink_items") > 0).alias("is_drink_order"),
-        "customer_order_number",
     )
+    by = ["ordered_at", "order_id"]
+    return ordinal(flagged, "customer_id", by, "customer_order_number", buckets, cells_from=stg_orders, **limits)
 
 
-def customers(stg_customers: DataFrame, order_mart: DataFrame) -> DataFrame:
+def customers(stg_customers: DataFrame, order_mart: DataFrame, **limits) -> DataFrame:
     """One row per customer with lifetime totals and a new/returning label."""
     summary = order_mart.groupBy("customer_id").agg(
         count_distinct("order_id").alias("count_lifetime_orders"),
@@ -77,7 +77,7 @@ def customers(stg_customers: DataFrame, order_mart: DataFrame) -> DataFrame:
         F.sum("tax_paid").alias("lifetime_tax_paid"),
         F.sum("order_total").alias("lifetime_spend"),
     )
-    joined = join_summary(stg_customers, summary, "customer_id")
+    joined = join_summary(stg_customers, summary, "customer_id", **limits)
     return joined.withColumn("customer_type", customer_type(F.col("count_lifetime_orders") > 1))
 
 

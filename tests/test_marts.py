@@ -114,6 +114,8 @@ def test_order_counts_become_flags(shop):
 def test_marts_do_not_change_when_groups_are_split(shop):
     split = marts.orders(shop["orders"], shop["item_mart"], share=0.1, min_rows=1)
     assert sorted(map(repr, split.collect())) == sorted(map(repr, shop["order_mart"].collect()))
+    people = marts.customers(shop["customers"], split, share=0.1, min_rows=0)
+    assert sorted(map(repr, people.collect())) == sorted(map(repr, shop["customer_mart"].collect()))
 
 
 def test_customers(shop):

@@ -67,7 +67,7 @@ def test_duplicated_rows_by_digest_and_by_shuffle(spark):
     rows = [(i, t) for i, t in enumerate(["x", "y", "x", None, None, "z", "y", "x"])]
     df = spark.createDataFrame(rows, "id int, t string")
     for kwargs in ({}, {"digest": True}, {"max_rows": 1, "min_rows": 2, "share": 0.01}):
-        got = {r["id"] for r in e.duplicated_rows(df, "t", salt_on=["id"], **kwargs).collect()}
+        got = {r["id"] for r in e.duplicated_rows(df, "t", **kwargs).collect()}
         assert got == {0, 2, 7, 1, 6}
 
 

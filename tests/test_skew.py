@@ -44,6 +44,20 @@ def test_salted_join_equals_plain_join(fact, dim, how):
     assert bag(salted) == bag(fact.join(dim, "k", how))
 
 
+@pytest.mark.parametrize("how", ["left", "left_semi", "left_anti"])
+def test_split_join_equals_plain_join(fact, dim, how):
+    hot = joins.hot_keys(fact, ["k"], **TIGHT)
+    single = dim.filter("label <> 'second 7'")
+    assert bag(joins.split_join(fact, single, ["k"], how, hot)) == bag(fact.join(single, "k", how))
+
+
+@pytest.mark.parametrize("limits", [TIGHT, {}])
+def test_join_summary_equals_plain_join(fact, limits):
+    summary = fact.filter("k IS NULL OR k < 40").groupBy("k").agg(F.sum("v").alias("total"), F.count("*").alias("n"))
+    joined = joins.join_summary(fact, summary, "k", **limits)
+    assert bag(joined) == bag(fact.join(summary, "k", "left"))
+
+
 def test_salt_count_is_bounded(fact):
     hot = joins.hot_keys(fact, ["k"], **TIGHT)
     total = hot.agg(F.sum("__salts")).first()[0]
@@ -79,7 +93,7 @@ def test_orphans_and_rows_in(fact, dim, max_rows):
     limits = {"max_rows": max_rows, **TIGHT}
     rows = [r.asDict() for r in fact.collect()]
     known = {r["k"] for r in dim.collect() if r["k"] is not None}
-    lost = joins.orphans(fact, dim, "k", "k", salt_on=["v"], **limits)
+    lost = joins.orphans(fact, dim, "k", "k", **limits)
     assert lost.count() == sum(r["k"] is not None and r["k"] not in known for r in rows)
     kept = joins.rows_in(fact, dim, ["k"], **limits)
     assert kept.count() == sum(r["k"] in known for r in rows)
