@@ -117,7 +117,13 @@ class Shop:
 
     @cached_property
     def catalog(self) -> MetricCatalog:
-        return shop_metrics(self.order_items, self.orders, self.customers, marts.locations(self.locations_stg))
+        # As functions, so that a query builds only the marts it reads.
+        return shop_metrics(
+            lambda: self.order_items,
+            lambda: self.orders,
+            lambda: self.customers,
+            lambda: marts.locations(self.locations_stg),
+        )
 
 
 CENTS = "CAST({} / CAST(100 AS DOUBLE) AS DOUBLE)"

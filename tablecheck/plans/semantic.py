@@ -7,6 +7,7 @@ running totals and cross-mart combinations work on those small results.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -41,10 +42,13 @@ class Measure:
 
 @dataclass(frozen=True, eq=False)
 class SemanticModel:
-    """A mart with its time dimension, named keys and measures."""
+    """A mart with its time dimension, named keys and measures.
+
+    The mart may be given as a function, which is called when it is queried.
+    """
 
     name: str
-    frame: DataFrame
+    frame: DataFrame | Callable[[], DataFrame]
     measures: tuple[Measure, ...]
     time: str | None = None
     keys: dict[str, str] = field(default_factory=dict)
@@ -160,6 +164,7 @@ class MetricCatalog:
         return cols
 
     def _model_frame(self, model: SemanticModel, leaves: list[Simple], group_by: list, names: list[str]) -> DataFrame:
+        mart = model.frame() if callable(model.frame) else model.frame
         group = self._group(model, group_by)
         exact, aggs = [], []
         for leaf in leaves:
@@ -168,9 +173,9 @@ class MetricCatalog:
                 exact.append((leaf, measure))
             else:
                 aggs.append(_aggregate(measure, leaf.where).alias(leaf.name))
-        frame = model.frame.groupBy(*group).agg(*aggs) if aggs else None
+        frame = mart.groupBy(*group).agg(*aggs) if aggs else None
         for leaf, measure in exact:
-            rows = model.frame if leaf.where is None else model.frame.filter(leaf.where)
+            rows = mart if leaf.where is None else mart.filter(leaf.where)
             values = rows.select(*group, F.expr(measure.source).alias("__value"))
             part = exact_median(values, names, "__value", leaf.name)
             frame = part if frame is None else combine_metrics(frame, part, names)
@@ -239,9 +244,10 @@ class MetricCatalog:
         return materialize(self.query_metrics(metrics, group_by), name, TABLE, path)
 
 
-def shop_metrics(
-    order_items: DataFrame, orders: DataFrame, customers: DataFrame, locations: DataFrame
-) -> MetricCatalog:
+Mart = DataFrame | Callable[[], DataFrame]
+
+
+def shop_metrics(order_items: Mart, orders: Mart, customers: Mart, locations: Mart) -> MetricCatalog:
     """The semantic layer of the shop marts."""
     models = [
         SemanticModel(
