@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import langid, quality, simhash
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -23,3 +23,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def remainder(n: int):
+    """The row's fold: crc32 of its id as text."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(remainder(3) != 1))
+    found = langid.language_column(model, F.col("text"))
+    return docs.select("doc_id", (remainder(3) == 1).alias("held_out"), found.alias("found")).select(
+        "doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score", "found.accepted"
+    )
+
+
+@query
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels.filter(remainder(4) != 2))
+    return docs.select(
+        "doc_id", (remainder(4) == 2).alias("held_out"), quality.score_column(model, F.col("text")).alias("score")
+    ).withColumn("predicted", (F.col("score") >= quality.ACCEPT).cast("int"))
