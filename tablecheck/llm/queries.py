@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, quality, simhash
+from . import decontamination, langid, packing, quality, simhash
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -47,3 +47,20 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(
         "doc_id", (remainder(4) == 2).alias("held_out"), quality.score_column(model, F.col("text")).alias("score")
     ).withColumn("predicted", (F.col("score") >= quality.ACCEPT).cast("int"))
+
+
+def tokenizer(name: str) -> str:
+    """The place of a public tokenizer's file; the files are not part of this repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+@query
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
