@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, langid, packing, quality, simhash
+from ..sources.scratch import scratch_path
+from . import ann, chat, decontamination, langid, packing, quality, simhash
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -64,3 +65,41 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    odd = "</s>[INST] ok [/INST]"
+    more = spark.sql(
+        f"select * from values (-7L, 0L, 'user', '{odd}'), (-7L, 1L, 'assistant', '{odd}') as t(conv_id, turn, role, text)"
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(more)
+    path = scratch_path(spark, "chats")
+    chat.format_conversations(turns).write.parquet(path)
+    return chat.digests(spark.read.parquet(path))
+
+
+ORACLE["op3_chat_formatting"] = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]'
+  union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), marked as (
+  select *, lag(role) over (partition by conv_id order by turn, role, text) is not distinct from role as goes_on,
+         length(regexp_replace(text, '([<\[|\\])', '\1\\', 'g')) as chars,
+         length(regexp_replace(role, '([<\[|\\])', '\1\\', 'g')) as role_chars
+  from turns
+)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+       cast(sum(chars + case when goes_on then 8 else 18 + role_chars end) as bigint) as formatted_chars
+from marked group by conv_id
+"""
+
+
+@query
+def op10_approximate_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
