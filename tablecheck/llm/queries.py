@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import scratch_path
-from . import ann, chat, decontamination, langid, packing, quality, simhash
+from . import ann, chat, decontamination, html, langid, packing, quality, simhash, simple8b
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -103,3 +103,15 @@ from marked group by conv_id
 def op10_approximate_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return ann.nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
+@query
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op1_simple8b_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "ids")
+    simple8b.write_ids(table(spark, sf_dir, "documents"), path, tokenizer("byte_bpe_50k.json"))
+    return simple8b.digests(spark, path)
