@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import scratch_path
-from . import ann, chat, decontamination, html, langid, packing, quality, simhash, simple8b
+from . import ann, chat, decontamination, html, langid, lm, packing, quality, simhash, simple8b
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -115,3 +115,12 @@ def op1_simple8b_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "ids")
     simple8b.write_ids(table(spark, sf_dir, "documents"), path, tokenizer("byte_bpe_50k.json"))
     return simple8b.digests(spark, path)
+
+
+@query
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    train = docs.filter(remainder(10) != 0)
+    counts = lm.count_words(train)
+    scored = lm.score(docs, lm.fit(train, counts), counts)
+    return scored.withColumn("held_out", remainder(10) == 0)
