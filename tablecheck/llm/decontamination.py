@@ -37,7 +37,8 @@ WALKS = 24
 SAMPLES = 3
 BAND = 1.4
 BLOCK_CHARS = 32 << 20
-FILTER_BITS = 24
+FILTER_BITS = 22
+PIECE_BYTES = 6 << 20
 #: Fixed value: marks that do not count at either end of a word.
 MARKS = ".,;:!?*$&%#|\"'()[]{}<>«»“”‘’…-–—_=+~^/\\`@¿¡"
 FOUND = "item_id long, first_word long, n_words long, edits int"
@@ -227,7 +228,7 @@ def occurrences(texts: pa.Array, items: Items) -> list[list[tuple]]:
     ``first_word`` and ``words`` count white-space separated words of the text.
     """
     results: list[list[tuple]] = []
-    for block in text_blocks(texts):
+    for block in text_blocks(texts, PIECE_BYTES):
         symbols, starts, place = plain_words(block)
         text_of = np.repeat(np.arange(len(block)), np.diff(starts))
         found: list[dict[int, tuple]] = [{} for _ in range(len(block))]
