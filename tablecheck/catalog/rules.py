@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
@@ -12,7 +12,7 @@ from ..operators import expectations as e
 from ..operators.joins import join_dimension, orphan_keys, rows_in
 from ..operators.windows import union_frames
 from .data import portable, query, table
-from .quality import CUSTOMERS_SQL, ORDERS_SQL, _customers, _orders
+from .quality import CUSTOMERS_SQL, ORDERS_SQL, TYPED_SQL, _customers, _orders, typed_texts
 
 
 @query(
@@ -97,7 +97,7 @@ UNION ALL {_summary_sql('c_name', 'unique', 'c_name IN (SELECT c_name FROM sourc
 
 @query("expectation_summary", SUMMARY_SQL)
 def expectation_summary(spark, d):
-    return e.summarize(_customers(spark, d), _suite())
+    return e.summarize(_customers(spark, d), _suite()).drop("message")
 
 
 @query(
@@ -105,7 +105,7 @@ def expectation_summary(spark, d):
     f"SELECT *, 'customers' AS suite, bool_and(success) OVER () AS suite_success FROM ({SUMMARY_SQL})",
 )
 def suite(spark, d):
-    return e.run_suite(_customers(spark, d), "customers", _suite())
+    return e.run_suite(_customers(spark, d), "customers", _suite()).drop("message")
 
 
 @query(
@@ -181,9 +181,9 @@ def semi_joined_rows(spark, d):
 WHERE user_id IN (SELECT user_id FROM events GROUP BY 1 HAVING count(*) > 1)""",
 )
 def duplicates_hot_values(spark, d):
-    """Repeated values joined back by shuffle, values with many rows split."""
+    """Repeated values joined back; they hold nearly all rows."""
     events = table(spark, d, "events").select("event_id", "user_id")
-    return e.duplicated_rows(events, "user_id", max_rows=0, min_rows=50)
+    return e.duplicated_rows(events, "user_id")
 
 
 @query(
@@ -192,14 +192,14 @@ def duplicates_hot_values(spark, d):
 FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_type <> 'LARGE') ON l_partkey = p_partkey""",
 )
 def join_hot_keys(spark, d):
-    """A dimension joined by shuffle as if too large to broadcast, hot keys salted."""
+    """A dimension joined with hot keys salted."""
     items = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     parts = (
         table(spark, d, "part")
         .filter("p_type <> 'LARGE'")
         .select(F.col("p_partkey").alias("l_partkey"), "p_name", (F.col("p_size") > 25).alias("is_big"))
     )
-    joined = join_dimension(items, parts, ["l_partkey"], "left", ["l_orderkey"], max_rows=0, min_rows=30)
+    joined = join_dimension(items, parts, ["l_partkey"], "left", ["l_orderkey"], min_rows=30)
     return portable(joined)
 
 
@@ -270,4 +270,51 @@ def constraints(spark, d):
     people = c.validate_constraints(
         customers, "customer", [c.max_length("segment", 8), c.unique("segment"), c.pk(["segment", "c_nationkey"])]
     )
-    return union_frames([orders, people])
+    return union_frames([orders, people]).drop("message")
+
+
+@query(
+    "between_text",
+    f"""SELECT 'between(price_text)' AS rule, count(*) AS element_count, count(*) FILTER (WHERE NOT coalesce(try_cast(price_text AS DOUBLE) BETWEEN 1000 AND 200000, false)) AS unexpected_count FROM {TYPED_SQL}
+UNION ALL SELECT 'in_set(price_text)', count(*), count(*) FILTER (WHERE NOT coalesce(try_cast(price_text AS DOUBLE) IN (1000, 150000), false)) FROM {TYPED_SQL}
+UNION ALL SELECT 'between(date_text)', count(*), count(*) FILTER (WHERE NOT coalesce(try_cast(date_text AS DATE) >= DATE '1995-06-01', false)) FROM {TYPED_SQL}""",
+)
+def between_text(spark, d):
+    """Bounds and sets of numbers and days on text columns with unreadable cells."""
+    rules = [
+        e.expect_between("price_text", 1000, 200_000),
+        e.expect_in_set("price_text", [1000, 150_000]),
+        e.expect_between("date_text", low=date(1995, 6, 1)),
+    ]
+    return e.summarize(typed_texts(spark, d), rules).select("rule", "element_count", "unexpected_count")
+
+
+@query(
+    "constraints_text",
+    f"""SELECT 'orders' AS table_name, 'check_age(date_text)' AS "constraint", count(*) FILTER (WHERE NOT coalesce(try_cast(date_text AS DATE) <= DATE '2014-06-30' - INTERVAL 18 YEAR, false)) AS violations,
+  false AS failed FROM {TYPED_SQL}
+UNION ALL SELECT 'orders', 'fk(key_text)', count(*) FILTER (WHERE coalesce(try_cast(key_text AS BIGINT) NOT IN (SELECT c_custkey FROM customer), true)), false FROM {TYPED_SQL}
+UNION ALL SELECT 'orders', 'not_null(gone)', CAST(NULL AS BIGINT), true
+UNION ALL SELECT 'orders', 'pk(gone)', CAST(NULL AS BIGINT), true""",
+)
+def constraints_text(spark, d):
+    """Constraints on texts with unreadable cells, and two on a column that does not exist."""
+    declared = [
+        c.check_age("date_text", 18, "2014-06-30"), c.fk("key_text", table(spark, d, "customer"), "c_custkey"),
+        c.not_null("gone"), c.pk("gone"),
+    ]
+    found = c.validate_constraints(typed_texts(spark, d), "orders", declared)
+    return found.select("table_name", "constraint", "violations", F.col("message").isNotNull().alias("failed"))
+
+
+@query(
+    "suite_errors",
+    f"""SELECT 'not_null(segment)' AS rule, count(*) FILTER (WHERE segment IS NULL) AS unexpected_count, false AS failed FROM {CUSTOMERS_SQL}
+UNION ALL SELECT 'not_null(gone)', CAST(NULL AS BIGINT), true
+UNION ALL SELECT 'unique(gone)', CAST(NULL AS BIGINT), true""",
+)
+def suite_errors(spark, d):
+    """A suite with two rules on a column that does not exist."""
+    rules = [e.expect_not_null("gone"), e.expect_not_null("segment"), e.expect_unique("gone")]
+    found = e.run_suite(_customers(spark, d), "customers", rules)
+    return found.select("rule", "unexpected_count", F.col("message").isNotNull().alias("failed"))

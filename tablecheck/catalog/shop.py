@@ -248,15 +248,14 @@ def aggregates_by_customer(spark, d):
         .withColumn("status", F.nullif("o_orderstatus", F.lit("P")))
         .withColumn("spend", F.col("o_totalprice").cast("decimal(18,2)"))
     )
-    spans = a.first_last(orders, "o_custkey", "o_orderkey")
-    sums = a.sum_by(orders, ["o_custkey"], "spend")
-    counts = orders.groupBy("o_custkey").agg(
+    found = orders.groupBy("o_custkey").agg(
         a.count_distinct("o_orderdate").alias("order_days"),
+        *a.first_and_last("o_orderkey"),
+        F.sum("spend").alias("spend"),
         a.count_flag(F.col("status") == "F").alias("finished"),
         a.count_col("status").alias("known"),
     )
-    # The three aggregates are partitioned alike, so the joins add no shuffle.
-    return portable(counts.join(spans, "o_custkey").join(sums, "o_custkey"))
+    return portable(found)
 
 
 @query(
@@ -289,7 +288,7 @@ def order_ordinal(spark, d):
   ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS number FROM lineitem""",
 )
 def order_ordinal_split(spark, d):
-    """Three partitions hold all items, so their numbering is cut by ship day."""
+    """Three partitions hold all items, so their numbering is cut in ranges."""
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     items = table(spark, d, "lineitem").select(*keys, "l_returnflag", "l_shipdate")
     numbered = ordinal(items, "l_returnflag", ["l_shipdate", *keys], "number", min_rows=1000)

@@ -54,6 +54,19 @@ def json_roundtrip(spark, d):
     return read_json(spark, path, lines=True)
 
 
+@query("json_array", f"SELECT o_orderkey, o_totalprice, {TOKEN_SQL} AS \"prioridad año\" FROM orders")
+def json_array(spark, d):
+    """Files that hold one array of objects each; their number grows with the rows, as such a file is read whole."""
+    orders = _with_tokens(table(spark, d, "orders"))
+    files = orders.count() // 5000 + 1
+    part = F.pmod(F.xxhash64("o_orderkey"), F.lit(files)).alias("part")
+    rows = F.struct("o_orderkey", "o_totalprice", F.col("o_orderpriority").alias("prioridad año"))
+    path = scratch_path(spark, "orders-array")
+    arrays = orders.groupBy(part).agg(F.to_json(F.collect_list(rows)).alias("value"))
+    arrays.write.partitionBy("part").text(path)
+    return read_json(spark, path).drop("part")
+
+
 @query(
     "seed_load",
     "SELECT s_suppkey, s_name || ', \"' || s_nationkey || '\"' AS description, s_acctbal FROM supplier",

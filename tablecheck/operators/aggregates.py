@@ -31,10 +31,14 @@ def count_col(c: Column | str) -> Column:
     return F.count(as_column(c))
 
 
+def first_and_last(ts: str) -> list[Column]:
+    """Earliest and latest timestamp, as aggregates."""
+    return [F.min(as_column(ts)).alias(f"first_{ts}"), F.max(as_column(ts)).alias(f"last_{ts}")]
+
+
 def first_last(df: DataFrame, key: str, ts: str) -> DataFrame:
     """Earliest and latest timestamp per key."""
-    col = as_column(ts)
-    return df.groupBy(as_column(key)).agg(F.min(col).alias(f"first_{ts}"), F.max(col).alias(f"last_{ts}"))
+    return df.groupBy(as_column(key)).agg(*first_and_last(ts))
 
 
 def sum_by(df: DataFrame, keys: list[str], col: str) -> DataFrame:
@@ -55,20 +59,19 @@ def frequencies(df: DataFrame, cols: list[str], digest: bool = False) -> DataFra
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def exact_median(df: DataFrame, keys: list[str], value: Column | str, out: str) -> DataFrame:
-    """Interpolated median per group without holding a group in one task.
+def exact_median(df: DataFrame, keys: list[str], value: Column | str, out: str, **limits) -> DataFrame:
+    """Interpolated median per group without holding a large group in one task.
 
     Equal values are first merged into (group, value, count). A running count
-    over the values, split by magnitude (see :func:`running_sum`), then locates
-    the one or two middle values of every group.
+    over the values then locates the one or two middle values of every group;
+    groups with more distinct values than the ``limits`` of
+    :func:`~tablecheck.operators.windows.running_sum` are counted in ranges cut
+    by the distribution of the values. A text that is no number counts as NULL.
     """
     group = [as_column(k) for k in keys]
-    values = df.select(*group, as_column(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
+    values = df.select(*group, as_column(value).try_cast("double").alias("__v")).filter(F.col("__v").isNotNull())
     freq = values.groupBy(*group, "__v").agg(F.count(F.lit(1)).alias("__n"))
-    # Order-preserving slices of the value range: by sign, then 4096 per doubling.
-    sign = F.signum("__v")
-    slices = [sign, sign * F.floor(F.log2(F.abs("__v")) * 4096)]
-    ranked = running_sum(freq, keys, ["__v"], "__n", "__upto", buckets=slices, total="__all")
+    ranked = running_sum(freq, keys, ["__v"], "__n", "__upto", total="__all", split=True, **limits)
     # A value is in the middle when its rank range covers one of the two middle ranks.
     low, high = F.floor((F.col("__all") + 1) / 2), F.floor(F.col("__all") / 2) + 1
     start = F.col("__upto") - F.col("__n") + 1

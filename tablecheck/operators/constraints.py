@@ -18,6 +18,7 @@ from ..functions.columns import as_column
 from ..functions.predicates import expr_true, in_set
 from .aggregates import frequencies
 from .joins import orphan_keys
+from .planning import plan_errors
 from .windows import union_frames
 
 
@@ -79,9 +80,10 @@ def check_in(col: str, values: str | Iterable[str]) -> Constraint:
 
 
 def check_age(col: str, years: int, as_of: str | Column) -> Constraint:
-    """Born at least ``years`` before ``as_of``."""
+    """Born at least ``years`` before ``as_of``; a text that is no date breaks it."""
     day = (F.lit(as_of) if isinstance(as_of, str) else as_of).cast("date")
-    return Constraint(f"check_age({col})", ~(as_column(col).cast("date") <= F.add_months(day, -12 * years)))
+    old_enough = as_column(col).try_cast("date") <= F.add_months(day, -12 * years)
+    return Constraint(f"check_age({col})", as_column(col).isNotNull() & ~F.coalesce(old_enough, F.lit(False)))
 
 
 def max_length(col: str, n: int) -> Constraint:
@@ -97,8 +99,23 @@ def fits_decimal(col: str, precision: int, scale: int) -> Constraint:
 
 
 def validate_constraints(df: DataFrame, table: str, constraints: list[Constraint]) -> DataFrame:
-    """One row per constraint: ``table_name, constraint, violations``."""
+    """One row per constraint: ``table_name, constraint, violations, message``.
+
+    A constraint that cannot be planned, such as one on a column that does not
+    exist, has NULL violations and a message; the others are counted.
+    """
+
+    def planned(some: list[Constraint]) -> None:
+        df.agg(*[F.count_if(c.broken) for c in some if c.broken is not None] or [F.lit(1)]).schema  # noqa: B018
+        for c in some:
+            if c.frame is not None:
+                c.frame(df).schema  # noqa: B018
+
+    problems = plan_errors(constraints, planned)
+    failed = [(c.name, p) for c, p in zip(constraints, problems) if p is not None]
+    constraints = [c for c, p in zip(constraints, problems) if p is None]
     rowwise = [c for c in constraints if c.broken is not None]
+    null = F.lit(None).cast("string").alias("message")
     frames = []
     if rowwise:
         row = df.agg(*[F.count_if(F.coalesce(c.broken, F.lit(False))).alias(f"c{i}") for i, c in enumerate(rowwise)])
@@ -106,8 +123,12 @@ def validate_constraints(df: DataFrame, table: str, constraints: list[Constraint
             F.struct(F.lit(c.name).alias("constraint"), F.col(f"c{i}").alias("violations"))
             for i, c in enumerate(rowwise)
         ]
-        frames.append(row.select(F.inline(F.array(*structs))))
+        frames.append(row.select(F.inline(F.array(*structs))).select("*", null))
     for c in constraints:
         if c.frame is not None:
-            frames.append(c.frame(df).select(F.lit(c.name).alias("constraint"), F.col("violations").cast("bigint")))
-    return union_frames(frames).select(F.lit(table).alias("table_name"), "constraint", "violations")
+            frames.append(c.frame(df).select(F.lit(c.name).alias("constraint"), F.col("violations").cast("bigint"), null))
+    for name, problem in failed:
+        none = F.lit(None).cast("bigint").alias("violations")
+        one = df.sparkSession.range(1)
+        frames.append(one.select(F.lit(name).alias("constraint"), none, F.lit(problem).alias("message")))
+    return union_frames(frames).select(F.lit(table).alias("table_name"), "constraint", "violations", "message")

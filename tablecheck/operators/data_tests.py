@@ -28,9 +28,9 @@ def unique(df: DataFrame, col: str, digest: bool = False) -> DataFrame:
     return frequencies(df, [col], digest).filter(as_column(col).isNotNull() & (F.col("n") > 1))
 
 
-def relationships(child: DataFrame, col: str, parent: DataFrame, field: str, **kwargs) -> DataFrame:
+def relationships(child: DataFrame, col: str, parent: DataFrame, field: str) -> DataFrame:
     """Child rows with a non-NULL key that is absent from the parent."""
-    return orphans(child, parent, col, field, **kwargs)
+    return orphans(child, parent, col, field)
 
 
 def accepted_values(df: DataFrame, col: str, values: str | Iterable[str]) -> DataFrame:
@@ -52,7 +52,7 @@ def freshness(df: DataFrame, loaded_at: str, now: str | Column, warn_after: time
     The status is ``warn`` when the age exceeds ``warn_after`` or no row exists.
     """
     at = (F.lit(now) if isinstance(now, str) else now).cast("timestamp")
-    newest = df.agg(F.max(as_column(loaded_at)).cast("timestamp").alias("max_loaded_at"))
+    newest = df.agg(F.max(as_column(loaded_at).try_cast("timestamp")).alias("max_loaded_at"))
     age = F.unix_micros(at) - F.unix_micros("max_loaded_at")
     limit = int(warn_after.total_seconds() * 1_000_000)
     return newest.select(

@@ -18,6 +18,7 @@ from ..functions.columns import as_column
 from ..functions.predicates import between, in_set, matches
 from .aggregates import frequencies
 from .joins import rows_in
+from .planning import plan_errors
 from .windows import union_frames
 
 
@@ -74,12 +75,31 @@ def _summary_struct(e: Expectation, total: Column, missing: Column, unexpected:
     )
 
 
+def _planned(df: DataFrame, expectations: list[Expectation]) -> None:
+    """Raise unless all columns and rules can be planned."""
+    rules = [F.count_if(e.unexpected).alias(f"r{i}") for i, e in enumerate(expectations) if e.unexpected is not None]
+    cells = [F.count(as_column(e.column)).alias(f"c{i}") for i, e in enumerate(expectations)]
+    df.agg(*cells, *rules).schema  # noqa: B018
+
+
+def _failed(df: DataFrame, e: Expectation, problem: str) -> DataFrame:
+    counts = [F.lit(None).cast("bigint").alias(f"{c}_count") for c in ("element", "missing", "unexpected")]
+    shares = [F.lit(None).cast("double").alias(c) for c in ("unexpected_percent", "unexpected_percent_total")]
+    names = F.lit(e.rule).alias("rule"), F.lit(e.column).alias("column")
+    return df.sparkSession.range(1).select(*names, *counts, *shares, F.lit(False).alias("success"), F.lit(problem).alias("message"))
+
+
 def summarize(df: DataFrame, expectations: list[Expectation], digest: bool = False) -> DataFrame:
-    """One row per expectation with counts, percentages and success.
+    """One row per expectation with counts, percentages, success and message.
 
     Row-level rules are counted in one aggregation; each uniqueness rule takes
-    one group-by of its column (``digest``: of a hash of it, for long texts).
+    one group-by of its column (``digest``: of a hash of it, for long texts). A
+    rule that cannot be planned, such as one on a column that does not exist, is
+    no success and has a message instead of counts; the others are judged.
     """
+    problems = plan_errors(expectations, lambda some: _planned(df, some))
+    failed = [_failed(df, e, p) for e, p in zip(expectations, problems) if p is not None]
+    expectations = [e for e, p in zip(expectations, problems) if p is None]
     rowwise = [e for e in expectations if e.unexpected is not None]
     frames = []
     if rowwise:
@@ -103,13 +123,14 @@ def summarize(df: DataFrame, expectations: list[Expectation], digest: bool = Fal
             )
             struct = _summary_struct(e, F.col("total"), F.col("missing"), F.col("bad"))
             frames.append(counts.select(F.inline(F.array(struct))))
-    return union_frames(frames)
+    message = F.lit(None).cast("string").alias("message")
+    return union_frames([f.select("*", message) for f in frames] + failed)
 
 
-def duplicated_rows(df: DataFrame, col: str, digest: bool = False, **limits) -> DataFrame:
+def duplicated_rows(df: DataFrame, col: str, digest: bool = False) -> DataFrame:
     """Every row whose non-NULL value occurs more than once.
 
-    Only the values that repeat are joined back, and hot ones are split. With
+    Only the values that repeat are joined back, in an ordinary semi-join. With
     ``digest`` a hash of a long text is grouped and joined instead of the text.
     """
     key = "__key"
@@ -117,16 +138,19 @@ def duplicated_rows(df: DataFrame, col: str, digest: bool = False, **limits) ->
     keyed = df.withColumn(key, F.sha2(c, 256) if digest and dict(df.dtypes)[col] == "string" else c)
     counts = frequencies(keyed.filter(F.col(key).isNotNull()), [key])
     repeated = counts.filter(F.col("n") > 1)
-    return rows_in(keyed, repeated, [key], counts=counts, **limits).drop(key)
+    return rows_in(keyed, repeated, [key]).drop(key)
 
 
 def violations(
-    df: DataFrame, expectations: list[Expectation], key_cols: list[str], digest: bool = False, **limits
+    df: DataFrame, expectations: list[Expectation], key_cols: list[str], digest: bool = False
 ) -> DataFrame:
     """Every offending cell as ``key_cols..., rule, value`` (text), never collected.
 
     One scan serves all row-level rules; each uniqueness rule adds one semi-join.
+    A rule that cannot be planned has no rows here; :func:`summarize` says why.
     """
+    problems = plan_errors(expectations, lambda some: _planned(df, some))
+    expectations = [e for e, p in zip(expectations, problems) if p is None]
     keys = [as_column(k) for k in key_cols]
     rowwise = [e for e in expectations if e.unexpected is not None]
     frames = []
@@ -146,8 +170,11 @@ def violations(
     for e in expectations:
         if e.unexpected is None:
             narrow = df.select(*[as_column(c) for c in dict.fromkeys([*key_cols, e.column])])
-            dup = duplicated_rows(narrow, e.column, digest, **limits)
+            dup = duplicated_rows(narrow, e.column, digest)
             frames.append(dup.select(*keys, F.lit(e.rule).alias("rule"), as_column(e.column).cast("string").alias("value")))
+    if not frames:
+        rule = [F.lit(None).cast("string").alias(c) for c in ("rule", "value")]
+        return df.select(*keys, *rule).filter(F.lit(False))
     return union_frames(frames)
 
 

@@ -2,9 +2,11 @@
 
 * Referential checks compare *keys*: both sides are reduced to one row per key
   before they meet, so a hot key costs one row per map task.
-* Joins that must keep every row of the large side use :func:`join_dimension`:
-  the small side is broadcast only after its size was measured, otherwise hot
-  keys are spread over several tasks by :func:`salted_join`.
+* Joins that must keep every row of the large side are ordinary joins. Whether a
+  side is broadcast is left to Spark, which checks real sizes, and a skewed
+  partition of a sort-merge join is split by adaptive execution.
+* :func:`salted_join` spreads hot keys by hand, for sessions without adaptive
+  execution; :func:`join_dimension` uses it only where some key is hot.
 """
 
 from __future__ import annotations
@@ -12,15 +14,12 @@ from __future__ import annotations
 import operator
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import as_column
 
-BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 64 * 1024 * 1024
-
 # A key is hot when it has more rows than one task should take.
 HOT_SHARE = 1e-4
 HOT_ROWS = 1_000_000
@@ -30,59 +29,34 @@ _SALT = "__salt"
 _SALTS = "__salts"
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure whether a side is small enough to broadcast.
-
-    One aggregation with a one-row result counts the rows and, where there are
-    texts, their bytes; a Parquet scan without texts reads no column for it.
-    A side with a nested column never fits.
+def hot_keys(
+    df: DataFrame, on: list[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS, nulls: bool = False
+) -> list[tuple]:
+    """Keys with more than ``max(min_rows, share * rows)`` rows, each with its salt count as the last value.
+
+    One grouping, combined map-side, is run at once. At most ``1 / share`` keys
+    can qualify, and because a key gets one salt per such portion of rows, all
+    salts together stay below ``2 / share``: what reaches the driver has a proven
+    bound. Keys with a NULL part are left out unless ``nulls`` is set.
     """
-    fields = df.schema.fields
-    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) for f in fields):
-        return False
-    texts = [as_column(f.name) for f in fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    cells = [F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint") for c in texts]
-    size = F.coalesce(F.sum(reduce(operator.add, cells)), F.lit(0)) if cells else F.lit(0)
-    row = df.agg(F.count(F.lit(1)).alias("n"), size.alias("bytes")).first()
-    return row["n"] <= max_rows and row["bytes"] + 16 * len(fields) * row["n"] <= max_bytes
-
-
-def key_counts(df: DataFrame, on: list[str]) -> DataFrame:
-    """Rows per non-NULL key, as columns ``on`` and ``n``; combined map-side."""
     keys = [as_column(c) for c in on]
-    present = reduce(operator.and_, [c.isNotNull() for c in keys])
-    return df.filter(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-
+    rows = df if nulls or not on else df.filter(reduce(operator.and_, [c.isNotNull() for c in keys]))
+    portion = max(float(min_rows), rows.count() * share)
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    found = counts.filter(F.col("n") > portion).withColumn("n", F.ceil(F.col("n") / portion).cast("int"))
+    return [tuple(r) for r in found.collect()]
 
-def hot_keys(
-    df: DataFrame,
-    on: list[str],
-    counts: DataFrame | None = None,
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Keys with more than ``max(min_rows, share * rows)`` rows and their salt count.
 
-    ``counts`` are the rows per key, if already at hand. At most ``1 / share``
-    keys can qualify, and because a key gets one salt per such portion of rows,
-    all salts together stay below ``2 / share``: the result has a proven bound
-    and may be broadcast.
-    """
-    counts = key_counts(df, on) if counts is None else counts
-    total = counts.agg(F.sum("n")).scalar()
-    portion = F.greatest(F.lit(float(min_rows)), total.cast("double") * F.lit(share))
-    return counts.filter(F.col("n") > portion).select(
-        *[as_column(c) for c in on], F.ceil(F.col("n") / portion).cast("int").alias(_SALTS)
-    )
+def is_hot(on: list[str], hot: list[tuple]) -> Column:
+    """Whether a row has one of the hot keys; never NULL."""
+    if not on:
+        return F.lit(bool(hot))
+    any_of = [reduce(operator.and_, [as_column(c).eqNullSafe(F.lit(v)) for c, v in zip(on, key)]) for key in hot]
+    return reduce(operator.or_, any_of, F.lit(False))
 
 
 def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
-    how: str,
-    hot: DataFrame,
-    salt_on: list[str] | None = None,
+    left: DataFrame, right: DataFrame, on: list[str], how: str, hot: list[tuple], salt_on: list[str] | None = None
 ) -> DataFrame:
     """Equi-join (left, inner, left_semi or left_anti) with hot keys split.
 
@@ -95,98 +69,56 @@ def salted_join(
     assert how in {"left", "inner", "left_semi", "left_anti"}, how
     spread = [as_column(c) for c in (salt_on or on)]
     null_key = reduce(operator.or_, [as_column(c).isNull() for c in on])
-    salts = F.coalesce(F.col(_SALTS), F.lit(1))
+    salts = F.lit(1)
+    for *key, n in hot:
+        salts = F.when(is_hot(on, [(*key, n)]), F.lit(n)).otherwise(salts)
     left_salts = F.when(null_key, F.lit(NULL_SALTS)).otherwise(salts)
-    left_salted = (
-        left.join(F.broadcast(hot), on, "left")
-        .withColumn(_SALT, F.pmod(F.xxhash64(*spread, F.spark_partition_id()), left_salts).cast("int"))
-        .drop(_SALTS)
-    )
-    right_salted = (
-        right.join(F.broadcast(hot), on, "left")
-        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), salts - 1)))
-        .drop(_SALTS)
-    )
+    salt = F.pmod(F.xxhash64(*spread, F.spark_partition_id()), left_salts).cast("int")
+    left_salted = left.withColumn(_SALT, salt)
+    right_salted = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), salts - 1)))
     joined = left_salted.join(right_salted, [*on, _SALT], how).drop(_SALT)
     extra = [] if how in {"left_semi", "left_anti"} else [c for c in right.columns if c not in on]
     return joined.select(*[as_column(c) for c in [*left.columns, *extra]])
 
 
-def split_join(left: DataFrame, right: DataFrame, on: list[str], how: str, hot: DataFrame) -> DataFrame:
-    """Equi-join (left, left_semi or left_anti) with a side that has one row per key.
-
-    Rows of normal keys meet ``right`` on the partitioning it already has. Rows
-    of hot keys are not shuffled: ``right`` has one row for each of those keys, a
-    bounded set that is broadcast. Rows without a key match nothing. Where no key
-    is hot, adaptive execution drops that branch without reading for it.
-    """
-    assert how in {"left", "left_semi", "left_anti"}, how
-    keys = F.broadcast(hot.select(*[as_column(c) for c in on]))
-    present = reduce(operator.and_, [as_column(c).isNotNull() for c in on])
-    cold = left.filter(present).join(keys, on, "left_anti").join(right, on, how)
-    hot_right = right.join(keys, on, "left_semi")
-    if how != "left":
-        # Only membership counts here, so repeated keys may be dropped.
-        hot_right = hot_right.select(*[as_column(c) for c in on]).distinct()
-    joined = cold.unionByName(left.join(keys, on, "left_semi").join(F.broadcast(hot_right), on, how))
-    if how == "left_semi":
-        return joined.select(*[as_column(c) for c in left.columns])
-    extra = [] if how == "left_anti" else [f for f in right.schema.fields if f.name not in on]
-    without = left.filter(~present).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
-    return joined.unionByName(without).select(*[as_column(c) for c in [*left.columns, *[f.name for f in extra]]])
-
-
 def join_dimension(
     fact: DataFrame,
     dim: DataFrame,
     on: list[str],
     how: str = "left",
     salt_on: list[str] | None = None,
-    counts: DataFrame | None = None,
-    max_rows: int = BROADCAST_ROWS,
     share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
-    unique: bool = False,
 ) -> DataFrame:
-    """Join every fact row with a smaller side (left, inner, semi or anti).
+    """Join every fact row with another side (left, inner, semi or anti), hot keys salted where there are any."""
+    hot = hot_keys(fact, on, share, min_rows)
+    return salted_join(fact, dim, on, how, hot, salt_on) if hot else fact.join(dim, on, how)
 
-    A side whose measured size fits is broadcast and the fact is not shuffled. A
-    larger one is joined by shuffle with the hot keys salted or, if it has one
-    row per key by construction (``unique``), split off. ``counts`` gives the
-    fact's rows per key (see :func:`key_counts`) where they are known or cheaper
-    to get than from the fact itself.
-    """
-    if fits_broadcast(dim, max_rows=max_rows):
-        return fact.join(F.broadcast(dim), on, how)
-    hot = hot_keys(fact, on, counts, share, min_rows)
-    return split_join(fact, dim, on, how, hot) if unique else salted_join(fact, dim, on, how, hot, salt_on)
 
+def comparable(child: DataFrame, col: str, parent: DataFrame, col2: str) -> Column:
+    """The child's key in the type of the parent's where exactly one of them is text.
 
-def enrich(
-    fact: DataFrame, dims: list[tuple[DataFrame, list[str]]], salt_on: list[str] | None = None, **limits
-) -> DataFrame:
-    """Left-join several dimensions to a fact, one after another.
-
-    Hot keys are counted on the bare fact, so no join runs twice.
+    A text that is no value of the parent's type becomes NULL and so matches
+    nothing. Keys of two other types meet in the type that Spark finds for both.
     """
-    joined = fact
-    for dim, on in dims:
-        joined = join_dimension(joined, dim, on, "left", salt_on, key_counts(fact, on), **limits)
-    return joined
+    mine, theirs = (df.select(as_column(c)).schema.fields[0].dataType for df, c in ((child, col), (parent, col2)))
+    texts = [isinstance(t, (T.StringType, T.VarcharType, T.CharType)) for t in (mine, theirs)]
+    return as_column(col).try_cast(theirs) if texts[0] != texts[1] else as_column(col)
 
 
 def key_match(child: DataFrame, parent: DataFrame, col: str, col2: str) -> DataFrame:
     """One row per child key (NULL included): key, row count ``n``, ``matched``.
 
     Both sides are aggregated to distinct keys first; the join is one to one and
-    reuses the partitioning of the two aggregations.
+    reuses the partitioning of the two aggregations. Text keys and typed keys
+    compare as in :func:`comparable`.
     """
     child_keys = child.groupBy(as_column(col).alias("key")).agg(F.count(F.lit(1)).alias("n"))
     parent_keys = (
         parent.select(as_column(col2).alias("parent_key")).filter(F.col("parent_key").isNotNull()).distinct()
     )
-    joined = child_keys.join(parent_keys, F.col("key") == F.col("parent_key"), "left")
-    return joined.select("key", "n", F.col("parent_key").isNotNull().alias("matched"))
+    same = comparable(child_keys, "key", parent_keys, "parent_key") == F.col("parent_key")
+    return child_keys.join(parent_keys, same, "left").select("key", "n", F.col("parent_key").isNotNull().alias("matched"))
 
 
 def orphan_keys(child: DataFrame, parent: DataFrame, col: str, col2: str) -> DataFrame:
@@ -194,21 +126,16 @@ def orphan_keys(child: DataFrame, parent: DataFrame, col: str, col2: str) -> Dat
     return key_match(child, parent, col, col2).filter(F.col("key").isNotNull() & ~F.col("matched")).select("key", "n")
 
 
-def rows_in(df: DataFrame, keys: DataFrame, on: list[str], **limits) -> DataFrame:
-    """Rows whose key is in ``keys`` (semi-join); ``limits`` as in :func:`join_dimension`."""
-    return join_dimension(df, keys.select(*[as_column(c) for c in on]), on, "left_semi", unique=True, **limits)
+def rows_in(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """Rows whose key is in ``keys`` (semi-join)."""
+    return df.join(keys.select(*[as_column(c) for c in on]), on, "left_semi")
 
 
-def orphans(child: DataFrame, parent: DataFrame, col: str, col2: str, **limits) -> DataFrame:
+def orphans(child: DataFrame, parent: DataFrame, col: str, col2: str) -> DataFrame:
     """Child rows with a non-NULL key that the parent does not have (anti-join)."""
-    parent_keys = parent.filter(as_column(col2).isNotNull()).select(as_column(col2).alias(col)).distinct()
-    keyed = child.filter(as_column(col).isNotNull())
-    return join_dimension(keyed, parent_keys, [col], "left_anti", unique=True, **limits)
-
-
-def join_summary(df: DataFrame, summary: DataFrame, key: str, **limits) -> DataFrame:
-    """Left-join an aggregate that has one row per key; ``limits`` as in :func:`hot_keys`."""
-    return split_join(df, summary, [key], "left", hot_keys(df, [key], **limits))
+    parent_keys = parent.select(as_column(col2).alias("__parent_key")).filter(F.col("__parent_key").isNotNull()).distinct()
+    same = comparable(child, col, parent_keys, "__parent_key") == F.col("__parent_key")
+    return child.filter(as_column(col).isNotNull()).join(parent_keys, same, "left_anti")
 
 
 def combine_metrics(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
@@ -244,6 +171,9 @@ def offset_join(
 
 
 def on_spine(series: DataFrame, spine: DataFrame, day: str, spine_day: str = "date_day") -> DataFrame:
-    """Every day of the spine with the series' values, NULL where it has none."""
+    """Every day of the spine with the series' values, NULL where it has none.
+
+    Days of the series outside the spine have no row in the result.
+    """
     days = spine.select(as_column(spine_day).alias(day))
     return days.join(series, day, "left")

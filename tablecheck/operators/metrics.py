@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException, SparkRuntimeException
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,9 +22,14 @@ from ..functions.columns import as_column, as_text, parse_date, parse_ts
 from ..functions.predicates import expr_true, in_set, matches
 from .aggregates import frequencies
 from .joins import key_match
+from .planning import plan_errors
 from .windows import union_frames
 
 EMPTY_INPUT = "no rows to measure"
+NOT_A_NUMBER = "the value is not a number"
+# How a number without decimals and one with decimals is written.
+WHOLE_NUMBER = r"^[0-9]+$"
+DECIMAL_NUMBER = r"^\d+\.\d{%d,}$"
 
 
 @dataclass(frozen=True, eq=False)
@@ -71,11 +76,11 @@ def compliance(name: str, condition: Column | str, where: Column | str | None =
 
 
 def credibility(col: str, pattern: str | None = None, values: str | Iterable[str] | None = None) -> Metric:
-    """Credibility: by pattern or by value set."""
+    """Credibility: by pattern, taken without blanks around it, or by value set."""
     if (pattern is None) == (values is None):
         raise ValueError("credibility needs either a pattern or a value set")
     if pattern is not None:
-        return pattern_match(col, pattern)
+        return pattern_match(col, pattern.strip())
     return Metric("Compliance", col, share(in_set(col, values)))
 
 
@@ -87,7 +92,7 @@ def accuracy(col: str, pattern: str | None = None, values: str | Iterable[str] |
 def precision_pattern(decimals: int | str) -> str:
     """Fixed format of a number with at least that many decimals (0: none at all)."""
     n = int(decimals)
-    return r"^[0-9]+$" if n == 0 else rf"^\d+\.\d{{{n},}}$"
+    return WHOLE_NUMBER if n == 0 else DECIMAL_NUMBER % n
 
 
 def precision(col: str, decimals: int | str) -> Metric:
@@ -165,26 +170,22 @@ def _failed(df: DataFrame, m: Metric, message: str) -> DataFrame:
     return one.select(*_labels(m), F.lit(None).cast("double").alias("value"), F.lit(message).alias("message"))
 
 
-def _planned(df: DataFrame, metrics: list[Metric]) -> list[DataFrame | str | None]:
-    """Per metric its own frame, None for a single-scan one, or why it has no plan.
+def _plan(df: DataFrame, metrics: list[Metric]) -> None:
+    """Raise unless all metrics can be planned.
 
-    Analyzes the metrics and compiles their patterns without running a job: a
-    pattern match on a literal is folded by the optimizer and reads nothing.
+    Analyzes the metrics, with the conversion of their values, and compiles
+    their patterns without running a job: a pattern match on a literal is folded
+    by the optimizer and reads nothing.
     """
-    try:
-        patterns = [m.pattern for m in metrics if m.pattern is not None]
-        if patterns:
-            df.sparkSession.sql("SELECT " + ", ".join(["'' RLIKE ?"] * len(patterns)), args=patterns).collect()
-        scans = [m.value for m in metrics if m.frame is None]
-        if scans:
-            df.agg(*scans).schema  # noqa: B018
-        return [None if m.frame is None else m.frame(df) for m in metrics]
-    except (AnalysisException, SparkRuntimeException) as e:
-        if len(metrics) == 1:
-            return [str(e).split("\n", 1)[0]]
-    # Halving finds a few broken metrics among many without planning each alone.
-    half = len(metrics) // 2
-    return _planned(df, metrics[:half]) + _planned(df, metrics[half:])
+    patterns = [m.pattern for m in metrics if m.pattern is not None]
+    if patterns:
+        df.sparkSession.sql("SELECT " + ", ".join(["'' RLIKE ?"] * len(patterns)), args=patterns).collect()
+    scans = [m.value.try_cast("double") for m in metrics if m.frame is None]
+    if scans:
+        df.agg(*scans).schema  # noqa: B018
+    for m in metrics:
+        if m.frame is not None:
+            m.frame(df).schema  # noqa: B018
 
 
 def run_metrics(df: DataFrame, metrics: list[Metric]) -> DataFrame:
@@ -192,20 +193,46 @@ def run_metrics(df: DataFrame, metrics: list[Metric]) -> DataFrame:
 
     All single-scan metrics share one aggregation. A metric that cannot be
     planned (unknown column, broken expression) gives a row with a NULL value
-    and a message, and so does one without rows to measure; the others run.
+    and a message, and so does one without rows to measure or whose value is no
+    number; the others run. Conversions that the metrics make themselves never
+    raise; for expressions of the caller that may, see :func:`run_isolated`.
     """
-    message = F.when(F.col("value").isNull(), F.lit(EMPTY_INPUT)).alias("message")
+    message = F.when(F.col("value").isNotNull(), F.lit(None)).when(F.col("found"), F.lit(NOT_A_NUMBER))
+    message = message.otherwise(F.lit(EMPTY_INPUT)).alias("message")
     scans, frames = [], []
-    for m, planned in zip(metrics, _planned(df, metrics), strict=True):
-        if planned is None:
+    for m, problem in zip(metrics, plan_errors(metrics, lambda some: _plan(df, some)), strict=True):
+        if problem is not None:
+            frames.append(_failed(df, m, problem))
+        elif m.frame is None:
             scans.append(m)
-        elif isinstance(planned, str):
-            frames.append(_failed(df, m, planned))
         else:
-            value = F.col("value").cast("double").alias("value")
-            frames.append(planned.select(*_labels(m), value).select("*", message))
+            value = [F.col("value").try_cast("double").alias("value"), F.col("value").isNotNull().alias("found")]
+            frames.append(m.frame(df).select(*_labels(m), *value).select("*", message).drop("found"))
     if scans:
-        row = df.agg(*[m.value.cast("double").alias(f"m{i}") for i, m in enumerate(scans)])
-        rows = F.array(*[F.struct(*_labels(m), F.col(f"m{i}").alias("value")) for i, m in enumerate(scans)])
-        frames.insert(0, row.select(F.inline(rows)).select("*", message))
+        row = df.agg(*[m.value.alias(f"m{i}") for i, m in enumerate(scans)])
+        values = [(F.col(f"m{i}").try_cast("double").alias("value"), F.col(f"m{i}").isNotNull().alias("found")) for i in range(len(scans))]
+        rows = F.array(*[F.struct(*_labels(m), *value) for m, value in zip(scans, values)])
+        frames.insert(0, row.select(F.inline(rows)).select("*", message).drop("found"))
     return union_frames(frames)
+
+
+def run_isolated(df: DataFrame, metrics: list[Metric]) -> DataFrame:
+    """As :func:`run_metrics`, measured at once, with metrics that fail while running kept apart.
+
+    One run measures them all. Only if it fails, halving finds the metrics at
+    fault; they get a row with a NULL value and the message. One row per metric
+    reaches the driver.
+    """
+
+    def measured(some: list[Metric]) -> list:
+        try:
+            return run_metrics(df, some).collect()
+        except PySparkException as e:
+            if len(some) == 1:
+                problem = str(e).split("\n", 1)[0]
+                return _failed(df, some[0], problem).collect()
+        half = len(some) // 2
+        return measured(some[:half]) + measured(some[half:])
+
+    schema = "entity string, instance string, name string, is_ratio boolean, value double, message string"
+    return df.sparkSession.createDataFrame(measured(metrics) if metrics else [], schema)

@@ -7,71 +7,74 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.columns import as_column
-from .joins import hot_keys
-
+from ..sources.scratch import scratch_path
+from .joins import hot_keys, is_hot
 
 _CELL = "__cell"
-_TOTAL = "__total"
+_LOCAL = "__local"
 
 
-def _shift_by_earlier_cells(cells: DataFrame, partition: list[str], size: Column, local: DataFrame, out: str) -> DataFrame:
-    """Add to ``__local`` the total size of the earlier cells of the partition.
+def _range_cells(df: DataFrame, partition: list[str], order: list[str]) -> DataFrame:
+    """The rows dealt out in the order of partition and order columns, each with the number of its range.
 
-    ``__total`` is the size of the whole partition. ``__cell`` is a struct of the partition keys and the bucket values: it is
-    never NULL, NULL fields compare equal, and because the rows are already
-    hash-partitioned and sorted by it, this join does not move them again.
+    Ranges are cut by the distribution of the rows, wherever it lies, so none
+    grows beyond its portion unless rows are equal in all columns. They are written to the
+    shared folder, as the ranges of a second run need not be the same.
     """
-    sizes = cells.groupBy(_CELL).agg(size.alias("__size"))
-    keys = [F.col(f"{_CELL}.p{i}") for i in range(len(partition))]
-    before = Window.partitionBy(*keys).orderBy(_CELL).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
+    spark = df.sparkSession
+    n = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    path = scratch_path(spark, "ranges")
+    by = [as_column(c) for c in [*partition, *order]]
+    df.repartitionByRange(n, *by).withColumn(_CELL, F.spark_partition_id()).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _shifted(cells: DataFrame, partition: list[str], size: Column, local: Column, out: str, total: str | None) -> DataFrame:
+    """``local``, computed inside each cell, plus the size of the earlier cells of its partition."""
+    key = F.struct(*[as_column(p).alias(f"p{i}") for i, p in enumerate(partition)], F.col(_CELL).alias("cell"))
+    keyed = cells.withColumn(_CELL, key)
+    owner = [F.col(f"{_CELL}.p{i}") for i in range(len(partition))]
+    before = Window.partitionBy(*owner).orderBy(f"{_CELL}.cell").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = keyed.groupBy(_CELL).agg(size.alias("__size")).select(
         _CELL,
         F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"),
-        F.sum("__size").over(Window.partitionBy(*keys)).alias(_TOTAL),
+        F.sum("__size").over(Window.partitionBy(*owner)).alias("__total"),
     )
-    joined = local.join(offsets, _CELL, "left")
-    return joined.withColumn(out, F.col("__local") + F.coalesce(F.col("__offset"), F.lit(0)))
-
-
-def _cell(partition: list[str], cuts: list[Column]) -> Column:
-    keys = [as_column(p).alias(f"p{i}") for i, p in enumerate(partition)]
-    return F.struct(*keys, *[c.alias(f"b{i}") for i, c in enumerate(cuts)])
+    joined = keyed.withColumn(_LOCAL, local).join(offsets, _CELL)
+    plain = [as_column(c) for c in cells.columns if c != _CELL]
+    extra = [] if total is None else [F.col("__total").alias(total)]
+    # A cell of which nothing has been counted yet has no running value.
+    value = F.when(F.col(_LOCAL).isNull() & (F.col("__offset") == 0), F.lit(None)).otherwise(
+        F.coalesce(F.col(_LOCAL), F.lit(0)) + F.col("__offset")
+    )
+    return joined.select(*plain, value.alias(out), *extra)
 
 
 def ordinal(
-    df: DataFrame,
-    partition: str,
-    order: list[str],
-    out: str,
-    buckets: list[Column | str] | None = None,
-    cells_from: DataFrame | None = None,
-    **limits,
+    df: DataFrame, partition: str, order: list[str], out: str, cells_from: DataFrame | None = None, **limits
 ) -> DataFrame:
     """``row_number`` over ``partition`` by ``order`` (end it with a unique tie-break).
 
-    A partition with more rows than a task should take is cut into buckets, by
-    default the values of the first order column: rows are numbered inside their
-    bucket and shifted by the size of the earlier buckets of that partition.
-    ``buckets`` must be coarser than, and sorted like, a prefix of ``order``.
-    Partitions of normal size stay in one bucket. ``cells_from`` is a frame with
-    the same rows that is cheaper to count than ``df``. ``limits`` as in
+    Partitions with more rows than a task should take, NULL among them, are dealt
+    out in ranges of the whole order; rows are numbered inside their range and
+    shifted by the size of the earlier ranges of their partition. Where no
+    partition is that large, this is the plain window. ``cells_from`` is a frame
+    with the same rows that is cheaper to count than ``df``. ``limits`` as in
     :func:`~tablecheck.operators.joins.hot_keys`.
     """
-    cuts = [as_column(b) for b in (buckets or order[:1])]
-    source = df if cells_from is None else cells_from
-    hot = hot_keys(source, [partition], **limits)
-    # NULL is one more partition that may be large, so it is always cut.
-    split = F.col("__salts").isNotNull() | as_column(partition).isNull()
+    by = [as_column(o) for o in order]
+    hot = hot_keys(df if cells_from is None else cells_from, [partition], nulls=True, **limits)
 
-    def celled(frame: DataFrame) -> DataFrame:
-        marked = frame.join(F.broadcast(hot), partition, "left").withColumn("__split", split)
-        return marked.withColumn(_CELL, _cell([partition], [F.when(F.col("__split"), c) for c in cuts]))
+    def numbered(frame: DataFrame) -> DataFrame:
+        w = Window.partitionBy(as_column(partition)).orderBy(*by)
+        return frame.withColumn(out, F.row_number().over(w).cast("bigint"))
 
-    w = Window.partitionBy(_CELL).orderBy(*[as_column(o) for o in order])
-    numbered = celled(df).withColumn("__local", F.row_number().over(w))
-    cut_cells = celled(source).filter("__split")
-    shifted = _shift_by_earlier_cells(cut_cells, [partition], F.count(F.lit(1)), numbered, out)
-    return shifted.select(*[as_column(c) for c in df.columns], F.col(out).cast("bigint").alias(out))
+    if not hot:
+        return numbered(df)
+    cells = _range_cells(df.filter(is_hot([partition], hot)), [partition], order)
+    local = F.row_number().over(Window.partitionBy(_CELL).orderBy(*by))
+    split = _shifted(cells, [partition], F.count(F.lit(1)), local, out, None)
+    return numbered(df.filter(~is_hot([partition], hot))).union(split.withColumn(out, F.col(out).cast("bigint")))
 
 
 def running_sum(
@@ -80,31 +83,33 @@ def running_sum(
     order: list[str],
     value: str,
     out: str,
-    buckets: list[Column | str] | None = None,
     total: str | None = None,
+    split: bool = False,
+    **limits,
 ) -> DataFrame:
     """Running total of ``value`` over ``partition`` by ``order``.
 
     ``total`` names a further column for the total of the whole partition.
-
-    With ``buckets`` (coarser than, and sorted like, a prefix of ``order``) each
-    bucket is summed on its own and shifted by the total of the earlier ones, so
-    that no task needs a whole partition. Without, use it on aggregated series.
+    Without ``split`` a task holds a whole partition, which suits aggregated
+    series. With it, partitions above the ``limits`` (as in
+    :func:`~tablecheck.operators.joins.hot_keys`) are dealt out in ranges of the
+    order as in :func:`ordinal`.
     """
-    keys = [as_column(p) for p in partition]
     by = [as_column(o) for o in order]
-    if not buckets:
+
+    def summed(frame: DataFrame) -> DataFrame:
+        keys = [as_column(p) for p in partition]
         w = Window.partitionBy(*keys).orderBy(*by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        summed = df.withColumn(out, F.sum(as_column(value)).over(w))
-        if total is not None:
-            summed = summed.withColumn(total, F.sum(as_column(value)).over(Window.partitionBy(*keys)))
-        return summed
-    celled = df.withColumn(_CELL, _cell(partition, [as_column(b) for b in buckets]))
+        more = {} if total is None else {total: F.sum(as_column(value)).over(Window.partitionBy(*keys))}
+        return frame.withColumns({out: F.sum(as_column(value)).over(w), **more})
+
+    hot = hot_keys(df, partition, nulls=True, **limits) if split else []
+    if not hot:
+        return summed(df)
+    cells = _range_cells(df.filter(is_hot(partition, hot)), partition, order)
     w = Window.partitionBy(_CELL).orderBy(*by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = celled.withColumn("__local", F.sum(as_column(value)).over(w))
-    shifted = _shift_by_earlier_cells(celled, partition, F.sum(as_column(value)), local, out)
-    extra = [] if total is None else [F.col(_TOTAL).alias(total)]
-    return shifted.select(*[as_column(c) for c in df.columns], F.col(out), *extra)
+    shifted = _shifted(cells, partition, F.sum(as_column(value)), F.sum(as_column(value)).over(w), out, total)
+    return summed(df.filter(~is_hot(partition, hot))).union(shifted)
 
 
 def cumulative(series: DataFrame, day: str, value: str, out: str, keys: list[str] | None = None) -> DataFrame:

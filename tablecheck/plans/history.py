@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -15,6 +15,11 @@ def union_history(frames: list[DataFrame]) -> DataFrame:
     return union_frames(frames, allow_missing=True)
 
 
+def percent_number() -> Column:
+    """The percentage of a result row as a whole number."""
+    return F.rtrim(F.col(PERCENT), F.lit("%")).try_cast("int").alias("percent")
+
+
 def evolution(history: DataFrame) -> DataFrame:
     """One row per indicator and run: ``indicator, evaluation, percent, change``.
 
@@ -23,7 +28,7 @@ def evolution(history: DataFrame) -> DataFrame:
     rows = history.select(
         F.col(f"`{INDICATOR}`").alias("indicator"),
         "evaluation",
-        F.rtrim(F.col(PERCENT), F.lit("%")).try_cast("int").alias("percent"),
+        percent_number(),
     )
     # One row per run and indicator: the window spans the runs of one indicator.
     by_run = Window.partitionBy("indicator").orderBy("evaluation")

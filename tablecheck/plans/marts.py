@@ -7,27 +7,21 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import customer_type
 from ..operators.aggregates import count_col, count_distinct, count_flag, sum_by
-from ..operators.joins import enrich, join_summary
 from ..operators.windows import ordinal
 
 
-def product_attributes(products: DataFrame, supplies: DataFrame) -> DataFrame:
-    """Per product: its attributes and its summed supply cost, either may be absent.
+def order_items(items: DataFrame, orders: DataFrame, products: DataFrame, supplies: DataFrame) -> DataFrame:
+    """One row per order item with order date, product attributes and supply cost.
 
-    Joining the two small sides first means the items meet both in one join.
+    The order comes last, so that a grouping by order finds the rows already
+    partitioned by it.
     """
-    costs = sum_by(supplies, ["product_id"], "supply_cost")
     attributes = products.select("product_id", "product_name", "product_price", "is_food_item", "is_drink_item")
-    return attributes.join(costs, "product_id", "full_outer")
-
-
-def order_items(items: DataFrame, orders: DataFrame, products: DataFrame, supplies: DataFrame) -> DataFrame:
-    """One row per order item with order date, product attributes and supply cost."""
-    dims = [
-        (orders.select("order_id", "ordered_at"), ["order_id"]),
-        (product_attributes(products, supplies), ["product_id"]),
-    ]
-    enriched = enrich(items, dims, salt_on=["order_item_id"])
+    enriched = (
+        items.join(attributes, "product_id", "left")
+        .join(sum_by(supplies, ["product_id"], "supply_cost"), "product_id", "left")
+        .join(orders.select("order_id", "ordered_at"), "order_id", "left")
+    )
     return enriched.select(
         *items.columns, "ordered_at", "product_name", "product_price", "is_food_item", "is_drink_item", "supply_cost"
     )
@@ -44,15 +38,14 @@ def order_items_summary(items: DataFrame) -> DataFrame:
     )
 
 
-def orders(stg_orders: DataFrame, items: DataFrame, buckets: list | None = None, **limits) -> DataFrame:
+def orders(stg_orders: DataFrame, items: DataFrame, **limits) -> DataFrame:
     """One row per order with its items summed up and the customer's order number.
 
     An order without items keeps NULL counts and flags. Orders of one day are
-    numbered by order id. Hot customers and orders are looked for in the staged
-    orders, a narrow scan. ``buckets`` and ``limits`` as in
-    :func:`~tablecheck.operators.windows.ordinal`.
+    numbered by order id. Hot customers are looked for in the staged orders, a
+    narrow scan. ``limits`` as in :func:`~tablecheck.operators.windows.ordinal`.
     """
-    joined = join_summary(stg_orders, order_items_summary(items), "order_id", **limits)
+    joined = stg_orders.join(order_items_summary(items), "order_id", "left")
     flagged = joined.select(
         *stg_orders.columns,
         "order_cost",
@@ -64,10 +57,10 @@ def orders(stg_orders: DataFrame, items: DataFrame, buckets: list | None = None,
         (F.col("count_drink_items") > 0).alias("is_drink_order"),
     )
     by = ["ordered_at", "order_id"]
-    return ordinal(flagged, "customer_id", by, "customer_order_number", buckets, cells_from=stg_orders, **limits)
+    return ordinal(flagged, "customer_id", by, "customer_order_number", cells_from=stg_orders, **limits)
 
 
-def customers(stg_customers: DataFrame, order_mart: DataFrame, **limits) -> DataFrame:
+def customers(stg_customers: DataFrame, order_mart: DataFrame) -> DataFrame:
     """One row per customer with lifetime totals and a new/returning label."""
     summary = order_mart.groupBy("customer_id").agg(
         count_distinct("order_id").alias("count_lifetime_orders"),
@@ -77,7 +70,7 @@ def customers(stg_customers: DataFrame, order_mart: DataFrame, **limits) -> Data
         F.sum("tax_paid").alias("lifetime_tax_paid"),
         F.sum("order_total").alias("lifetime_spend"),
     )
-    joined = join_summary(stg_customers, summary, "customer_id", **limits)
+    joined = stg_customers.join(summary, "customer_id", "left").select(*stg_customers.columns, *summary.columns[1:])
     return joined.withColumn("customer_type", customer_type(F.col("count_lifetime_orders") > 1))
 
 

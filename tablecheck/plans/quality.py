@@ -139,12 +139,15 @@ def _error_rows(spark: SparkSession, errors: list[tuple[str, str]]) -> DataFrame
     return spark.createDataFrame([(n, None, e) for n, e in errors], "indicator string, value double, message string")
 
 
-def run_plan(spark: SparkSession, plan: DataFrame, resolve: TableResolver) -> DataFrame:
+def run_plan(spark: SparkSession, plan: DataFrame, resolve: TableResolver, isolate: bool = False) -> DataFrame:
     """Measure every test: ``indicator, value, message``.
 
     ``resolve(schema, table)`` gives the DataFrame of a table. A test that is
     invalid, or whose table or column does not exist, gets a row with a NULL
-    value and a message; the others run.
+    value and a message; the others run. All tests are one query. With
+    ``isolate`` every table is measured at once, and a test that fails while
+    running, for example because a column is computed by an expression that
+    raises, gets a message too instead of ending the run.
     """
     errors: list[tuple[str, str]] = []
     by_table: dict[tuple, list[m.Metric]] = {}
@@ -168,7 +171,7 @@ def run_plan(spark: SparkSession, plan: DataFrame, resolve: TableResolver) -> Da
         else:
             errors.append((test["indicator"], problem))
     frames = [
-        m.run_metrics(tables[key], found).select(F.col("instance").alias("indicator"), "value", "message")
+        (m.run_isolated if isolate else m.run_metrics)(tables[key], found).select(F.col("instance").alias("indicator"), "value", "message")
         for key, found in by_table.items()
     ]
     if errors:

@@ -11,7 +11,7 @@ DIALECTS = {
     "sqlserver": (
         "com.microsoft.sqlserver.jdbc.SQLServerDriver",
         1433,
-        "jdbc:sqlserver://{host}:{port};databaseName={database};encrypt=false;trustServerCertificate=true;",
+        "jdbc:sqlserver://{host}:{port};databaseName={database};encrypt={encrypt};trustServerCertificate={trust};",
     ),
     "postgresql": ("org.postgresql.Driver", 5432, "jdbc:postgresql://{host}:{port}/{database}"),
     "mysql": ("com.mysql.cj.jdbc.Driver", 3306, "jdbc:mysql://{host}:{port}/{database}?useSSL=false"),
@@ -40,14 +40,25 @@ def jdbc_options(
     partition: JdbcPartition | None = None,
     port: int | None = None,
     fetch_size: int = 10_000,
+    encrypt: bool = True,
+    trust_certificate: bool = False,
 ) -> dict[str, str]:
-    """Reader options of a table scan; an unknown database kind is refused."""
+    """Reader options of a table scan; an unknown database kind is refused.
+
+    ``encrypt`` and ``trust_certificate`` apply to SQL Server; they are secure unless set otherwise.
+    """
     kind = dialect.lower()
     if kind not in DIALECTS:
         raise ValueError(f"unsupported database kind: {dialect}")
     driver, default_port, form = DIALECTS[kind]
     options = {
-        "url": form.format(host=host, port=port or default_port, database=database),
+        "url": form.format(
+            host=host,
+            port=port or default_port,
+            database=database,
+            encrypt=str(encrypt).lower(),
+            trust=str(trust_certificate).lower(),
+        ),
         "driver": driver,
         "dbtable": table,
         "user": user,
@@ -74,11 +85,12 @@ def read_jdbc(
     password: str,
     partition: JdbcPartition | None = None,
     port: int | None = None,
+    **options,
 ) -> DataFrame:
     """Scan a database table; columns and filters used later are pushed into it.
 
     Without ``partition`` the table comes through one connection, which suits
-    small tables only.
+    small tables only. Further ``options`` are those of :func:`jdbc_options`.
     """
-    options = jdbc_options(dialect, host, database, table, user, password, partition, port)
-    return spark.read.format("jdbc").options(**options).load()
+    found = jdbc_options(dialect, host, database, table, user, password, partition, port, **options)
+    return spark.read.format("jdbc").options(**found).load()

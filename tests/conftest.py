@@ -25,31 +25,27 @@ def spark(tmp_path_factory):
 
 
 @pytest.fixture(scope="session")
-def members(spark):
-    """A small customer table with gaps, repeats and odd values."""
+def boats(spark):
+    """Seven boats with gaps, a repeated hull, a contact that is none and a sale before the launch."""
     rows = [
-        # id, name, mail, phone, joined, left, code, number, postcode, kind
-        (1, "Ada", "ada@mail.com", "600100200", "2025-03-01", None, "A1", 1, None, "normal"),
-        (2, "Ben", "ben.b@mail.com", "600100201", "2025-02-25", None, "B1", 2, None, "normal"),
-        (3, "Cleo", "cleo@mail.com", "600100202", "2025-03-02", None, "C1", 3, None, "vip"),
-        (4, "Dan", "dan+x@mail.com", "600100203", "2025-02-28", None, "D1", 5, None, "normal"),
-        (5, "Eva", "eva@mail.com", "600100204", "2025-01-10", "2025-02-01", "E1", 6, None, "normal"),
-        (6, "Flo", "flo@mail.com", "600100205", "2025-03-06", None, "F1", 7, "28001", "normal"),
-        (7, "Gus", "gus@mail.com", "600100206", "2025-03-06", None, "G1", 8, "28001", "normal"),
-        (8, "Hal", "hal@mail.com", "600100207", "2025-03-07", None, "H1", 9, "28002", "normal"),
-        (9, "Ivy", "ivy@mail.com", "600100208", "2025-03-08", None, "I1", 10, "28002", "normal"),
-        (10, "Jo", "jo@mail.com", "600100209", "2025-03-09", None, "J1", 11, "28001", "normal"),
-        (11, "Kim", "kim@mail.com", "600100210", "2025-03-06", None, "K1", 7, "28001", "normal"),
+        # boat_id, title, contact, berth, launched, sold, hull, crew, harbour, class
+        (1, "Alba", "skipper@alba.boat", "B-101", "2021-05-04", None, "H9", 4, "Oban", "sail"),
+        (2, "Brisk", "brisk.boat", "B-102", "2019-08-17", "2022-01-01", "H2", 2, None, "sail"),
+        (3, "Coral", "hq@coral.boat", "C7", "2022-03-30", None, "H3", 4, "Oban", "motor"),
+        (4, "Dawn", None, "B-104", "2020-11-11", "2019-01-01", "H4", 1, "Skye", "sail"),
+        (5, "Esker", "ops@esker.boat", "B-105", "2023-02-14", None, "H5", 6, None, "barge"),
+        (6, "Fjord", "me@fjord", "B-106", "2018-06-01", None, "H6", None, "Skye", "motor"),
+        (7, "Gannet", "x@gannet.boat", "D8", "2023-07-09", None, "H3", 9, "Oban", "sail"),
     ]
     schema = (
-        "id int, name string, mail string, phone string, joined string, left string, code string, number int, "
-        "postcode string, kind string"
+        "boat_id int, title string, contact string, berth string, launched string, sold string, hull string, crew int, "
+        "harbour string, class string"
     )
     return spark.createDataFrame(rows, schema)
 
 
 @pytest.fixture(scope="session")
-def purchases(spark):
-    """Orders of five of the members."""
-    rows = [(1, 1, "open"), (2, 2, "sent"), (3, 3, "sent"), (4, 4, "done"), (5, 5, "void")]
-    return spark.createDataFrame(rows, "order_id int, member_id int, state string")
+def trips(spark):
+    """Trips of some boats, one without a boat and one of a boat that does not exist."""
+    rows = [(10, 3, "done"), (11, 3, "open"), (12, 7, "open"), (13, 1, "lost"), (14, None, "open"), (15, 12, "done")]
+    return spark.createDataFrame(rows, "trip_id int, boat int, stage string")

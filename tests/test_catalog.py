@@ -37,5 +37,5 @@ def test_entry(spark):
     spec = importlib.util.spec_from_file_location("entry_module", os.path.join(ROOT, "__spark_entry__.py"))
     module = importlib.util.module_from_spec(spec)
     spec.loader.exec_module(module)
-    assert module.entry(spark).count() == 15
+    assert module.entry(spark).count() == 14
     assert set(module.oracle_sql()) <= set(module.queries())

@@ -9,34 +9,59 @@ def values(df, metrics):
     return [r["value"] for r in m.run_metrics(df, metrics).collect()]
 
 
-def test_member_rules(members, purchases):
+def test_boat_rules(boats, trips):
     found = values(
-        members,
+        boats,
         [
-            m.completeness("id"),
-            m.completeness("postcode"),
-            m.credibility("mail", pattern=r"^[a-zA-Z0-9_.+-]+@[a-zA-Z]+\.[a-zA-Z]+$"),
-            m.accuracy("phone", pattern=r"^\d{9,}$"),
-            m.credibility("kind", values="normal, vip"),
-            m.satisfies("left IS NULL OR joined <= left", "left after joined"),
-            m.minimum("id", where="id > 1"),
             m.size(),
+            m.minimum("crew", where="crew > 1"),
+            m.completeness("harbour"),
+            m.satisfies("sold IS NULL OR launched <= sold", "sold after launch"),
+            m.accuracy("berth", pattern=r"^B-\d{3}$"),
+            m.credibility("class", values="motor , sail"),
+            m.credibility("contact", pattern=r" @\w+\.boat$ "),
+            m.completeness("crew"),
         ],
     )
-    assert found == [1.0, 6 / 11, 1.0, 1.0, 1.0, 1.0, 2.0, 11.0]
-    assert values(members, [m.uniqueness("code")]) == [1.0]
-    assert values(members, [m.uniqueness("number")]) == [9 / 11]
-    assert values(members, [m.uniqueness(["number", "postcode"], digest=True)]) == [9 / 11]
-    assert values(purchases, [m.referential_integrity(members, "member_id", "id")]) == [1.0]
-    assert values(members, [m.referential_integrity(purchases, "id", "member_id")]) == [5 / 11]
+    assert found == [7.0, 2.0, 5 / 7, 6 / 7, 5 / 7, 6 / 7, 4 / 7, 6 / 7]
+    assert values(boats, [m.uniqueness("title")]) == [1.0]
+    assert values(boats, [m.uniqueness("hull")]) == [5 / 7]
+    assert values(boats, [m.uniqueness(["crew", "harbour"], digest=True)]) == [5 / 7]
+    assert values(trips, [m.referential_integrity(boats, "boat", "boat_id")]) == [4 / 6]
+    assert values(boats, [m.referential_integrity(trips, "boat_id", "boat")]) == [3 / 7]
 
 
-def test_single_scan_metrics_share_one_aggregation(members):
-    df = m.run_metrics(members, [m.completeness(c) for c in members.columns] + [m.minimum("id")])
+def test_single_scan_metrics_share_one_aggregation(boats):
+    df = m.run_metrics(boats, [m.completeness(c) for c in boats.columns] + [m.minimum("crew")])
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
 
 
+@pytest.mark.parametrize("as_text", [True, False])
+def test_integrity_between_text_and_typed_keys(spark, as_text):
+    texts = spark.createDataFrame([("1",), ("x",), ("2",), (None,), ("7",)], "k string")
+    numbers = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    child, parent, expected = (texts, numbers, 2 / 5) if as_text else (numbers, texts, 2 / 3)
+    assert values(child, [m.referential_integrity(parent, "k", "k")]) == [expected]
+
+
+def test_minimum_that_is_no_number_gets_a_message(boats):
+    days = boats.withColumn("day", F.to_date("launched"))
+    rows = m.run_metrics(days, [m.minimum("day"), m.minimum("title"), m.minimum("crew"), m.completeness("title")]).collect()
+    got = {(r["name"], r["instance"]): (r["value"], r["message"]) for r in rows}
+    assert got["Minimum", "crew"] == (1.0, None) and got["Completeness", "title"] == (1.0, None)
+    assert got["Minimum", "title"] == (None, m.NOT_A_NUMBER)
+    assert got["Minimum", "day"][0] is None and got["Minimum", "day"][1]
+
+
+def test_failing_expressions_are_kept_apart(boats):
+    metrics = [m.completeness("title"), m.satisfies("cast(title as int) > 0", "raises"), m.size(), m.uniqueness("hull")]
+    got = {r["instance"]: (r["value"], r["message"]) for r in m.run_isolated(boats, metrics).collect()}
+    assert got["title"] == (1.0, None) and got["*"] == (7.0, None) and got["hull"] == (5 / 7, None)
+    assert got["raises"][0] is None and got["raises"][1]
+    assert m.run_isolated(boats, []).collect() == []
+
+
 def test_null_policies(spark):
     df = spark.createDataFrame([("a",), ("b",), (None,), ("a",)], "c string")
     assert values(df, [m.credibility("c", values="a")]) == [0.5]  # strict
@@ -88,61 +113,61 @@ def test_integrity_with_repeated_and_null_keys(spark):
     assert values(child, [m.referential_integrity(parent, "k", "other")]) == [1 / 4]
 
 
-def test_empty_input_has_a_message(spark, members):
-    none = members.filter("id < 0")
-    rows = m.run_metrics(
-        none,
-        [m.completeness("id"), m.uniqueness("id"), m.referential_integrity(members, "id", "id"), m.minimum("id")],
-    ).collect()
+def test_empty_input_has_a_message(boats):
+    none = boats.filter("boat_id < 0")
+    metrics = [
+        m.completeness("title"), m.uniqueness("hull"), m.referential_integrity(boats, "boat_id", "boat_id"), m.minimum("crew"),
+    ]
+    rows = m.run_metrics(none, metrics).collect()
     assert [r["value"] for r in rows] == [None] * 4
     assert {r["message"] for r in rows} == {m.EMPTY_INPUT}
 
 
-def test_broken_metrics_do_not_stop_the_others(members):
+def test_broken_metrics_do_not_stop_the_others(boats):
     rows = m.run_metrics(
-        members,
+        boats,
         [
-            m.completeness("telf"),
-            m.completeness("id"),
-            m.pattern_match("mail", "^[a-z"),
-            m.satisfies("no_such(id)", "bad sql"),
-            m.uniqueness("telf"),
-            m.referential_integrity(members, "id", "no_key"),
-            m.minimum("number"),
+            m.completeness("mast"),
+            m.completeness("boat_id"),
+            m.pattern_match("contact", "[a-"),
+            m.satisfies("no_such(crew)", "bad sql"),
+            m.uniqueness("mast"),
+            m.referential_integrity(boats, "boat_id", "no_key"),
+            m.minimum("crew"),
         ],
     ).collect()
     by_name = {(r["name"], r["instance"]): (r["value"], r["message"]) for r in rows}
-    assert by_name["Completeness", "id"] == (1.0, None)
-    assert by_name["Minimum", "number"] == (1.0, None)
-    failed = [v for k, v in by_name.items() if v[0] is None]
+    assert by_name["Completeness", "boat_id"] == (1.0, None)
+    assert by_name["Minimum", "crew"] == (1.0, None)
+    failed = [v for v in by_name.values() if v[0] is None]
     assert len(failed) == 5
     assert all(message for _, message in failed)
 
 
-def test_checks(members):
+def test_checks(boats):
     rows = ck.run_checks(
-        members,
+        boats,
         [
-            ck.Check(ck.WARNING, "kinds", m.is_contained_in("kind", ["normal", "vip"]), lambda v: v >= 1.0),
-            ck.Check(ck.ERROR, "postcodes", m.completeness("postcode")),
-            ck.Check(ck.WARNING, "postcodes mostly", m.completeness("postcode"), lambda v: v > 0.5),
-            ck.Check(ck.WARNING, "codes", m.uniqueness("number")),
-            ck.Check(ck.ERROR, "missing", m.completeness("telf")),
+            ck.Check(ck.WARNING, "classes", m.is_contained_in("class", ["sail", "motor", "barge"]), lambda v: v >= 1.0),
+            ck.Check(ck.ERROR, "harbours", m.completeness("harbour")),
+            ck.Check(ck.WARNING, "most harbours", m.completeness("harbour"), lambda v: v > 0.7),
+            ck.Check(ck.WARNING, "hulls", m.uniqueness("hull")),
+            ck.Check(ck.ERROR, "missing", m.completeness("mast")),
         ],
     ).collect()
     status = {r["check"]: (r["status"], r["level"], r["instance"]) for r in rows}
     assert status == {
-        "kinds": ("Success", "Warning", "kind"),
-        "postcodes": ("Error", "Error", "postcode"),
-        "postcodes mostly": ("Success", "Warning", "postcode"),
-        "codes": ("Warning", "Warning", "number"),
-        "missing": ("Error", "Error", "telf"),
+        "classes": ("Success", "Warning", "class"),
+        "harbours": ("Error", "Error", "harbour"),
+        "most harbours": ("Success", "Warning", "harbour"),
+        "hulls": ("Warning", "Warning", "hull"),
+        "missing": ("Error", "Error", "mast"),
     }
 
 
-def test_where_restricts_the_rows(members):
-    found = values(members, [m.completeness("postcode", where="number > 5"), m.size(F.col("number") > 5)])
-    assert found == [6 / 7, 7.0]
+def test_where_restricts_the_rows(boats):
+    found = values(boats, [m.completeness("harbour", where="boat_id > 3"), m.size(F.col("crew") > 3)])
+    assert found == [3 / 4, 4.0]
 
 
 def test_credibility_needs_one_rule():

@@ -49,7 +49,7 @@ def test_seed_with_quoted_commas(spark, tmp_path):
 @pytest.mark.parametrize(
     ("kind", "url"),
     [
-        ("SQLServer", "jdbc:sqlserver://db:1433;databaseName=shop;encrypt=false;trustServerCertificate=true;"),
+        ("SQLServer", "jdbc:sqlserver://db:1433;databaseName=shop;encrypt=true;trustServerCertificate=false;"),
         ("postgresql", "jdbc:postgresql://db:5432/shop"),
         ("mysql", "jdbc:mysql://db:3306/shop?useSSL=false"),
         ("mariadb", "jdbc:mariadb://db:3306/shop"),
@@ -106,8 +106,8 @@ def result_rows(stamp, **percents):
 
 
 def test_history_of_array_files(spark, tmp_path):
-    first = result_rows("2025-06-23_12:32", A=10, B=20)
-    second = result_rows("2025-06-24_09:00", A=15) + result_rows("2025-06-24_09:01", B=20)
+    first = result_rows("2024-11-05_07:08", A=10, B=20)
+    second = result_rows("2024-12-06_18:30", A=15) + result_rows("2024-12-06_18:31", B=20)
     bad = [{k: v for k, v in r.items() if k != results.PERCENT} for r in first]
     for name, rows in (("r1", first), ("r2", second), ("r3", bad)):
         (tmp_path / f"{name}.json").write_text(json.dumps(rows, ensure_ascii=False, indent=2), encoding="utf-8")
@@ -119,12 +119,12 @@ def test_history_of_array_files(spark, tmp_path):
     rows = {(r["indicator"], r["evaluation"]): (r["percent"], r["change"]) for r in evolution(history).collect()}
     # Every row of a file carries the stamp of the file's first row.
     assert rows == {
-        ("A", "2025-06-23_12:32"): (10, None),
-        ("B", "2025-06-23_12:32"): (20, None),
-        ("A", "2025-06-24_09:00"): (15, 5),
-        ("B", "2025-06-24_09:00"): (20, 0),
+        ("A", "2024-11-05_07:08"): (10, None),
+        ("B", "2024-11-05_07:08"): (20, None),
+        ("A", "2024-12-06_18:30"): (15, 5),
+        ("B", "2024-12-06_18:30"): (20, 0),
     }
-    wide = {r["indicator"]: r["2025-06-24_09:00"] for r in evolution_table(history).collect()}
+    wide = {r["indicator"]: r["2024-12-06_18:30"] for r in evolution_table(history).collect()}
     assert wide == {"A": 15, "B": 20}
 
 
@@ -143,16 +143,16 @@ def test_saving_a_run_twice_leaves_no_duplicates(spark, tmp_path, fmt):
     assert both.count() == 4 and both.filter(f"`{results.VALUE}` IS NULL").count() == 2
 
 
-def test_materialize(spark, members, tmp_path):
-    assert tables.materialize(members.select("id"), "m_view", "view").count() == 11
+def test_materialize(spark, boats, tmp_path):
+    assert tables.materialize(boats.select("boat_id"), "m_view", "view").count() == 7
     path = str(tmp_path / "m_table")
-    table = tables.materialize(members, "m_table", "table", path=path, cluster_by=["id"], buckets=4)
-    assert table.count() == 11
-    plan = table.groupBy("id").agg(F.count("*")).select("id")._jdf.queryExecution().executedPlan().toString()
+    table = tables.materialize(boats, "m_table", "table", path=path, cluster_by=["boat_id"], buckets=4)
+    assert table.count() == 7
+    plan = table.groupBy("boat_id").agg(F.count("*")).select("boat_id")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
-    assert tables.materialize(members.limit(3), "m_plain", "table").count() == 3
+    assert tables.materialize(boats.limit(3), "m_plain", "table").count() == 3
     with pytest.raises(ValueError):
-        tables.materialize(members, "x", "cube")
+        tables.materialize(boats, "x", "cube")
 
 
 def test_scratch_uses_the_named_folder(spark):
