@@ -47,12 +47,23 @@ def hot_keys(
     return [tuple(r) for r in found.collect()]
 
 
+def _any(conditions: list[Column]) -> Column:
+    """OR of all, as a balanced tree: there may be thousands."""
+    if not conditions:
+        return F.lit(False)
+    half = len(conditions) // 2
+    return _any(conditions[:half]) | _any(conditions[half:]) if half else conditions[0]
+
+
 def is_hot(on: list[str], hot: list[tuple]) -> Column:
     """Whether a row has one of the hot keys; never NULL."""
     if not on:
         return F.lit(bool(hot))
-    any_of = [reduce(operator.and_, [as_column(c).eqNullSafe(F.lit(v)) for c, v in zip(on, key)]) for key in hot]
-    return reduce(operator.or_, any_of, F.lit(False))
+    if len(on) == 1:
+        col, values = as_column(on[0]), [key[0] for key in hot]
+        known = F.coalesce(col.isin([v for v in values if v is not None]), F.lit(False))
+        return known | col.isNull() if None in values else known
+    return _any([reduce(operator.and_, [as_column(c).eqNullSafe(F.lit(v)) for c, v in zip(on, key)]) for key in hot])
 
 
 def salted_join(
@@ -69,13 +80,14 @@ def salted_join(
     assert how in {"left", "inner", "left_semi", "left_anti"}, how
     spread = [as_column(c) for c in (salt_on or on)]
     null_key = reduce(operator.or_, [as_column(c).isNull() for c in on])
-    salts = F.lit(1)
-    for *key, n in hot:
-        salts = F.when(is_hot(on, [(*key, n)]), F.lit(n)).otherwise(salts)
+    schema = T.StructType([*left.select(*[as_column(c) for c in on]).schema.fields, T.StructField(_SALTS, T.IntegerType())])
+    # At most 1 / share keys, so this is broadcast whatever the size of the data.
+    keys = F.broadcast(left.sparkSession.createDataFrame(hot, schema))
+    salts = F.coalesce(F.col(_SALTS), F.lit(1))
     left_salts = F.when(null_key, F.lit(NULL_SALTS)).otherwise(salts)
     salt = F.pmod(F.xxhash64(*spread, F.spark_partition_id()), left_salts).cast("int")
-    left_salted = left.withColumn(_SALT, salt)
-    right_salted = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), salts - 1)))
+    left_salted = left.join(keys, on, "left").withColumn(_SALT, salt).drop(_SALTS)
+    right_salted = right.join(keys, on, "left").withColumn(_SALT, F.explode(F.sequence(F.lit(0), salts - 1))).drop(_SALTS)
     joined = left_salted.join(right_salted, [*on, _SALT], how).drop(_SALT)
     extra = [] if how in {"left_semi", "left_anti"} else [c for c in right.columns if c not in on]
     return joined.select(*[as_column(c) for c in [*left.columns, *extra]])
