@@ -21,6 +21,7 @@ from .sampling import bounded
 
 SAMPLE = 4_000
 ACCEPT = 0.7
+N_STATISTICS = 14
 SHRINKAGES = (0.02, 0.1, 0.3, 0.6)
 
 #: RE2 patterns of word kinds.
@@ -51,7 +52,7 @@ def _share(part: np.ndarray, whole: np.ndarray) -> np.ndarray:
 def statistics(texts: pa.Array) -> np.ndarray:
     """One row of transformed statistics per text."""
     rows = [_block_statistics(block) for block in text_blocks(texts)]
-    return np.concatenate(rows) if rows else np.zeros((0, 14))
+    return np.concatenate(rows) if rows else np.zeros((0, N_STATISTICS))
 
 
 def _block_statistics(texts: pa.Array) -> np.ndarray:
@@ -190,13 +191,15 @@ def fit(
         .agg(F.max(quality).cast("int").alias("__label"))
     )
     chosen = bounded(known, "__id", sample, by="__label")
+    # The sample has a bounded number of rows of an id and a label each.
     rows = (
-        docs.join(F.broadcast(chosen), docs[doc_id] == F.col("__id"))
-        .select("__id", "__label", statistics_column(F.col(text)).alias("x"), F.pmod(F.xxhash64("__id"), F.lit(4)).alias("fold"))
+        docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text"))
+        .join(F.broadcast(chosen), "__id")
+        .select("__id", "__label", statistics_column("__text").alias("x"), F.pmod(F.xxhash64("__id"), F.lit(4)).alias("fold"))
         .collect()
     )
     rows.sort(key=lambda r: (r["__id"], r["__label"], r["x"]))
-    x = np.array([r["x"] for r in rows]).reshape(len(rows), -1)
+    x = np.array([r["x"] for r in rows]).reshape(len(rows), N_STATISTICS)
     return fit_model(x, np.array([r["__label"] for r in rows], int), np.array([r["fold"] == 0 for r in rows], bool))
 
 
