@@ -7,6 +7,7 @@ per product, with a cost that follows from its size).
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -227,9 +228,10 @@ def mart_passthrough(spark, d):
 def materialized(spark, d):
     """Staged orders and items as views, the orders mart as a bucketed table."""
     shop = Shop(spark, d)
-    orders = materialize(shop.orders_stg, "stg_orders", VIEW)
-    items = materialize(shop.order_items, "shop_order_items", TABLE, scratch_path(spark, "order-items"), ["order_id"], 8)
-    mart = materialize(marts.orders(orders, items), "shop_orders", TABLE, scratch_path(spark, "orders"))
+    run = uuid.uuid4().hex
+    orders = materialize(shop.orders_stg, f"stg_orders_{run}", VIEW)
+    items = materialize(shop.order_items, f"shop_order_items_{run}", TABLE, scratch_path(spark, "order-items"), ["order_id"], 8)
+    mart = materialize(marts.orders(orders, items), f"shop_orders_{run}", TABLE, scratch_path(spark, "orders"))
     return portable(mart.select("order_id", "customer_id", "count_order_items", "order_items_subtotal"))
 
 
@@ -411,6 +413,34 @@ _metric(
     f"""SELECT strftime(day, '%Y-%m-%d') AS metric_time, revenue,
   CAST(sum(CAST(revenue AS DECIMAL(18, 2))) OVER (ORDER BY day) AS DOUBLE) AS cumulative_revenue FROM {REVENUE_SQL}""",
 )
+FILLED_SQL = f"""(SELECT s.day, r.revenue FROM (
+  SELECT CAST(unnest(generate_series(last - INTERVAL 3650 DAY, last, INTERVAL 1 DAY)) AS DATE) AS day
+  FROM (SELECT CAST(max(o_orderdate) AS DATE) AS last FROM orders)) s LEFT JOIN {REVENUE_SQL} r ON r.day = s.day)"""
+
+
+def _filled_metric(name: str, metrics: list[str], sql: str) -> None:
+    """A daily metric with a row for every day up to the newest order."""
+
+    def run(spark, d):
+        newest = table(spark, d, "orders").agg(F.max("o_orderdate")).scalar()
+        return _rounded(Shop(spark, d).catalog.query_metrics(metrics, [TimeDimension("day")], date_spine(spark, newest)))
+
+    query(name, mart_sql(sql))(run)
+
+
+_filled_metric(
+    "metric_cumulative_filled",
+    ["revenue", "cumulative_revenue"],
+    f"""SELECT strftime(day, '%Y-%m-%d') AS metric_time, revenue,
+  CAST(sum(CAST(revenue AS DECIMAL(18, 2))) OVER (ORDER BY day) AS DOUBLE) AS cumulative_revenue FROM {FILLED_SQL}""",
+)
+_filled_metric(
+    "metric_mom_filled",
+    ["revenue", "revenue_growth_mom"],
+    f"""SELECT strftime(cur.day, '%Y-%m-%d') AS metric_time, cur.revenue,
+  round((cur.revenue - prev.revenue) * 100 / prev.revenue, 6) AS revenue_growth_mom
+FROM {FILLED_SQL} cur LEFT JOIN {FILLED_SQL} prev ON prev.day = CAST(cur.day - INTERVAL 1 MONTH AS DATE)""",
+)
 _metric(
     "metric_by_entity",
     ["order_total", "orders"],
@@ -440,7 +470,9 @@ def _saved(name: str):
     metrics, group_by = SAVED_QUERIES[name]
 
     def run(spark, d):
-        exported = Shop(spark, d).catalog.saved_query(name, metrics, group_by, scratch_path(spark, name))
+        # Table names are shared by all sessions of a catalog, so each run has its own.
+        own = f"{name}_{uuid.uuid4().hex}"
+        exported = Shop(spark, d).catalog.saved_query(name, metrics, group_by, scratch_path(spark, name), own)
         return _rounded(exported)
 
     return run

@@ -6,6 +6,8 @@ A JDBC scan needs a running database, so it has no query here.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators.windows import preview
@@ -79,7 +81,7 @@ def seed_load(spark, d):
     )
     path = scratch_path(spark, "supplier-seed")
     suppliers.write.option("header", True).option("escape", '"').csv(path)
-    return load_seed(spark, path, "s_suppkey bigint, description string, s_acctbal double", name="raw_suppliers")
+    return load_seed(spark, path, "s_suppkey bigint, description string, s_acctbal double", name=f"raw_suppliers_{uuid.uuid4().hex}")
 
 
 @query(

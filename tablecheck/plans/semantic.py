@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import as_column
 from ..functions.predicates import expr_true
 from ..operators.aggregates import count_distinct, exact_median
-from ..operators.joins import combine_metrics, offset_join
+from ..operators.joins import combine_metrics, offset_join, on_spine
 from ..operators.windows import cumulative, growth_pct
 from ..sources.tables import TABLE, materialize
 
@@ -181,10 +181,18 @@ class MetricCatalog:
             frame = part if frame is None else combine_metrics(frame, part, names)
         return frame
 
-    def query_metrics(self, metrics: list[str], group_by: list | None = None) -> DataFrame:
-        """The metrics at the requested grain: group columns, then one column each."""
+    def query_metrics(self, metrics: list[str], group_by: list | None = None, spine: DataFrame | None = None) -> DataFrame:
+        """The metrics at the requested grain: group columns, then one column each.
+
+        ``spine`` (see :func:`~tablecheck.operators.spine.date_spine`) gives one
+        row for each of its days, with or without measurements, before running
+        totals and offsets are taken. It needs the day as the only group; days
+        outside the spine have no row then.
+        """
         group_by = group_by or []
         names = [METRIC_TIME if isinstance(g, TimeDimension) else g.name for g in group_by]
+        if spine is not None and group_by != [TimeDimension("day")]:
+            raise ValueError("a spine needs the day as the only group")
         by_model: dict[str, tuple[SemanticModel, list[Simple]]] = {}
         for leaf in sorted(set().union(*[self._leaves(n) for n in metrics])):
             simple = self.metrics[leaf]
@@ -194,6 +202,8 @@ class MetricCatalog:
         for model, leaves in by_model.values():
             part = self._model_frame(model, leaves, group_by, names)
             frame = part if frame is None else combine_metrics(frame, part, names)
+        if spine is not None:
+            frame = on_spine(frame, spine, METRIC_TIME)
         for n in metrics:
             frame = self._add(frame, n, names)
         return frame.select(*[as_column(c) for c in [*names, *metrics]])
@@ -239,10 +249,14 @@ class MetricCatalog:
             raise ValueError(f"{metric} with an offset needs a time dimension")
         return offset_join(frame, METRIC_TIME, metric, out, months, [n for n in names if n != METRIC_TIME])
 
-    def saved_query(self, name: str, metrics: list[str], group_by: list, path: str | None = None) -> DataFrame:
-        """Run a query and export it as a table."""
-        return materialize(self.query_metrics(metrics, group_by), name, TABLE, path)
+    def saved_query(
+        self, name: str, metrics: list[str], group_by: list, path: str | None = None, table: str | None = None
+    ) -> DataFrame:
+        """Run a query and export it as a table, named like the query unless ``table`` is given."""
+        return materialize(self.query_metrics(metrics, group_by), table or name, TABLE, path)
+
 
+# From here on, metric, measure, key and saved query names, and the conditions of filtered metrics.
 
 Mart = DataFrame | Callable[[], DataFrame]
 

@@ -1,8 +1,10 @@
 import datetime as dt
+import os
 from decimal import Decimal as D
 
 import pytest
 
+from tablecheck.catalog import QUERIES
 from tablecheck.operators import data_tests
 from tablecheck.operators.joins import on_spine
 from tablecheck.operators.spine import date_spine
@@ -247,3 +249,63 @@ def test_date_spine(spark):
     assert sorted(tuple(r) for r in filled.collect()) == [
         (dt.date(2024, 2, 28), None), (dt.date(2024, 2, 29), 5), (dt.date(2024, 3, 1), None),
     ]
+
+
+def test_filled_metrics_have_every_day(spark, catalog):
+    spine = date_spine(spark, "2024-03-02", 33)
+    rows = by_day(catalog.query_metrics(["revenue", "cumulative_revenue", "revenue_growth_mom"], [TimeDimension("day")], spine))
+    assert len(rows) == 34 and None not in rows
+    assert rows[dt.date(2024, 2, 10)]["revenue"] is None
+    assert rows[dt.date(2024, 2, 10)]["cumulative_revenue"] == D("19.00")
+    assert rows[FEB]["cumulative_revenue"] == D("41.00")
+    with pytest.raises(ValueError, match="spine"):
+        catalog.query_metrics(["revenue"], [TimeDimension("month")], spine)
+
+
+def nodes(df, *names):
+    """How often plan nodes occur in the plan that is about to run."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [sum(name in line for line in plan.split("\n")) for name in names]
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="the given tables are not here")
+def test_marts_read_each_table_once_or_twice(spark, no_broadcast):
+    """Also where no side may be broadcast."""
+    mart_orders = QUERIES["mart_orders"](spark, SF_DIR)
+    shuffles, items, orders = nodes(mart_orders, "Exchange hashpartitioning", "lineitem.parquet", "orders.parquet")
+    assert items == 1 and orders <= 3 and shuffles <= 8
+    mart_customers = QUERIES["mart_customers"](spark, SF_DIR)
+    shuffles, items, orders = nodes(mart_customers, "Exchange hashpartitioning", "lineitem.parquet", "orders.parquet")
+    assert items == 0 and orders <= 2 and shuffles <= 4
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="the given tables are not here")
+def test_building_a_query_starts_few_jobs(spark):
+    """Beside the jobs that read file schemas, only the list of hot keys."""
+    tracker = spark.sparkContext.statusTracker()
+
+    def started(build):
+        spark.sparkContext.setJobGroup("building", "building")
+        before = set(tracker.getJobIdsForGroup("building"))
+        build()
+        jobs = set(tracker.getJobIdsForGroup("building")) - before
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(jobs)
+
+    schemas = started(lambda: [spark.read.parquet(f"{SF_DIR}/{t}.parquet") for t in ("events", "orders", "lineitem", "documents")])
+    assert schemas <= 4
+    for name in ("violation_counts", "expect_unique", "rows_in", "test_relationships", "orphan_keys", "mart_order_items", "mart_customers"):
+        reads = {"mart_order_items": 4, "mart_customers": 5 + 4}.get(name, 2)
+        assert started(lambda name=name: QUERIES[name](spark, SF_DIR)) <= reads, name
+    assert started(lambda: QUERIES["order_ordinal"](spark, SF_DIR)) <= 1 + 3
