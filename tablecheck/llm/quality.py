@@ -97,8 +97,13 @@ class Gaussian(NamedTuple):
 
 
 def gaussian(x: np.ndarray, shrinkage: float, spread: np.ndarray) -> Gaussian:
-    """The class density with its covariance shrunk towards its diagonal; ``spread`` keeps it regular."""
-    covariance = np.cov(x, rowvar=False, bias=True) if len(x) > 1 else np.diag(spread)
+    """The class density with its covariance shrunk towards its diagonal.
+
+    ``spread``, the variances over all classes, counts like as many rows as there
+    are statistics, so a class of few rows is not taken for a narrow one.
+    """
+    n, k = x.shape
+    covariance = (n * np.cov(x, rowvar=False, bias=True) + k * np.diag(spread)) / (n + k)
     covariance = (1 - shrinkage) * covariance + shrinkage * np.diag(np.diag(covariance)) + 1e-2 * np.diag(spread)
     factor = np.linalg.cholesky(covariance)
     return Gaussian(x.mean(axis=0), np.linalg.inv(factor), float(-np.log(np.diag(factor)).sum()))
@@ -120,7 +125,7 @@ class Model(NamedTuple):
         if not self.trained:
             return np.full(len(x), self.shift)
         margin = np.clip(self.good.log_density(x) - self.bad.log_density(x), -60, 60)
-        return 1 / (1 + np.exp(-(self.slope * margin + self.shift)))
+        return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -500, 500)))
 
 
 def _calibrate(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
@@ -128,7 +133,7 @@ def _calibrate(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     margin = np.clip(margin, -60, 60)
     a, b = 0.2, 0.0
     for _ in range(50):
-        p = 1 / (1 + np.exp(-(a * margin + b)))
+        p = 1 / (1 + np.exp(-np.clip(a * margin + b, -500, 500)))
         w = p * (1 - p) + 1e-9
         gradient = np.array([((p - label) * margin).sum() + 0.5 * (a - 0.2), (p - label).sum() + 0.05 * b])
         hessian = np.array(
