@@ -2,7 +2,9 @@
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Every query writes its whole result to the noop sink. It runs once to warm up
-and once on the clock.
+and once on the clock. ``plans`` gives the table reads and hash shuffles of each
+planned query. ``metrics_on_tables`` are metrics over marts that were written
+before, the items bucketed by order.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +22,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tablecheck.catalog import QUERIES  # noqa: E402
 from tablecheck.catalog.quality import PLAN, plan_frame, resolver  # noqa: E402
+from tablecheck.catalog.shop import Shop  # noqa: E402
+from tablecheck.plans import marts  # noqa: E402
 from tablecheck.plans.quality import run_plan  # noqa: E402
+from tablecheck.plans.semantic import Key, TimeDimension, shop_metrics  # noqa: E402
+from tablecheck.sources.tables import TABLE, materialize  # noqa: E402
 
 HEADLINE = (
     "plan_run", "report", "check_status", "precision_decimals", "currency_date", "referential_integrity", "uniqueness",
@@ -33,6 +40,33 @@ def drain(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def plan_size(df: DataFrame) -> dict[str, int]:
+    """Table reads and hash shuffles of the planned query."""
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    return {"reads": sum("FileScan" in x for x in lines), "shuffles": sum("Exchange hashpartitioning" in x for x in lines)}
+
+
+def metrics_on_tables(spark: SparkSession, sf_dir: str, buckets: int) -> dict[str, float]:
+    """Seconds of metrics over marts that are tables, as a deployment keeps them."""
+    shop = Shop(spark, sf_dir)
+    items = materialize(shop.order_items, "bench_order_items", TABLE, cluster_by=["order_id"], buckets=buckets)
+    orders = materialize(marts.orders(shop.orders_stg, items), "bench_orders", TABLE)
+    people = materialize(marts.customers(shop.customers_stg, orders), "bench_customers", TABLE)
+    catalog = shop_metrics(items, orders, people, shop.locations_stg)
+    seconds = {}
+    for name, metrics, group in (
+        ("revenue_by_day", ["revenue", "food_revenue", "drink_revenue"], [TimeDimension("day")]),
+        ("profit_by_day", ["order_gross_profit"], [TimeDimension("day")]),
+        ("share_by_order", ["food_revenue_pct"], [Key("order_id")]),
+        ("value_by_customer", ["average_order_value"], [Key("customer")]),
+    ):
+        drain(catalog.query_metrics(metrics, group))
+        start = time.perf_counter()
+        drain(catalog.query_metrics(metrics, group))
+        seconds[name] = round(time.perf_counter() - start, 3)
+    return seconds
+
+
 def one_job_per_test(spark: SparkSession, sf_dir: str) -> float:
     """The plan the way it costs one table read and one job per test."""
     start = time.perf_counter()
@@ -50,16 +84,19 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="bench-warehouse-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    seconds = {}
+    seconds, plans = {}, {}
     for name in HEADLINE:
+        plans[name] = plan_size(QUERIES[name](spark, sf_dir))
         drain(QUERIES[name](spark, sf_dir))
         start = time.perf_counter()
         drain(QUERIES[name](spark, sf_dir))
         seconds[name] = round(time.perf_counter() - start, 3)
     single = round(one_job_per_test(spark, sf_dir), 3)
+    on_tables = metrics_on_tables(spark, sf_dir, int(cpus))
     found = re.search(r"sf([0-9.]+)", sf_dir)
     print(
         json.dumps(
@@ -69,6 +106,8 @@ def main() -> None:
                 "unit": "sec",
                 "queries": seconds,
                 "plan_one_job_per_test": single,
+                "metrics_on_tables": on_tables,
+                "plans": plans,
                 "sf": float(found.group(1)) if found else None,
             }
         )
