@@ -42,12 +42,15 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     large = ids >= np.uint64(1) << np.uint64(60)
     bits[~large & (bits > 60)] = 60
     bits[large] = 64
-    place, chosen = np.arange(n, dtype=np.int64), np.zeros(n, np.uint8)
+    chosen, beyond = np.zeros(n, np.uint8), np.ones(120, bool)
     # For each place the last selector, from few wide to many narrow ids, whose ids all fit; beyond the end anything does.
     for selector in range(15, 0, -1):
-        wide = bits > WIDTHS[selector - 1]
-        stop = np.minimum.accumulate(np.where(wide, place, n + 240)[::-1])[::-1]
-        chosen[stop - place >= COUNTS[selector - 1]] = selector
+        count = COUNTS[selector - 1]
+        fits, have = np.concatenate([bits <= WIDTHS[selector - 1], beyond]), 1
+        while have < count:
+            more = min(have, count - have)
+            fits, have = fits[:-more] & fits[more:], have + more
+        chosen[fits[:n]] = selector
     step, starts, at = _COUNT_OF[chosen].tolist(), [], 0
     while at < n:
         starts.append(at)
