@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .batches import Words, bytes_of, hash_words, ship, sum_runs, text_blocks, words
 from .sampling import bounded
 
-SAMPLE = 700
+SAMPLE = 500
 BUCKET_BITS = 15
 DIMENSION = 10
 SIZES = (2, 3, 4)
@@ -198,21 +198,26 @@ def fit(docs: DataFrame, sample: int = SAMPLE, text: str = "text", lang: str = "
             ["bucket", "weight"],
         )
 
-    rows = (
+    got = (
         bounded(known, "id", sample, by="lang")
         .select("id", "lang", bag("text").alias("bag"), (F.pmod(F.xxhash64("id"), F.lit(5)) == 0).alias("held"))
-        .collect()
+        .toArrow()
+        .combine_chunks()
     )
-    rows.sort(key=lambda r: (r["id"], r["lang"], r["bag"]["bucket"]))
-    langs = sorted({r["lang"] for r in rows})
-    if not langs:
+    if not got.num_rows:
         return Model([], np.zeros((0, 0)), np.zeros(0), 1.0, 0.0)
+    names, held = got["lang"].to_pylist(), got["held"].to_numpy()
+    parts = [pc.struct_field(got["bag"].combine_chunks(), k) for k in ("bucket", "weight")]
+    parts = [p.combine_chunks() if isinstance(p, pa.ChunkedArray) else p for p in parts]
+    at, bucket, weight = parts[0].offsets.to_numpy(), parts[0].values.to_numpy(), parts[1].values.to_numpy()
+    langs = sorted(set(names))
+    order = sorted(range(len(names)), key=lambda k: (got["id"][k].as_py(), names[k], at[k + 1] - at[k]))
     return train(
-        [np.array(r["bag"]["bucket"], np.int64) for r in rows],
-        [np.array(r["bag"]["weight"], np.float32) for r in rows],
-        np.array([langs.index(r["lang"]) for r in rows]),
+        [bucket[at[k] : at[k + 1]].astype(np.int64) for k in order],
+        [weight[at[k] : at[k + 1]] for k in order],
+        np.array([langs.index(names[k]) for k in order]),
         langs,
-        np.array([r["held"] for r in rows], bool),
+        held[order],
     )
 
 
