@@ -37,9 +37,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 CONTENT = ("article", "main")
 #: Words of class, id and role attributes that name boilerplate.
 BOILERPLATE_NAMES = frozenset(
-    "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer "
-    "footer form header masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo promoted related "
-    "reply replies share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
+    "ad ads advert advertisement advertising alert announcement banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer "
+    "footer form gdpr header login masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo promoted related "
+    "reply replies share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
 
 _TOKEN = re.compile(
@@ -65,10 +65,21 @@ class Token(NamedTuple):
     opens: bool
 
 
-def _element(name: str, rest: str) -> tuple[str, bool]:
-    """The element as a feature (its name and telling class words), and whether it is boilerplate by name."""
+#: Elements whose class says something about the page or their own part of the content, not about boilerplate.
+_WHOLE = frozenset(("html", "body", *CONTENT))
+_TITLED = frozenset("h1 h2 h3 h4 h5 h6 header hgroup".split())
+
+
+def _element(name: str, rest: str, in_content: bool) -> tuple[str, bool]:
+    """The element as a feature (its name and telling class words), and whether it is boilerplate by name.
+
+    Inside the content, and on headings, a header is the title's and not the site's.
+    """
     words = {w for found in _NAMES.findall(rest) for w in re.split(r"[^a-z0-9]+", "".join(found).lower()) if w}
-    telling = sorted(words & BOILERPLATE_NAMES)
+    telling = set() if name in _WHOLE else words & BOILERPLATE_NAMES
+    if in_content or name in _TITLED:
+        telling -= {"header"}
+    telling = sorted(telling)
     return ".".join([name, *telling]), name in BOILERPLATE or bool(telling)
 
 
@@ -99,7 +110,7 @@ def tokens(page: str) -> list[Token]:
             if open_p >= 0 and stack[open_p][0] == "p":
                 del stack[open_p:]
                 within, dropped = (stack[-1][1], stack[-1][2]) if stack else ("", False)
-        feature, boilerplate = _element(name, m["rest"])
+        feature, boilerplate = _element(name, m["rest"], in_content > 0)
         # A header inside the content holds its title; elsewhere it belongs to the site.
         boilerplate |= name == "header" and not in_content or name in UNSEEN
         out.append(Token(feature, None, within, dropped or boilerplate, True))

@@ -156,6 +156,15 @@ def test_main_text(weights):
     assert html.main_text("<p>broken <b>page &am", weights) == "broken page &am"
 
 
+def test_classes_of_the_page_and_of_titles_are_no_boilerplate(weights):
+    page = (
+        "<body class='has-sidebar comments-open'><div class='site-header'>Site name</div><article class='post comments-open'>"
+        "<header class='entry-header'><h1 class='page-header'>A title here</h1></header><div class='article-header'>by line</div>"
+        "<p>Some words of text.</p><div id='comments'><p>reader words</p></div></article><div class='cookie-notice'>ok</div></body>"
+    )
+    assert html.main_text(page, weights) == "A title here by line Some words of text."
+
+
 def test_best_run_against_brute_force():
     rng = random.Random(9)
     for _ in range(300):
