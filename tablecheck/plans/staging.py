@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import cents_to_dollars, flag_eq, surrogate_key, trunc_day
 
+# The names of the staged columns, which marts and metrics build on.
+
 
 def stg_customers(raw: DataFrame) -> DataFrame:
     return raw.select(F.col("id").alias("customer_id"), F.col("name").alias("customer_name"))
