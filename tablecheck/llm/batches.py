@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 8 << 20
 _SHIPPED: set[str] = set()
 
 
@@ -61,6 +61,8 @@ def text_blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[pa.Array]
     while first < len(texts):
         last = max(int(np.searchsorted(ends, base + limit, side="right")), first + 1)
         yield texts.slice(first, last - first)
+        # What a block needed goes back to the system before the next one; workers live long.
+        pa.default_memory_pool().release_unused()
         first, base = last, int(ends[last - 1])
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from typing import NamedTuple
 
 import numpy as np
@@ -19,7 +20,8 @@ import pyarrow.compute as pc
 
 from .batches import encode, text_blocks, words
 
-CACHE = 250_000
+CACHE = 150_000
+BLOCK_BYTES = 16 << 20
 STEP = 20_000
 
 #: Any character that some engine may take for white space.
@@ -62,7 +64,7 @@ class Encoder:
         for first in range(0, len(pieces), STEP):
             some = pieces[first : first + STEP]
             for piece, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                found[piece] = np.array(got.ids, "<u4").tobytes()
+                found[piece] = array("I", got.ids).tobytes()
         return found
 
     def _parts(self, piece: str) -> list[str]:
@@ -133,6 +135,6 @@ def encoder(path: str, spaced: bool) -> Encoder:
 def encoded(texts: pa.Array, path: str, spaced: bool, end: int = 0):
     """For each block of the texts: its ids and how many texts came before it."""
     before = 0
-    for block in text_blocks(texts):
+    for block in text_blocks(texts, BLOCK_BYTES):
         yield before, encoder(path, spaced).block(block, end)
         before += len(block)
