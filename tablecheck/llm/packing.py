@@ -2,9 +2,10 @@
 
 Every partition packs its pieces by best-fit decreasing and computes a lower
 bound of its number of sequences from dual feasible functions. A partition that
-meets its bound is certified and done. Partitions with a gap release their
-emptier sequences; released pieces of neighbouring partitions meet and are
-packed again, until no gap or only one partition is left.
+meets its bound is certified and keeps its sequences, but for one that may be
+less than half full. Partitions with a gap release their emptier sequences.
+Released pieces of neighbouring partitions meet and are packed again, until
+nothing is released or only one partition is left.
 """
 
 from __future__ import annotations
@@ -116,7 +117,8 @@ def _packer(capacity: int, last: bool):
         offset = np.empty(len(rows), np.int64)
         offset[order] = ends - length[order] - base
         gap = used - bound
-        released = np.zeros(used, bool)
+        # Sequences less than half full may still meet those of another partition.
+        released = filled < (0 if last else capacity // 2)
         if gap > 0 and not last:
             several = max(8 * gap, used // 10)
             released[np.argsort(filled, kind="stable")[:several]] = True
