@@ -24,7 +24,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import scratch_path
@@ -36,14 +36,13 @@ TAIL_CLASSES = 48
 CLASSES = HEAD_CLASSES + TAIL_CLASSES
 BUCKETS = 4096
 SLOT_BUCKETS = 1024
-HOT_WORDS = 1 << 18
+HOT_WORDS = 1 << 16
 ROUNDS = 3
 STEP_TOKENS = 1 << 14
 RATE = 0.35
 DECAY = 1e-5
 PIECES = 16
 END = "\n"  # no word holds white space
-BLOCK_BYTES = 8 << 20
 COUNTED = "word string, n long"
 CHANGES = "piece int, weights binary, met binary"
 SCORED = "row long, doc_id long, word string, n long, s double, tokens long, known long, base double"
@@ -229,7 +228,7 @@ def _train_round(model: Model):
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer, any_text = Trainer(model), False
         for batch in batches:
-            for block in text_blocks(batch.column(0), BLOCK_BYTES):
+            for block in text_blocks(batch.column(0)):
                 found = words(block, lower=True)
                 trainer.learn(read_tokens(found), *model.places(found.vocab))
                 any_text = True
@@ -278,6 +277,26 @@ def count_words(train: DataFrame, text: str = "text") -> DataFrame:
     return spark.read.schema(COUNTED).parquet(path)
 
 
+def frequent(counts: DataFrame, limit: int = HOT_WORDS) -> list[tuple[str, int]]:
+    """The words above the lowest count that at most ``limit`` words reach, most frequent first.
+
+    The count is found on a histogram in steps of five percent, so only the
+    words themselves, whose number is bounded, reach the driver.
+    """
+    step = F.floor(F.log("n") * 20).cast("int")
+    sizes = sorted(((r[0], r[1]) for r in counts.groupBy(step.alias("step")).count().collect()), reverse=True)
+    lowest, reached = None, 0
+    for value, size in sizes:
+        reached += size
+        if reached > limit:
+            break
+        lowest = value
+    if lowest is None:
+        return []
+    found = counts.filter(step >= lowest).toArrow()
+    return sorted(zip(found["word"].to_pylist(), found["n"].to_pylist()), key=lambda x: (-x[1], x[0]))
+
+
 def fit(train: DataFrame, counts: DataFrame, text: str = "text", doc_id: str = "doc_id", rounds: int = ROUNDS) -> Model:
     """Train on all documents of ``train``, each in one round; ``counts`` are their word counts.
 
@@ -287,7 +306,7 @@ def fit(train: DataFrame, counts: DataFrame, text: str = "text", doc_id: str = "
     total, distinct, once = counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.sum((F.col("n") == 1).cast("long")), F.lit(0))
     ).first()
-    top = [(r["word"], r["n"]) for r in counts.orderBy(F.desc("n"), "word").limit(HOT_WORDS).collect()]
+    top = frequent(counts)
     ends = [r["n"] for r in counts.filter(F.col("word") == END).collect()]
     head = [w for w, _ in top if w != END][: HEAD_CLASSES * SLOTS - 1]
     head.insert(0, END)
@@ -328,8 +347,9 @@ def _scorer(model: Model):
 
     def rows_of(row, doc, word, n, s, tokens, known, base) -> pa.RecordBatch:
         whole = lambda v: pa.array(np.asarray(v).astype(np.int64))
+        real = lambda v: pa.array(np.asarray(v).astype(np.float64))
         return pa.RecordBatch.from_arrays(
-            [whole(row), doc, word, whole(n), pa.array(s), whole(tokens), whole(known), pa.array(base)],
+            [whole(row), doc, word, whole(n), real(s), whole(tokens), whole(known), real(base)],
             [c.split()[0] for c in SCORED.split(", ")],
         )
 
@@ -337,7 +357,7 @@ def _scorer(model: Model):
         for batch in batches:
             row_of, doc_of = batch.column(0).to_numpy(), batch.column(1)
             before = 0
-            for block in text_blocks(batch.column(2), BLOCK_BYTES):
+            for block in text_blocks(batch.column(2)):
                 found = words(block, lower=True)
                 tokens, (of_class, slot) = read_tokens(found), model.places(found.vocab)
                 got = log_probabilities(model, tokens, of_class, slot) / ln10 + seen
