@@ -150,6 +150,34 @@ def log_probabilities(model: Model, tokens: Tokens, of_class: np.ndarray, slot:
     return out
 
 
+LONG_RUN = 24
+
+
+def sum_rows(values: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys (below 65,536), the sum of the rows of each, and their number.
+
+    Keys with many rows are summed one by one as products, the others together,
+    first rows first, then all second rows, and so on.
+    """
+    order = np.argsort(key.astype(np.uint16), kind="stable")
+    ordered = key[order]
+    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    size = np.diff(np.append(starts, len(key)))
+    longest_first = np.argsort(-size, kind="stable")
+    starts, size = starts[longest_first], size[longest_first]
+    total = np.zeros((len(starts), values.shape[1]), values.dtype)
+    long = int(np.searchsorted(-size, -LONG_RUN, side="right"))
+    ones = np.ones(int(size[0]), values.dtype)
+    for k in range(long):
+        total[k] = ones[: size[k]] @ values[order[starts[k] : starts[k] + size[k]]]
+    lane, some = 0, len(starts)
+    while some > long:
+        total[long:some] += values[order[starts[long:some] + lane]]
+        lane += 1
+        some = int(np.searchsorted(-size, -lane, side="left"))
+    return ordered[starts], total, size
+
+
 class Trainer:
     """Gradient steps of one task, with steps adapted to how much each row of weights has moved."""
 
@@ -162,12 +190,9 @@ class Trainer:
     def _step(self, which: int, features: tuple[np.ndarray, ...], gradient: np.ndarray) -> None:
         table, moved, met = self.tables[which], self.moved[which], self.met[which]
         for feature in features:
-            order = np.argsort(feature, kind="stable")
-            ordered = feature[order]
-            starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-            rows = ordered[starts]
-            total = np.add.reduceat(gradient[order], starts, axis=0) + DECAY * table[rows]
-            met[rows] += np.diff(np.append(starts, len(ordered)))
+            rows, total, size = sum_rows(gradient, feature)
+            total += DECAY * table[rows]
+            met[rows] += size
             moved[rows] += np.square(total).mean(axis=1)
             table[rows] -= RATE * total / np.sqrt(moved[rows])[:, None]
 
