@@ -308,4 +308,5 @@ def test_building_a_query_starts_few_jobs(spark):
     for name in ("violation_counts", "expect_unique", "rows_in", "test_relationships", "orphan_keys", "mart_order_items", "mart_customers"):
         reads = {"mart_order_items": 4, "mart_customers": 5 + 4}.get(name, 2)
         assert started(lambda name=name: QUERIES[name](spark, SF_DIR)) <= reads, name
-    assert started(lambda: QUERIES["order_ordinal"](spark, SF_DIR)) <= 1 + 3
+    # The file's schema, the number of rows, and the rows per key: the latter two run as two jobs each.
+    assert started(lambda: QUERIES["order_ordinal"](spark, SF_DIR)) <= 1 + 4
