@@ -29,6 +29,8 @@ COUNTS = (120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 WIDTHS = (0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 STRIDE = 256
 BLOCK_IDS = 1 << 16
+TEXT_BYTES = 24 << 20
+PIECES = 250_000
 BLOCK = "shard int, block int, first long, n long, escapes int, doc_ids array<long>, counts array<long>, words binary, skips binary"
 
 _COUNT_OF = np.array((1, *COUNTS), np.int64)
@@ -117,7 +119,7 @@ def write_ids(
         shard, block, first = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
             owners = batch.column(0).to_pylist()
-            for before, found in encoded(batch.column(1), tokenizer, spaced, end):
+            for before, found in encoded(batch.column(1), tokenizer, spaced, end, TEXT_BYTES, PIECES):
                 sizes, low = np.diff(found.starts), 0
                 while low < len(sizes):
                     high = max(int(np.searchsorted(found.starts, found.starts[low] + BLOCK_IDS, side="right")) - 1, low + 1)

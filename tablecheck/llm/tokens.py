@@ -49,7 +49,7 @@ class Encoder:
     vocabularies); otherwise white space only separates words and case is folded.
     """
 
-    def __init__(self, path: str, spaced: bool):
+    def __init__(self, path: str, spaced: bool, cache: int = CACHE):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -57,6 +57,7 @@ class Encoder:
         # Their strings inside a text are ordinary text.
         self.tokenizer.encode_special_tokens = True
         self.spaced = spaced
+        self.cache = cache
         self.known: dict[str, bytes] = {}
 
     def _encode(self, pieces: list[str]) -> dict[str, bytes]:
@@ -77,7 +78,7 @@ class Encoder:
         cut = {p: self._parts(p) for p in pieces if p not in known}
         fresh = self._encode(list({part: None for parts in cut.values() for part in parts if part not in known}))
         for part, ids in fresh.items():
-            if len(known) >= CACHE:
+            if len(known) >= self.cache:
                 break
             known[part] = ids
         for piece, parts in cut.items():
@@ -125,16 +126,16 @@ class Encoder:
         return Ids(ids, at[starts])
 
 
-def encoder(path: str, spaced: bool) -> Encoder:
-    """The encoder of this Python worker."""
+def encoder(path: str, spaced: bool, cache: int = CACHE) -> Encoder:
+    """The encoder of this Python worker, which keeps the ids of at most ``cache`` pieces."""
     if (path, spaced) not in _LOADED:
-        _LOADED[path, spaced] = Encoder(path, spaced)
+        _LOADED[path, spaced] = Encoder(path, spaced, cache)
     return _LOADED[path, spaced]
 
 
-def encoded(texts: pa.Array, path: str, spaced: bool, end: int = 0):
+def encoded(texts: pa.Array, path: str, spaced: bool, end: int = 0, block_bytes: int = BLOCK_BYTES, cache: int = CACHE):
     """For each block of the texts: its ids and how many texts came before it."""
     before = 0
-    for block in text_blocks(texts, BLOCK_BYTES):
-        yield before, encoder(path, spaced).block(block, end)
+    for block in text_blocks(texts, block_bytes):
+        yield before, encoder(path, spaced, cache).block(block, end)
         before += len(block)
