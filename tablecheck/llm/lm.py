@@ -5,9 +5,12 @@ the word within its class. Class logits are sums of weights of hashed features:
 the word before (a bigram), the word before that (a skip), and both (a trigram).
 The most frequent words form classes of ``SLOTS`` words, within which a second
 softmax over bigram and skip features chooses. All other words are classed by
-the end of the word; within such a class the only feature is the word itself,
-whose maximum-entropy solution is its smoothed relative frequency. Words never
-seen in training share one event, whose probability is that of the words seen once.
+the end of the word, and the digits of a hash of the word lead through a tree below
+the class: at each branching a softmax over ``SLOTS`` branches with bigram and skip
+features, hashed together with the branching, chooses. The tree is so deep that most
+leaves hold one word, and the tables of weights grow with the counted words up to
+fixed bounds. Words that share a leaf are told apart by smoothed relative frequency.
+Words never seen in training share one event, whose probability is that of the words seen once.
 
 Weights are trained by distributed gradient updates: in each round every task
 takes gradient steps over its share of one slice of the training documents, and
@@ -34,14 +37,18 @@ HEAD_CLASSES = 16
 SLOTS = 16
 TAIL_CLASSES = 48
 CLASSES = HEAD_CLASSES + TAIL_CLASSES
-BUCKETS = 4096
-SLOT_BUCKETS = 1024
+#: Rows per feature of the tables of weights: the least, and the most that a large vocabulary gets.
+BUCKETS = (4096, 16384)
+SLOT_BUCKETS = (1024, 2048)
+TREE_BUCKETS = (4096, 32768)
+MAX_DEPTH = 4
 HOT_WORDS = 1 << 16
 ROUNDS = 3
 STEP_TOKENS = 1 << 14
 RATE = 0.35
 DECAY = 1e-5
 PIECES = 16
+EMPTY = -39.0
 END = "\n"  # no word holds white space
 BLOCK_BYTES = 4 << 20
 COUNTED = "word string, n long"
@@ -50,13 +57,14 @@ SCORED = "row long, doc_id long, word string, n long, s double, tokens long, kno
 
 
 class Tokens(NamedTuple):
-    """The words of a block in order, each text closed by the end: word numbers, features, and where texts start."""
+    """The words of a block in order, each text closed by the end: word numbers, where texts start, features, and the hash of each word number."""
 
     codes: np.ndarray
     starts: np.ndarray
     one: np.ndarray
     two: np.ndarray
     both: np.ndarray
+    own: np.ndarray
 
 
 def read_tokens(found: Words) -> Tokens:
@@ -73,7 +81,7 @@ def read_tokens(found: Words) -> Tokens:
     second = first[np.diff(starts) > 1] + 1
     two[second] = end + 1
     h1, h2 = hashes[one], hashes[two]
-    return Tokens(codes, starts, h1, h2, mix(h1 ^ (h2 << np.uint64(1))))
+    return Tokens(codes, starts, h1, h2, mix(h1 ^ (h2 << np.uint64(1))), hashes[:-1])
 
 
 def tail_classes(vocab: pa.Array) -> np.ndarray:
@@ -84,11 +92,32 @@ def tail_classes(vocab: pa.Array) -> np.ndarray:
     return (HEAD_CLASSES + mix(ends ^ marked.astype(np.uint64)) % np.uint64(TAIL_CLASSES)).astype(np.int64)
 
 
+def tree_leaves(of_class: np.ndarray, hashes: np.ndarray, depth: int) -> np.ndarray:
+    """The leaf of each word at that depth of the tree below its tail class."""
+    return (of_class - HEAD_CLASSES) * SLOTS**depth + (hashes >> np.uint64(64 - 4 * depth)).astype(np.int64)
+
+
+def depth_for(distinct: int) -> int:
+    """The least depth with four leaves a word, within ``MAX_DEPTH``."""
+    return next((d for d in range(1, MAX_DEPTH) if TAIL_CLASSES * SLOTS**d >= 4 * distinct), MAX_DEPTH)
+
+
+def rows_for(total: int, bounds: tuple[int, int], share: int) -> int:
+    """A power of two of about one row for ``share`` words of the training text, within bounds.
+
+    Every task sends its changes of all rows, so tables have to stay small beside the text.
+    """
+    return min(max(bounds[0], 1 << (max(total // share, 1) - 1).bit_length()), bounds[1])
+
+
 class Model(NamedTuple):
     """Counts that the model is built on, the frequent words, and the weights as one table of rows.
 
     Rows of ``classes`` are the buckets of the three features; rows of ``slots``
-    the buckets of two features for each frequent class.
+    the buckets of two features for each frequent class; rows of ``tree`` the
+    buckets of two features at the branchings below the tail classes. ``tree_bias``
+    has the logarithms of the shares of the branches, one table per depth, and
+    ``tree_forks`` which branchings have more than one branch with words.
     """
 
     total: int
@@ -103,6 +132,9 @@ class Model(NamedTuple):
     tail_size: np.ndarray
     classes: np.ndarray
     slots: np.ndarray
+    tree: np.ndarray
+    tree_bias: list[np.ndarray]
+    tree_forks: list[np.ndarray]
 
     def places(self, vocab: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Class and slot of each word and of the end; slot -1 outside the frequent classes."""
@@ -121,33 +153,67 @@ def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return p / total, (np.log(total) + top)[:, 0]
 
 
-def _features(tokens: Tokens, part: slice) -> tuple[np.ndarray, ...]:
-    n = np.uint64(BUCKETS)
-    return tuple((h[part] % n).astype(np.int64) + k * BUCKETS for k, h in enumerate((tokens.one, tokens.two, tokens.both)))
+def _features(tokens: Tokens, part: slice, table: np.ndarray) -> tuple[np.ndarray, ...]:
+    n = len(table) // 3
+    return tuple((h[part] % np.uint64(n)).astype(np.int64) + k * n for k, h in enumerate((tokens.one, tokens.two, tokens.both)))
 
 
-def _slot_features(tokens: Tokens, part: np.ndarray, of_class: np.ndarray) -> tuple[np.ndarray, ...]:
-    n = np.uint64(SLOT_BUCKETS)
+def _slot_features(tokens: Tokens, part: np.ndarray, of_class: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, ...]:
+    n = len(table) // (2 * HEAD_CLASSES)
     return tuple(
-        ((h[part] >> np.uint64(32)) % n).astype(np.int64) * HEAD_CLASSES + of_class + k * SLOT_BUCKETS * HEAD_CLASSES
+        ((h[part] >> np.uint64(32)) % np.uint64(n)).astype(np.int64) * HEAD_CLASSES + of_class + k * n * HEAD_CLASSES
         for k, h in enumerate((tokens.one, tokens.two))
     )
 
 
+def _branchings(
+    model: Model, tokens: Tokens, part: np.ndarray, of_class: np.ndarray, table: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, ...], np.ndarray]:
+    """Where the tokens of ``part`` (tail words) pass a branching: their places in ``part``, biases, features and branches.
+
+    Where at most one branch holds words there is nothing to choose.
+    """
+    n, own = len(table) // 2, tokens.own[tokens.codes[part]]
+    ats, places, biases, branches = [], [], [], []
+    for depth, (bias, fork) in enumerate(zip(model.tree_bias, model.tree_forks)):
+        leaf = tree_leaves(of_class, own, depth + 1)
+        at = np.flatnonzero(fork[leaf // SLOTS])
+        node = leaf[at] // SLOTS
+        ats.append(at)
+        places.append(mix(node.astype(np.uint64) + np.uint64((depth + 1) << 40)))
+        biases.append(bias[node])
+        branches.append(leaf[at] % SLOTS)
+    at, place = np.concatenate(ats), np.concatenate(places)
+    features = tuple(
+        (mix(h[part][at] ^ place) % np.uint64(n)).astype(np.int64) + k * n for k, h in enumerate((tokens.one, tokens.two))
+    )
+    return at, np.concatenate(biases), features, np.concatenate(branches)
+
+
 def log_probabilities(model: Model, tokens: Tokens, of_class: np.ndarray, slot: np.ndarray) -> np.ndarray:
-    """Natural logarithm of the class probability of each token, and of the word within a frequent class."""
+    """Natural logarithm of the class probability of each token, and of the word within a frequent class.
+
+    For a tail word it has what the features change in the share of its leaf, so that
+    its smoothed count divided by the size of its class completes it.
+    """
     out = np.empty(len(tokens.codes))
     for low in range(0, len(out), STEP_TOKENS):
         part = slice(low, min(low + STEP_TOKENS, len(out)))
-        logits = model.class_bias + sum(model.classes[f] for f in _features(tokens, part))
+        logits = model.class_bias + sum(model.classes[f] for f in _features(tokens, part, model.classes))
         c = of_class[tokens.codes[part]]
         out[part] = logits[np.arange(len(c)), c] - _softmax(logits)[1]
         s = slot[tokens.codes[part]]
         inside = np.flatnonzero(s >= 0)
         if len(inside):
             own = c[inside]
-            logits = model.slot_bias[own] + sum(model.slots[f] for f in _slot_features(tokens, inside + low, own))
+            logits = model.slot_bias[own] + sum(model.slots[f] for f in _slot_features(tokens, inside + low, own, model.slots))
             out[inside + low] += logits[np.arange(len(own)), s[inside]] - _softmax(logits)[1]
+        tail = np.flatnonzero(s < 0)
+        if len(tail):
+            at, bias, features, branch = _branchings(model, tokens, tail + low, c[tail], model.tree)
+            logits, each = bias + sum(model.tree[f] for f in features), np.arange(len(at))
+            changed = logits[each, branch] - _softmax(logits)[1] - bias[each, branch]
+            out[tail + low] += np.bincount(at, changed, minlength=len(tail))
     return out
 
 
@@ -184,7 +250,7 @@ class Trainer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.tables = [model.classes.copy(), model.slots.copy()]
+        self.tables = [model.classes.copy(), model.slots.copy(), model.tree.copy()]
         self.moved = [np.full(len(t), 1.0, np.float32) for t in self.tables]
         self.met = [np.zeros(len(t), np.float32) for t in self.tables]
 
@@ -200,7 +266,7 @@ class Trainer:
     def learn(self, tokens: Tokens, of_class: np.ndarray, slot: np.ndarray) -> None:
         for low in range(0, len(tokens.codes), STEP_TOKENS):
             part = slice(low, min(low + STEP_TOKENS, len(tokens.codes)))
-            features = _features(tokens, part)
+            features = _features(tokens, part, self.tables[0])
             c, s = of_class[tokens.codes[part]], slot[tokens.codes[part]]
             gradient = _softmax(self.model.class_bias + sum(self.tables[0][f] for f in features))[0]
             gradient[np.arange(len(c)), c] -= 1
@@ -208,18 +274,23 @@ class Trainer:
             inside = np.flatnonzero(s >= 0)
             if len(inside):
                 own = c[inside]
-                features = _slot_features(tokens, inside + low, own)
+                features = _slot_features(tokens, inside + low, own, self.tables[1])
                 gradient = _softmax(self.model.slot_bias[own] + sum(self.tables[1][f] for f in features))[0]
                 gradient[np.arange(len(own)), s[inside]] -= 1
                 self._step(1, features, gradient)
+            tail = np.flatnonzero(s < 0)
+            at, bias, features, branch = _branchings(self.model, tokens, tail + low, c[tail], self.tables[2])
+            if len(at):
+                gradient = _softmax(bias + sum(self.tables[2][f] for f in features))[0]
+                gradient[np.arange(len(at)), branch] -= 1
+                self._step(2, features, gradient)
 
     def changes(self) -> Iterator[tuple[int, bytes, bytes]]:
-        """Changes of all rows, weighted by how often they were met, in ``PIECES`` pieces per table."""
-        for which, (table, before) in enumerate(zip(self.tables, (self.model.classes, self.model.slots))):
+        """Changes of all rows, at half precision as every task sends them, and how often they were met, in ``PIECES`` pieces per table."""
+        for which, (table, before) in enumerate(zip(self.tables, (self.model.classes, self.model.slots, self.model.tree))):
             for k, rows in enumerate(np.array_split(np.arange(len(table)), PIECES)):
                 met = self.met[which][rows]
-                change = (table[rows] - before[rows]) * met[:, None]
-                yield which * PIECES + k, change.astype("<f4").tobytes(), met.astype("<f4").tobytes()
+                yield which * PIECES + k, (table[rows] - before[rows]).astype("<f2").tobytes(), met.astype("<f4").tobytes()
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,22 +305,30 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _tail_sizes(head: list[str]):
+def _tail_sizes(head: list[str], depth: int):
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size, types = np.zeros(CLASSES), np.zeros(CLASSES)
         for batch in batches:
             word = batch.column(0)
             tail = ~pc.is_in(word, value_set=pa.array(head, pa.string())).to_numpy(zero_copy_only=False)
-            of_class = tail_classes(word)[tail]
-            size += np.bincount(of_class, batch.column(1).to_numpy()[tail], minlength=CLASSES)
-            types += np.bincount(of_class, minlength=CLASSES)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(CLASSES), pa.int32()), pa.array(size), pa.array(types)], ["class", "size", "types"]
-        )
+            leaf = tree_leaves(tail_classes(word), hash_words(word, 21), depth)[tail]
+            found, where = np.unique(leaf, return_inverse=True)
+            size = np.bincount(where, batch.column(1).to_numpy()[tail] + 0.1, minlength=len(found))
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(size, pa.float64())], ["leaf", "size"])
 
     return of_batches
 
 
+def tree_biases(leaf_sizes: np.ndarray, depth: int) -> list[np.ndarray]:
+    """Logarithms of the shares of the branches at each depth; empty branches have -40."""
+    sizes, biases = leaf_sizes.reshape(-1, SLOTS), []
+    for _ in range(depth):
+        whole = sizes.sum(axis=1, keepdims=True)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            biases.insert(0, np.where(sizes > 0, np.maximum(np.log(sizes / whole), EMPTY + 1), EMPTY - 1).astype(np.float32))
+        sizes = whole.reshape(-1, SLOTS)
+    return biases
+
+
 def _train_round(model: Model):
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer, any_text = Trainer(model), False
@@ -271,7 +350,8 @@ def _sum_changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals: dict[int, list[np.ndarray]] = {}
     for batch in batches:
         for row in batch.to_pylist():
-            got = [np.frombuffer(row["weights"], "<f4").astype(np.float64), np.frombuffer(row["met"], "<f4").astype(np.float64)]
+            met = np.frombuffer(row["met"], "<f4").astype(np.float64)
+            got = [np.frombuffer(row["weights"], "<f2").reshape(len(met), -1) * met[:, None], met]
             old = totals.get(row["piece"])
             totals[row["piece"]] = got if old is None else [old[0] + got[0], old[1] + got[1]]
     if totals:
@@ -283,14 +363,14 @@ def _sum_changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _apply(model: Model, rows: list) -> Model:
-    tables = [model.classes.copy(), model.slots.copy()]
+    tables = [model.classes.copy(), model.slots.copy(), model.tree.copy()]
     for row in rows:
         table = tables[row["piece"] // PIECES]
         own = np.array_split(np.arange(len(table)), PIECES)[row["piece"] % PIECES]
         met = np.frombuffer(row["met"], "<f4")
         change = np.frombuffer(row["weights"], "<f4").reshape(len(own), -1)
         table[own] += change / np.maximum(met, 1)[:, None]
-    return model._replace(classes=tables[0], slots=tables[1])
+    return model._replace(classes=tables[0], slots=tables[1], tree=tables[2])
 
 
 def count_words(train: DataFrame, text: str = "text") -> DataFrame:
@@ -327,7 +407,7 @@ def fit(train: DataFrame, counts: DataFrame, text: str = "text", doc_id: str = "
     """Train on all documents of ``train``, each in one round; ``counts`` are their word counts.
 
     What reaches the driver is bounded by parameters: the most frequent words,
-    sizes of classes, and the changes of the weights.
+    sizes of leaves, and the changes of the weights.
     """
     total, distinct, once = counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.sum((F.col("n") == 1).cast("long")), F.lit(0))
@@ -337,22 +417,27 @@ def fit(train: DataFrame, counts: DataFrame, text: str = "text", doc_id: str = "
     head = [w for w, _ in top if w != END][: HEAD_CLASSES * SLOTS - 1]
     head.insert(0, END)
     count_of = dict(top) | ({END: ends[0]} if ends else {})
-    size = np.zeros((2, CLASSES))
-    for r in counts.mapInArrow(_tail_sizes(head), "class int, size double, types double").groupBy("class").agg(F.sum("size"), F.sum("types")).collect():
-        size[:, r[0]] = r[1:]
+    depth = depth_for(distinct)
+    leaves = counts.mapInArrow(_tail_sizes(head, depth), "leaf long, size double").groupBy("leaf").agg(F.sum("size").alias("size")).toArrow()
+    leaf_sizes = np.zeros(TAIL_CLASSES * SLOTS**depth)
+    leaf_sizes[leaves["leaf"].to_numpy()] = leaves["size"].to_numpy()
     slot_size = np.full(HEAD_CLASSES * SLOTS, 1e-9)
     slot_size[: len(head)] = [count_of.get(w, 0) + 0.1 for w in head]
     slot_size = slot_size.reshape(HEAD_CLASSES, SLOTS)
-    tail_size = size[0] + 0.1 * size[1]
+    tail_size = np.append(np.zeros(HEAD_CLASSES), leaf_sizes.reshape(TAIL_CLASSES, -1).sum(axis=1))
     class_size = tail_size + np.append(slot_size.sum(axis=1), np.zeros(TAIL_CLASSES))
     with np.errstate(divide="ignore"):
         class_bias = np.maximum(np.log(class_size / max(class_size.sum(), 1e-9)), -40)
+    biases = tree_biases(leaf_sizes, depth)
     known = [(w, n) for w, n in top if w != END]
     model = Model(
         total, distinct, ends[0] if ends else 0, (once + 1) / (total + 2) if total else 1.0, head,
         pa.array([w for w, _ in known], pa.string()), np.array([n for _, n in known], np.float64),
         class_bias.astype(np.float32), np.log(slot_size / slot_size.sum(axis=1, keepdims=True)).astype(np.float32), np.maximum(tail_size, 1e-9),
-        np.zeros((3 * BUCKETS, CLASSES), np.float32), np.zeros((2 * SLOT_BUCKETS * HEAD_CLASSES, SLOTS), np.float32),
+        np.zeros((3 * rows_for(total, BUCKETS, 1 << 15), CLASSES), np.float32),
+        np.zeros((2 * rows_for(total, SLOT_BUCKETS, 1 << 17) * HEAD_CLASSES, SLOTS), np.float32),
+        np.zeros((2 * rows_for(total, TREE_BUCKETS, 1 << 12), SLOTS), np.float32),
+        biases, [(b > EMPTY).sum(axis=1) > 1 for b in biases],
     )
     for k in range(rounds if total else 0):
         own = train.filter(F.pmod(F.xxhash64(F.lit(5), doc_id), F.lit(rounds)) == k)

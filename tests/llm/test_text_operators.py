@@ -240,6 +240,26 @@ def single_probabilities(model, counts, history, vocab):
     return out
 
 
+def test_history_tells_rare_words_of_one_ending_apart(spark):
+    """Words below the frequent ones, equal in count and ending, each after a word of its own."""
+    rng = random.Random(33)
+    common = [f"w{k}q" for k in range(300)]
+    pairs = [(f"before{k}", f"rare{k}zz") for k in range(12)]
+    texts = []
+    for i in range(600):
+        texts.append(" ".join([*rng.choices(common, k=60), *pairs[i % 12], rng.choice(common)]))
+    docs = frame(spark, [doc(i, t) for i, t in enumerate(texts)])
+    counts = lm.count_words(docs)
+    model = lm.fit(docs, counts)
+    rare = [w for _, w in pairs]
+    assert not set(rare) & set(model.head)
+    right = 0
+    for before, own in pairs:
+        alone = single_probabilities(model, counts, before + " ", rare)[:-1]
+        right += alone[rare.index(own)] > 1.5 * sorted(alone)[5]
+    assert right >= 10
+
+
 def test_language_model_without_training_rows(spark):
     docs = frame(spark, [doc(1, "some words"), doc(2, None)])
     counts = lm.count_words(docs.filter("false"))
