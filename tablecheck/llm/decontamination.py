@@ -16,6 +16,12 @@ key with an item are verified by exact edit distance.
 Before the walks a lossless test leaves out most windows: ``d`` edits spoil at most
 ``q * d`` of the ``n - q + 1`` runs of ``q`` words of an item, so only windows that
 hold at least the other ``n - q + 1 - q * d`` runs of some item need to walk.
+
+Walks fall out of step in long items with many edits. So the runs are also counted for
+each item by itself: places where enough runs of three words of one item lie close
+together are verified too. For items that share at least two such runs with every
+occurrence (seven words or more, and four) this loses nothing; items of five or six
+words rest on the walks, shorter ones must occur unchanged.
 """
 
 from __future__ import annotations
@@ -39,6 +45,9 @@ BAND = 1.4
 BLOCK_CHARS = 32 << 20
 FILTER_BITS = 22
 PIECE_BYTES = 6 << 20
+COUNTED_RUN = 3
+COUNTED_LEAST = 2
+COUNTED_HITS = 1 << 21
 #: Fixed value: marks that do not count at either end of a word.
 MARKS = ".,;:!?*$&%#|\"'()[]{}<>«»“”‘’…-–—_=+~^/\\`@¿¡"
 FOUND = "item_id long, first_word long, n_words long, edits int"
@@ -141,6 +150,15 @@ def _walk_keys(padded: np.ndarray, begin: np.ndarray, stop: np.ndarray, walk: in
     return keys
 
 
+class Counted(NamedTuple):
+    """The distinct runs of each counted item: sorted codes with their items; per item the runs needed and an occurrence's most words."""
+
+    codes: np.ndarray
+    owners: np.ndarray
+    needed: np.ndarray
+    reach: np.ndarray
+
+
 class Items(NamedTuple):
     """A block of benchmark items ready to be searched for."""
 
@@ -148,6 +166,7 @@ class Items(NamedTuple):
     symbols: list[np.ndarray]
     allowed: np.ndarray
     bands: list[Band]
+    counted: Counted
 
 
 def _band(own: np.ndarray, each: list[np.ndarray], similarity: float, seed: int) -> Band:
@@ -187,7 +206,56 @@ def index(ids: list, texts: list[str | None], similarity: float) -> Items:
         inside = (lengths[left] <= shortest * BAND) & ((lengths[left] < 6) == (shortest < 6))
         bands.append(_band(left[inside], each, similarity, seed=int(shortest)))
         left = left[~inside]
-    return Items(ids, each, allowed, bands)
+    return Items(ids, each, allowed, bands, _counted(each, allowed))
+
+
+def _counted(each: list[np.ndarray], allowed: np.ndarray) -> Counted:
+    lengths = np.array([len(s) for s in each], np.int64)
+    needed = lengths - COUNTED_RUN + 1 - COUNTED_RUN * allowed
+    codes, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for k in np.flatnonzero(needed >= COUNTED_LEAST).tolist():
+        codes.append(np.unique(_runs(each[k], COUNTED_RUN)))
+        owners.append(np.full(len(codes[-1]), k))
+    code, owner = np.concatenate(codes), np.concatenate(owners)
+    order = np.argsort(code, kind="stable")
+    return Counted(code[order], owner[order], needed, lengths + allowed)
+
+
+def _dense_places(symbols: np.ndarray, text_of: np.ndarray, starts: np.ndarray, counted: Counted) -> Iterator[tuple[int, int, int, int]]:
+    """Ranges of words (text, item, first, end) that hold all occurrences of the counted items, ascending for a text and item."""
+    if not len(counted.codes):
+        return
+    code = _runs(symbols, COUNTED_RUN)
+    low = np.searchsorted(counted.codes, code)
+    at = np.flatnonzero(counted.codes[np.minimum(low, len(counted.codes) - 1)] == code)
+    # Runs across the border of two texts belong to none.
+    at = at[text_of[at] == text_of[at + COUNTED_RUN - 1]]
+    low = low[at]
+    n = np.searchsorted(counted.codes, code[at], side="right") - low
+    # Whole texts at a time, so that runs shared by many items do not take much memory at once.
+    upto, first = np.cumsum(n), 0
+    while first < len(at):
+        last = max(int(np.searchsorted(upto, (upto[first - 1] if first else 0) + COUNTED_HITS, side="right")), first + 1)
+        last = int(np.searchsorted(text_of[at], text_of[at[last - 1]], side="right"))
+        m = n[first:last]
+        item = counted.owners[np.repeat(low[first:last] - np.cumsum(m) + m, m) + np.arange(m.sum())]
+        place = np.repeat(at[first:last], m)
+        order = np.lexsort((place, item))
+        item, place = item[order], place[order]
+        text, needed, reach = text_of[place], counted.needed[item], counted.reach[item]
+        end = np.arange(len(item)) + needed - 1
+        inside = np.minimum(end, len(item) - 1)
+        near = (end < len(item)) & (item[inside] == item) & (text[inside] == text) & (place[inside] + COUNTED_RUN - place <= reach)
+        item, text, reach = item[near], text[near], reach[near]
+        begin = np.maximum(place[inside][near] + COUNTED_RUN - reach, starts[text])
+        stop = np.minimum(place[near] + reach, starts[text + 1])
+        if len(item):
+            # Overlapping ranges of one item become one.
+            apart = np.flatnonzero((item[1:] != item[:-1]) | (text[1:] != text[:-1]) | (begin[1:] > stop[:-1])) + 1
+            heads = np.concatenate([[0], apart])
+            tails = np.append(apart, len(item)) - 1
+            yield from zip(*(a.tolist() for a in (text[heads], item[heads], begin[heads], stop[tails])))
+        first = last
 
 
 def _candidates(symbols: np.ndarray, text_of: np.ndarray, starts: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray]:
@@ -233,27 +301,33 @@ def occurrences(texts: pa.Array, items: Items) -> list[list[tuple]]:
         text_of = np.repeat(np.arange(len(block)), np.diff(starts))
         found: list[dict[int, tuple]] = [{} for _ in range(len(block))]
         if len(items.ids) and len(symbols):
-            seen: dict[tuple[int, int], int] = {}
-            for first, k in zip(*(a.tolist() for a in _candidates(symbols, text_of, starts, items))):
-                text = int(text_of[first])
-                if seen.get((text, k), -1) > first or found[text].get(k, (1,))[0] == 0:
-                    continue
+            def verify(text: int, k: int, low: int, high: int) -> None:
                 own, allowed = items.symbols[k].tolist(), int(items.allowed[k])
-                low = max(int(starts[text]), first - allowed - 2)
-                high = min(int(starts[text + 1]), first + len(own) + 2 * allowed + 2)
                 window = symbols[low:high].tolist()
                 scores = last_row_edits(own, window)
-                # Windows that begin inside this one, up to a few words, would be verified on the same words.
-                seen[text, k] = first + max(1, allowed // 2)
                 least = min(scores)
                 if least > allowed:
-                    continue
+                    return
                 last = scores.index(least)
                 # The same search backwards from the last word gives the first word.
                 back = last_row_edits(own[::-1], window[: last + 1][::-1])
                 begin = low + last - back.index(least)
                 hit = (least, int(place[begin]), int(place[low + last] - place[begin] + 1))
                 found[text][k] = min(found[text].get(k, hit), hit)
+
+            seen: dict[tuple[int, int], int] = {}
+            for first, k in zip(*(a.tolist() for a in _candidates(symbols, text_of, starts, items))):
+                text = int(text_of[first])
+                if seen.get((text, k), -1) > first or found[text].get(k, (1,))[0] == 0:
+                    continue
+                own, allowed = len(items.symbols[k]), int(items.allowed[k])
+                # Windows that begin inside this one, up to a few words, would be verified on the same words.
+                seen[text, k] = first + max(1, allowed // 2)
+                verify(text, k, max(int(starts[text]), first - allowed - 2), min(int(starts[text + 1]), first + own + 2 * allowed + 2))
+            # What the walks missed, or found at a place farther from the item.
+            for text, k, low, high in _dense_places(symbols, text_of, starts, items.counted):
+                if found[text].get(k, (1,))[0] > 0:
+                    verify(text, k, low, high)
         results += [sorted((items.ids[k], at, n, e) for k, (e, at, n) in f.items()) for f in found]
     return results
 

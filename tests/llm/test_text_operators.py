@@ -78,6 +78,24 @@ def test_contaminations_against_brute_force(spark):
     assert clean.count() == sum(i not in {d for d, _ in found} for i, *_ in table)
 
 
+@pytest.mark.parametrize("n", [7, 25, 100, 400])
+def test_long_items_with_many_edits_are_found(n):
+    """All allowed edits, spread evenly, which the walks alone miss in long items."""
+    rng = random.Random(n)
+    items = [" ".join(f"w{rng.randrange(5000)}" for _ in range(n)) for _ in range(12)]
+    texts, allowed = [], decontamination.edits_allowed(n, 0.8)
+    for item in items:
+        words = item.split()
+        for e in sorted({int((e + 0.5) * n / allowed) for e in range(allowed)}, reverse=True):
+            what = rng.choice("rid")
+            words[e : e + (what != "i")] = [] if what == "d" else ["neu"]
+        texts.append(" ".join([f"v{rng.randrange(900)}" for _ in range(rng.randrange(50))] + words + ["x", "y"]))
+    got = decontamination.occurrences(pa.array(texts), decontamination.index(list(range(12)), items, 0.8))
+    assert [[hit[0] for hit in row] for row in got] == [[k] for k in range(12)]
+    for (hit,), item, text in zip(got, items, texts):
+        assert hit[3] == brute_edits(bare(item), bare(text)) <= allowed
+
+
 def test_decontamination_of_empty_tables(spark):
     benchmark = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     assert decontamination.contaminations(frame(spark, []), benchmark).collect() == []
