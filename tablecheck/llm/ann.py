@@ -51,8 +51,13 @@ def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     )
 
 
+def closest_of_each(far: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The least distance of each id along the last axis, where rows of an id stand together."""
+    return np.minimum.reduceat(far, np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])), axis=-1)
+
+
 class Index(NamedTuple):
-    """Rotation, the common length, centres, the lists to probe, and some rotated vectors with their ids."""
+    """Rotation, the common length, centres, the lists to probe, and some rotated vectors with their ids in order."""
 
     rotation: np.ndarray
     length: float
@@ -71,22 +76,35 @@ class Index(NamedTuple):
 
 
     def limits(self, ids: np.ndarray, rotated: np.ndarray, probed: np.ndarray, k: int) -> np.ndarray:
-        """A squared distance within which each query has ``k`` neighbours in its probed lists, from the seeds there;
+        """A squared distance within which each query has ``k`` neighbours of different ids in its probed lists, from the seeds there;
         infinite where they are too few. ``probed`` has a row per query and a column per list."""
-        if len(self.seeds) <= k:
+        if len(np.unique(self.seed_ids)) <= k:
             return np.full(len(rotated), np.inf)
         far = np.square(self.seeds).sum(axis=1) - 2 * rotated @ self.seeds.T + np.square(rotated).sum(axis=1)[:, None]
         far[(ids[:, None] == self.seed_ids) | ~probed[:, self.distances(self.seeds).argmin(axis=1)]] = np.inf
-        return np.partition(far, k - 1, axis=1)[:, k - 1] * (1 + 1e-9) + 1e-9
+        return np.partition(closest_of_each(far, self.seed_ids), k - 1, axis=1)[:, k - 1] * (1 + 1e-9) + 1e-9
+
 
+def probes_needed(index: Index, ids: np.ndarray, points: np.ndarray, plain: np.ndarray, k: int, recall: float, seed: int) -> int:
+    """The fewest lists in which ``recall`` of the ``k`` nearest of some points lie; ``ids`` are in order.
 
-def probes_needed(index: Index, points: np.ndarray, plain: np.ndarray, k: int, recall: float, seed: int) -> int:
-    """The fewest lists in which ``recall`` of the ``k`` nearest of some points lie."""
+    Each id counts once for a point, with its nearest row.
+    """
     tried = np.random.default_rng(seed).permutation(len(points))[:TRIED]
     asked = index.rotated(plain[tried], True)
     far = np.square(points).sum(axis=1) - 2 * asked @ points.T
-    far[np.arange(len(tried)), tried] = np.inf
-    near = np.argsort(far, axis=1, kind="stable")[:, : min(k, len(points) - 1)]
+    far[ids[tried][:, None] == ids] = np.inf
+    least, others = closest_of_each(far, ids), len(np.unique(ids)) - 1
+    group = np.cumsum(np.concatenate([[True], ids[1:] != ids[:-1]])) - 1
+    if len(least[0]) < len(ids):
+        for row, best in zip(far, least):
+            # Only the first of an id's nearest rows remains.
+            at = np.flatnonzero(row == best[group])
+            keep = at[np.unique(group[at], return_index=True)[1]]
+            rest = np.full(len(row), np.inf)
+            rest[keep] = row[keep]
+            row[:] = rest
+    near = np.argsort(far, axis=1, kind="stable")[:, : min(k, others)]
     of_list = index.distances(points).argmin(axis=1)
     place = np.argsort(np.argsort(index.distances(asked), axis=1, kind="stable"), axis=1, kind="stable")
     needed = np.sort(place[np.arange(len(tried))[:, None], of_list[near]].ravel())
@@ -97,12 +115,12 @@ def build(
     rows: DataFrame, dimension: int, k: int, sample: int = SAMPLE, lists: int = LISTS, recall: float = RECALL, seed: int = 9
 ) -> Index:
     """Centres by k-means on about ``sample`` vectors chosen by a hash of their ids; the lengths of all count."""
-    n, longest = rows.agg(F.count(F.lit(1)), F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))).first()
+    n, longest = rows.agg(F.count_distinct("vec_id"), F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))).first()
     rng = np.random.default_rng(seed)
     rotation = np.linalg.qr(rng.normal(size=(dimension + 1, dimension + 1)))[0]
     index = Index(rotation, math.sqrt(longest), np.zeros((1, dimension + 1)), 1, np.zeros(0), np.zeros((0, dimension + 1)))
     share = int((1 << 30) * min(1.0, sample / n)) + 1
-    got = rows.filter(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < share).limit(2 * sample).collect()
+    got = rows.filter(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < share).distinct().limit(2 * sample).collect()
     got.sort(key=lambda r: (r["vec_id"], r["vector"]))
     plain = np.array([r["vector"] for r in got], float).reshape(-1, dimension)
     points = index.rotated(plain, False)
@@ -117,20 +135,26 @@ def build(
         starts = np.concatenate([[0], np.cumsum(np.bincount(near, minlength=count))])
         size = np.diff(starts)
         centres = np.where(size[:, None] > 0, sum_runs(points[order], starts) / np.maximum(size, 1)[:, None], centres)
-    chosen = rng.permutation(len(points))[:SEEDS]
-    index = index._replace(centres=centres, seed_ids=np.array([r["vec_id"] for r in got])[chosen], seeds=points[chosen])
-    return index._replace(probes=probes_needed(index, points, plain, k, recall, seed))
+    ids, chosen = np.array([r["vec_id"] for r in got]), np.sort(rng.permutation(len(points))[:SEEDS])
+    index = index._replace(centres=centres, seed_ids=ids[chosen], seeds=points[chosen])
+    return index._replace(probes=probes_needed(index, ids, points, plain, k, recall, seed))
 
 
 def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dimension)
 
 
-def scan(query: np.ndarray, near: np.ndarray, columns: int, k: int, limit: float, confidence: float = CONFIDENCE) -> np.ndarray:
-    """Rows of ``near`` that may be among the ``k`` closest to ``query`` (rotated vectors), which lie within ``limit``."""
+def scan(
+    query: np.ndarray, ids: np.ndarray, near: np.ndarray, columns: int, k: int, limit: float, confidence: float = CONFIDENCE
+) -> np.ndarray:
+    """Rows of ``near`` that may be of the ``k`` ids closest to ``query`` (rotated vectors), which lie within ``limit``.
+
+    ``ids`` are those of the rows, in order; an id is as close as its closest row.
+    """
     total = near.shape[1]
     if limit == math.inf and len(near) > 4 * k:
-        limit = float(np.partition(np.square(near[: 4 * k] - query).sum(axis=1), k - 1)[k - 1])
+        some = closest_of_each(np.square(near[: 4 * k] - query).sum(axis=1), ids[: 4 * k])
+        limit = float(np.partition(some, k - 1)[k - 1]) if len(some) >= k else limit
     alive, partial = np.arange(len(near)), np.zeros(len(near))
     for at in range(0, total, columns):
         block = near[:, at : at + columns] if len(alive) == len(near) else near[alive, at : at + columns]
@@ -140,8 +164,9 @@ def scan(query: np.ndarray, near: np.ndarray, columns: int, k: int, limit: float
         slack = (1 + confidence / math.sqrt(seen)) ** 2 if seen < total else 1 + 1e-9
         keep = partial <= limit * min(1.0, seen / total * slack) * (1 + 1e-9)
         alive, partial = alive[keep], partial[keep]
-    if len(alive) > k:
-        bound = np.partition(partial, k - 1)[k - 1]
+    least = closest_of_each(partial, ids[alive]) if len(alive) > k else partial
+    if len(least) > k:
+        bound = np.partition(least, k - 1)[k - 1]
         alive = alive[partial <= bound * (1 + 1e-9) + 1e-9]
     return alive
 
@@ -158,10 +183,12 @@ def _searcher(index: Index, dimension: int, k: int, columns: int):
             for row, query_id, limit in zip(range(len(left)), left["vec_id"].tolist(), left["limit"].tolist()):
                 plain = asked[row]
                 # One more than asked for, as the query may meet itself.
-                alive = scan(turned[row], rotated, columns, k + 1, limit)
+                alive = scan(turned[row], ids, rotated, columns, k + 1, limit)
                 alive = alive[ids[alive] != query_id]
                 score = (original[alive] * plain).sum(axis=1)
-                best = np.lexsort((ids[alive], -score))[:k]
+                best = np.lexsort((ids[alive], -score))
+                # The best row of each id, then the best ids.
+                best = best[np.sort(np.unique(ids[alive][best], return_index=True)[1])][:k]
                 out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[alive][best], "score": score[best]}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
@@ -205,13 +232,17 @@ def nearest(
     sizes = np.zeros(len(index.centres), np.int64)
     for row in placed.groupBy("list").count().collect():
         sizes[row["list"]] = row["count"]
+    # Ids that have rows in several lists count in one of them only, so lists that hold enough by this count do.
+    own = np.zeros(len(index.centres), np.int64)
+    for row in placed.groupBy("vec_id").agg(F.min("list").alias("list")).groupBy("list").count().collect():
+        own[row["list"]] = row["count"]
     enough = 4 * (k + 1)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             turned = index.rotated(_matrix(batch.column(1), dimension), True)
             order = index.distances(turned).argsort(axis=1, kind="stable")
-            held = sizes[order].cumsum(axis=1)
+            held = own[order].cumsum(axis=1)
             need = np.maximum((held < enough).sum(axis=1) + 1, index.probes)
             probed = np.zeros(order.shape, bool)
             np.put_along_axis(probed, order, np.arange(order.shape[1]) < need[:, None], axis=1)

@@ -327,6 +327,24 @@ def test_nearest_of_few_and_equal_vectors(spark):
     assert ann.nearest(df, df.filter("false"), k=5).collect() == []
 
 
+def test_copies_of_a_neighbour_take_one_place(spark):
+    """Copies of rows near a query, and rows of one id that differ, leave the other places to other ids."""
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(300)]
+    near = dict(brute_nearest(rows, rows[0], 3))
+    copied = [(i, v) for i, v in rows if i in near for _ in range(40)]
+    other = [(next(iter(near)), (np.array(rows[0][1]) * (0.5 + 0.01 * k)).tolist()) for k in range(40)]
+    for extra in (copied, copied + other, rows):
+        df = spark.createDataFrame(rows + extra, "vec_id long, embedding array<double>")
+        asked = spark.createDataFrame(rows[:1], "vec_id long, embedding array<double>")
+        found = ann.nearest(df, asked, k=20, recall=1.0).orderBy("rank").collect()
+        best = {}
+        for i, s in brute_nearest(rows + extra, rows[0], len(rows + extra)):
+            best.setdefault(i, s)
+        assert [r["vec_id"] for r in found] == list(best)[:20]
+        assert np.allclose([r["score"] for r in found], list(best.values())[:20])
+
+
 def test_lists_are_searched_in_chunks(spark, monkeypatch):
     monkeypatch.setattr(ann, "CHUNK", 7)
     rows = [(i, [float(i % 13), float(i % 7), 1.0]) for i in range(200)]
