@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import scratch_path
-from . import ann, chat, decontamination, html, langid, lexical, lm, packing, quality, repair, simhash, simple8b
+from . import ann, chat, decontamination, html, langid, lexical, lm, minhash, packing, quality, repair, simhash, simple8b
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -246,3 +246,8 @@ with found as (
 )
 select * from ranked where rank <= 10
 """
+
+
+@query
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
