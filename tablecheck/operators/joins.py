@@ -11,10 +11,11 @@
 
 from __future__ import annotations
 
+import math
 import operator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,17 +35,20 @@ def hot_keys(
 ) -> list[tuple]:
     """Keys with more than ``max(min_rows, share * rows)`` rows, each with its salt count as the last value.
 
-    One grouping, combined map-side, is run at once. At most ``1 / share`` keys
-    can qualify, and because a key gets one salt per such portion of rows, all
-    salts together stay below ``2 / share``: what reaches the driver has a proven
-    bound. Keys with a NULL part are left out unless ``nulls`` is set.
+    One grouping, combined map-side, is run at once; the number of all rows is
+    observed on its way. At most ``1 / share`` keys can qualify, and because a key
+    gets one salt per such portion of rows, all salts together stay below
+    ``2 / share``: what reaches the driver has a proven bound. Keys with a NULL part
+    are left out unless ``nulls`` is set.
     """
     keys = [as_column(c) for c in on]
     rows = df if nulls or not on else df.filter(reduce(operator.and_, [c.isNotNull() for c in keys]))
-    portion = max(float(min_rows), rows.count() * share)
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    found = counts.filter(F.col("n") > portion).withColumn("n", F.ceil(F.col("n") / portion).cast("int"))
-    return [tuple(r) for r in found.collect()]
+    seen = Observation()
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).observe(seen, F.sum("n").alias("rows"))
+    # Keys that qualify are among the largest 1 / share.
+    largest = counts.filter(F.col("n") > min_rows).orderBy(F.desc("n")).limit(math.ceil(1 / share)).collect()
+    portion = max(float(min_rows), (seen.get["rows"] or 0) * share)
+    return [(*r[:-1], math.ceil(r[-1] / portion)) for r in map(tuple, largest) if r[-1] > portion]
 
 
 def _any(conditions: list[Column]) -> Column:

@@ -1,6 +1,7 @@
 """Operators whose hot groups are split must give the same rows as the plain ones."""
 
 import random
+import re
 import statistics
 
 import pytest
@@ -105,11 +106,57 @@ def test_one_hot_day_of_one_customer_is_cut(spark):
     assert total == 18_000 and most < total / 3
 
 
-def test_values_in_a_narrow_band_are_cut(spark):
+def test_median_of_values_in_a_narrow_band(spark):
     df = spark.range(200_001).selectExpr("1.0e9D + id / 2.0D AS v")
-    assert exact_median(df, [], "v", "m", share=0.01, min_rows=1000).first()["m"] == 1.0e9 + 50_000
-    most, total = largest_range(spark, "ranges")
-    assert total == 200_001 and most < total / 3
+    assert exact_median(df, [], "v", "m").first()["m"] == 1.0e9 + 50_000
+
+
+def test_median_keeps_few_values_and_starts_no_job(spark):
+    spark.sparkContext.setJobGroup("median", "median")
+    df = spark.range(400_000).selectExpr("id % 3 AS g", "cast(xxhash64(id) AS double) AS v", "repeat('x', 100) AS wide")
+    try:
+        out = exact_median(df, ["g"], "v", "m")
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("median")
+        found = {r["g"]: r["m"] for r in out.collect()}
+    finally:
+        spark.sparkContext.setJobGroup("tests", "tests")
+    values = {}
+    for g, v in df.select("g", "v").collect():
+        values.setdefault(g, []).append(v)
+    assert found == {g: statistics.median(v) for g, v in values.items()}
+    # What the window ranks: one row for all below, and what lies between the two values of the sketch.
+    ranked = [int(n) for n in re.findall(r"Window.*?number of output rows: ([0-9,]+)", metrics(out), re.S)]
+    assert ranked and max(ranked) < 400_000 / 1000
+
+
+def metrics(df):
+    """Row counts of the windows of the executed plan, as text."""
+    lines, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        if kind == "WindowExec":
+            child = node.child()
+            while not child.metrics().contains("numOutputRows"):
+                child = child.children().apply(0) if child.children().size() else child.plan()
+            lines.append(f"Window number of output rows: {child.metrics().apply('numOutputRows').value()}")
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return "\n".join(lines)
+
+
+def test_hot_keys_take_one_job(spark, fact):
+    spark.sparkContext.setJobGroup("hot", "hot")
+    try:
+        assert joins.hot_keys(fact, ["k"], **TIGHT)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("hot")
+    finally:
+        spark.sparkContext.setJobGroup("tests", "tests")
+    # Adaptive execution runs the grouping, the ordering and the result as a job each; the rows are read once.
+    assert len(jobs) <= 3
 
 
 def test_running_sum_in_buckets(fact):
