@@ -46,6 +46,8 @@ FLAT, SLOPE = 10, 90
 NO_ID = np.iinfo(np.int64).max
 CELLS = 1 << 21
 KEPT = 1 << 18
+#: Numbers of a table of wanted documents that may be sent to every executor.
+SENT = 2_000_000
 
 SKETCH = "doc_id long, n long, sketch binary, term int, df long"
 WANTED = "doc_id long, items array<int>"
@@ -302,10 +304,19 @@ def _top(rows: DataFrame, value: str, k: int) -> DataFrame:
 
 
 def _score(texts: DataFrame, wanted: DataFrame, query: Query, k: int) -> DataFrame:
-    """Exact scores of the wanted items of documents, the best ``k`` of each item with their rank."""
+    """Exact scores of the wanted items of documents, the best ``k`` of each item with their rank.
+
+    The wanted documents are sent to the texts if their table is small; its size is
+    read first. A larger one is joined as Spark sees fit.
+    """
+    spark = texts.sparkSession
     one = wanted.select(F.col("doc_id").alias("__id"), F.explode("items").alias("item"))
+    path = scratch_path(spark, "wanted")
     # At most as many items as the block has, whatever number of rows shares an id.
-    items = one.groupBy("__id").agg(F.collect_set("item").alias("items"))
+    one.groupBy("__id").agg(F.collect_set("item").alias("items")).write.parquet(path)
+    items = spark.read.schema("__id long, items array<int>").parquet(path)
+    if (items.agg(F.sum(F.size("items") + 4)).first()[0] or 0) <= SENT:
+        items = F.broadcast(items)
     joined = texts.join(items, texts["doc_id"].eqNullSafe(items["__id"])).select("doc_id", "text", "items")
     return _top(joined.mapInArrow(_rescored(query, k), SCORE), "score", k)
 
