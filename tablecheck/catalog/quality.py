@@ -443,6 +443,8 @@ def plan_run(spark, d):
         "SELECT 'Completitud_customer_missing', CAST(NULL AS DOUBLE), true",
         "SELECT 'Completitud_nowhere_c_name', CAST(NULL AS DOUBLE), true",
         "SELECT 'Precision_customer_c_acctbal', CAST(NULL AS DOUBLE), true",
+        "SELECT 'Precision_customer_c_name', CAST(NULL AS DOUBLE), true",
+        "SELECT 'Completitud_offline_c_name', CAST(NULL AS DOUBLE), true",
         "SELECT 'Otro_customer_c_name', CAST(NULL AS DOUBLE), true",
         "SELECT 'Credibilidad_Patron_customer_c_name', CAST(NULL AS DOUBLE), true",
         "SELECT 'Integridad Referencial_customer_nation_c_nationkey', CAST(NULL AS DOUBLE), true",
@@ -457,6 +459,8 @@ def plan_errors(spark, d):
         _test(q.COMPLETENESS, "missing", "customer"),
         _test(q.COMPLETENESS, "c_name", "nowhere"),
         _test(q.PRECISION, "c_acctbal", "customer", num_decimales="two"),
+        _test(q.PRECISION, "c_name", "customer", num_decimales="99999999999"),
+        _test(q.COMPLETENESS, "c_name", "offline"),
         _test("Otro", "c_name", "customer"),
         _test(q.CREDIBILITY, "c_name", "customer", patron="^[a-z", tipo_credibilidad=q.BY_PATTERN),
         _test(q.INTEGRITY, "c_nationkey", "customer", columna_2="no_key", tabla_2="nation"),
@@ -467,6 +471,8 @@ def plan_errors(spark, d):
     known = resolver(spark, d)
 
     def resolve(schema: str | None, name: str) -> DataFrame:
+        if name == "offline":
+            raise RuntimeError("no connection")
         # A column of names cast to numbers raises when it is read.
         return _customers(spark, d).withColumn("as_number", F.expr("cast(c_name as int)")) if name == "raising" else known(schema, name)
 

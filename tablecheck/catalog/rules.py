@@ -6,9 +6,11 @@ from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
+from ..operators import checks as ck
 from ..operators import constraints as c
 from ..operators import data_tests as dt
 from ..operators import expectations as e
+from ..operators import metrics as m
 from ..operators.joins import join_dimension, orphan_keys, rows_in
 from ..operators.windows import union_frames
 from .data import portable, query, table
@@ -311,10 +313,110 @@ def constraints_text(spark, d):
     "suite_errors",
     f"""SELECT 'not_null(segment)' AS rule, count(*) FILTER (WHERE segment IS NULL) AS unexpected_count, false AS failed FROM {CUSTOMERS_SQL}
 UNION ALL SELECT 'not_null(gone)', CAST(NULL AS BIGINT), true
+UNION ALL SELECT 'match_regex(c_name)', CAST(NULL AS BIGINT), true
+UNION ALL SELECT 'between(c_custkey)', CAST(NULL AS BIGINT), true
 UNION ALL SELECT 'unique(gone)', CAST(NULL AS BIGINT), true""",
 )
 def suite_errors(spark, d):
-    """A suite with two rules on a column that does not exist."""
-    rules = [e.expect_not_null("gone"), e.expect_not_null("segment"), e.expect_unique("gone")]
+    """A suite with two rules on a column that does not exist, a broken pattern and bounds that are no numbers."""
+    rules = [
+        e.expect_not_null("gone"), e.expect_not_null("segment"), e.expect_unique("gone"), e.expect_match_regex("c_name", "("),
+        e.expect_between("c_custkey", "a", "z"),
+    ]
     found = e.run_suite(_customers(spark, d), "customers", rules)
     return found.select("rule", "unexpected_count", F.col("message").isNotNull().alias("failed"))
+
+
+#: Customers with a code that is a number for three of four.
+CODED_SQL = """(SELECT *, CASE WHEN c_custkey % 4 = 0 THEN c_name ELSE CAST(c_custkey % 50 AS VARCHAR) END AS code,
+  nullif(c_mktsegment, 'BUILDING') AS segment FROM customer)"""
+
+
+def _coded(spark, d):
+    """Customers with a code that is a number for three of four; reading the others as numbers raises."""
+    code = F.when(F.col("c_custkey") % 4 == 0, F.col("c_name")).otherwise((F.col("c_custkey") % 50).cast("string"))
+    return _customers(spark, d).withColumn("code", code)
+
+
+@query(
+    "suite_isolated",
+    f"""SELECT 'not_null(segment)' AS rule, count(*) FILTER (WHERE segment IS NULL) AS unexpected_count, false AS failed FROM {CODED_SQL}
+UNION ALL SELECT 'small(code)', CAST(NULL AS BIGINT), true
+UNION ALL SELECT 'between(c_acctbal)', count(*) FILTER (WHERE c_acctbal < 0), false FROM {CODED_SQL}
+UNION ALL SELECT 'unique(c_name)', count(*) - count(DISTINCT c_name), false FROM {CODED_SQL}""",
+)
+def suite_isolated(spark, d):
+    """A rule that raises on a cell does not end the others."""
+    rules = [
+        e.expect_not_null("segment"), e.expect_true("cast(code AS int) < 40", "code", "small"),
+        e.expect_between("c_acctbal", low=0), e.expect_unique("c_name"),
+    ]
+    found = e.run_suite(_coded(spark, d), "customers", rules, isolate=True)
+    return found.select("rule", "unexpected_count", F.col("message").isNotNull().alias("failed"))
+
+
+@query(
+    "suite_guarded",
+    f"""SELECT 'small(code)' AS rule, count(*) AS element_count, CAST(0 AS BIGINT) AS missing_count,
+  count(*) FILTER (WHERE try_cast(code AS INT) >= 40) AS unexpected_count, count(*) FILTER (WHERE try_cast(code AS INT) IS NULL) AS unjudged_count,
+  coalesce(100.0 * count(*) FILTER (WHERE try_cast(code AS INT) >= 40) / nullif(count(try_cast(code AS INT)), 0), 0) AS unexpected_percent FROM {CODED_SQL}
+UNION ALL SELECT 'not_null(segment)', count(*), count(*) FILTER (WHERE segment IS NULL), count(*) FILTER (WHERE segment IS NULL), 0,
+  100.0 * count(*) FILTER (WHERE segment IS NULL) / count(*) FROM {CODED_SQL}
+UNION ALL SELECT 'in_set(segment)', count(*), count(*) FILTER (WHERE segment IS NULL), count(*) FILTER (WHERE segment NOT IN ('MACHINERY')), 0,
+  100.0 * count(*) FILTER (WHERE segment NOT IN ('MACHINERY')) / count(segment) FROM {CODED_SQL}""",
+)
+def suite_guarded(spark, d):
+    """All rules in one scan; cells that a rule cannot read are counted apart."""
+    rules = [
+        e.expect_true("cast(code AS int) < 40", "code", "small"), e.expect_not_null("segment"), e.expect_in_set("segment", "MACHINERY"),
+    ]
+    counts = ["element_count", "missing_count", "unexpected_count", "unjudged_count", "unexpected_percent"]
+    return e.summarize_guarded(_coded(spark, d), rules).select("rule", *counts)
+
+
+@query("unjudged_cells", f"SELECT c_custkey, 'small(code)' AS rule, code AS value FROM {CODED_SQL} WHERE try_cast(code AS INT) IS NULL")
+def unjudged_cells(spark, d):
+    return e.unjudged_rows(_coded(spark, d), [e.expect_true("cast(code AS int) < 40", "code", "small")], ["c_custkey"])
+
+
+@query(
+    "constraints_isolated",
+    f"""SELECT 'customer' AS table_name, 'check(code)' AS constraint, CAST(NULL AS BIGINT) AS violations, true AS failed
+UNION ALL SELECT 'customer', 'not_null(segment)', count(*) FILTER (WHERE segment IS NULL), false FROM {CODED_SQL}
+UNION ALL SELECT 'customer', 'pk(c_custkey)', 0, false
+UNION ALL SELECT 'customer', 'check(balance)', count(*) FILTER (WHERE NOT c_acctbal > 100), false FROM {CODED_SQL}""",
+)
+def constraints_isolated(spark, d):
+    """A CHECK that raises on a cell does not end the others."""
+    asked = [c.check("cast(code AS int) < 40", "code"), c.not_null("segment"), c.pk("c_custkey"), c.check("c_acctbal > 100", "balance")]
+    found = c.validate_isolated(_coded(spark, d), "customer", asked)
+    return found.select("table_name", "constraint", "violations", F.col("message").isNotNull().alias("failed"))
+
+
+@query(
+    "constraints_guarded",
+    f"""SELECT 'customer' AS table_name, 'check(code)' AS constraint, count(*) FILTER (WHERE try_cast(code AS INT) >= 40) AS violations,
+  count(*) FILTER (WHERE try_cast(code AS INT) IS NULL) AS unjudged FROM {CODED_SQL}
+UNION ALL SELECT 'customer', 'check_in(segment)', count(*) FILTER (WHERE segment NOT IN ('MACHINERY', 'FURNITURE')),
+  count(*) FILTER (WHERE segment IS NULL) FROM {CODED_SQL}""",
+)
+def constraints_guarded(spark, d):
+    asked = [c.check("cast(code AS int) < 40", "code"), c.check_in("segment", "MACHINERY,FURNITURE")]
+    return c.validate_guarded(_coded(spark, d), "customer", asked)
+
+
+@query(
+    "checks_isolated",
+    f"""SELECT 'balance' AS check, 'Success' AS status, CAST(count(*) FILTER (WHERE c_acctbal >= -1000) AS DOUBLE) / count(*) AS value, false AS failed FROM {CODED_SQL}
+UNION ALL SELECT 'code', 'Error', CAST(NULL AS DOUBLE), true
+UNION ALL SELECT 'segment', 'Warning', CAST(count(segment) AS DOUBLE) / count(*), false FROM {CODED_SQL}""",
+)
+def checks_isolated(spark, d):
+    """A check whose metric raises on a cell does not end the others."""
+    asked = [
+        ck.Check(ck.ERROR, "balance", m.compliance("balance", "c_acctbal >= -1000")),
+        ck.Check(ck.ERROR, "code", m.compliance("code", "cast(code AS int) < 40")),
+        ck.Check(ck.WARNING, "segment", m.completeness("segment")),
+    ]
+    found = ck.run_checks(_coded(spark, d), asked, isolate=True)
+    return found.select("check", "status", "value", F.col("message").isNotNull().alias("failed"))

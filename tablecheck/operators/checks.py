@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .metrics import Metric, run_metrics
+from .metrics import Metric, run_isolated, run_metrics
 
 # Severities and the status of a check that holds.
 WARNING = "Warning"
@@ -31,10 +31,12 @@ class Check:
     assertion: Callable[[Column], Column] = is_complete_ratio
 
 
-def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
+def run_checks(df: DataFrame, checks: list[Check], isolate: bool = False) -> DataFrame:
     """One row per check: ``check, level, status, entity, instance, name, value, message``.
 
-    A check whose metric has no value does not hold.
+    A check whose metric has no value does not hold. With ``isolate`` all checks
+    are measured at once, and one whose metric fails while running gets a message
+    and does not end the others.
     """
     # The position of a metric in the list ties its row to its check.
     tagged = [
@@ -42,7 +44,7 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
                c.metric.entity, c.metric.pattern)
         for i, c in enumerate(checks)
     ]
-    rows = run_metrics(df, tagged).withColumn("__i", F.split_part("instance", F.lit("\x1f"), F.lit(1)).cast("int"))
+    rows = (run_isolated if isolate else run_metrics)(df, tagged).withColumn("__i", F.split_part("instance", F.lit("\x1f"), F.lit(1)).cast("int"))
     status, level, text = F.lit(None), F.lit(None), F.lit(None)
     for i, c in enumerate(checks):
         mine = F.col("__i") == i

@@ -11,14 +11,14 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions.columns import as_column
 from ..functions.predicates import expr_true, in_set
 from .aggregates import frequencies
 from .joins import orphan_keys
-from .planning import plan_errors
+from .planning import isolated, non_raising, plan_errors
 from .windows import union_frames
 
 
@@ -98,6 +98,9 @@ def fits_decimal(col: str, precision: int, scale: int) -> Constraint:
     return Constraint(f"fits_decimal({col},{precision},{scale})", c.isNotNull() & ~fits)
 
 
+RESULT = "table_name string, constraint string, violations long, message string"
+
+
 def validate_constraints(df: DataFrame, table: str, constraints: list[Constraint]) -> DataFrame:
     """One row per constraint: ``table_name, constraint, violations, message``.
 
@@ -111,6 +114,8 @@ def validate_constraints(df: DataFrame, table: str, constraints: list[Constraint
             if c.frame is not None:
                 c.frame(df).schema  # noqa: B018
 
+    if not constraints:
+        return df.sparkSession.createDataFrame([], RESULT)
     problems = plan_errors(constraints, planned)
     failed = [(c.name, p) for c, p in zip(constraints, problems) if p is not None]
     constraints = [c for c, p in zip(constraints, problems) if p is None]
@@ -132,3 +137,37 @@ def validate_constraints(df: DataFrame, table: str, constraints: list[Constraint
         one = df.sparkSession.range(1)
         frames.append(one.select(F.lit(name).alias("constraint"), none, F.lit(problem).alias("message")))
     return union_frames(frames).select(F.lit(table).alias("table_name"), "constraint", "violations", "message")
+
+
+def validate_isolated(df: DataFrame, table: str, constraints: list[Constraint]) -> DataFrame:
+    """As :func:`validate_constraints`, counted at once, with constraints that fail while running kept apart.
+
+    Those have NULL violations and a message. One row per constraint reaches the driver.
+    """
+    rows = isolated(
+        constraints,
+        lambda some: validate_constraints(df, table, some).collect(),
+        lambda c, problem: [Row(table, c.name, None, problem)],
+    )
+    return df.sparkSession.createDataFrame(rows, RESULT)
+
+
+def validate_guarded(df: DataFrame, table: str, constraints: list[Constraint]) -> DataFrame:
+    """Row constraints in one lazy scan that no cell can end: ``table_name, constraint, violations, unjudged``.
+
+    ``unjudged`` counts the rows for which a constraint has no outcome: those with
+    a NULL, which pass, and those with a cell that its condition cannot read.
+    Keys and references are counted by :func:`validate_constraints`.
+    """
+    rowwise = [c for c in constraints if c.broken is not None]
+    with non_raising(df.sparkSession):
+        counts = df.agg(
+            *[F.count_if(F.coalesce(c.broken, F.lit(False))).alias(f"v{i}") for i, c in enumerate(rowwise)],
+            *[F.count_if(c.broken.isNull()).alias(f"u{i}") for i, c in enumerate(rowwise)],
+        )
+    structs = [
+        F.struct(F.lit(table).alias("table_name"), F.lit(c.name).alias("constraint"),
+                 F.col(f"v{i}").alias("violations"), F.col(f"u{i}").alias("unjudged"))
+        for i, c in enumerate(rowwise)
+    ]
+    return counts.select(F.inline(F.array(*structs)))

@@ -14,7 +14,6 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +21,7 @@ from ..functions.columns import as_column, as_text, parse_date, parse_ts
 from ..functions.predicates import expr_true, in_set, matches
 from .aggregates import frequencies
 from .joins import key_match
-from .planning import plan_errors
+from .planning import compile_patterns, isolated, plan_errors
 from .windows import union_frames
 
 EMPTY_INPUT = "no rows to measure"
@@ -101,7 +100,8 @@ def precision(col: str, decimals: int | str) -> Metric:
     Judged on the text of the number, so negative numbers, NULL and exponent
     notation fail.
     """
-    return Metric("PatternMatch", col, share(matches(as_text(col), precision_pattern(decimals))))
+    pattern = precision_pattern(decimals)
+    return Metric("PatternMatch", col, share(matches(as_text(col), pattern)), pattern=pattern)
 
 
 def currency_date(col: str, limit: str) -> Metric:
@@ -174,12 +174,9 @@ def _plan(df: DataFrame, metrics: list[Metric]) -> None:
     """Raise unless all metrics can be planned.
 
     Analyzes the metrics, with the conversion of their values, and compiles
-    their patterns without running a job: a pattern match on a literal is folded
-    by the optimizer and reads nothing.
+    their patterns without running a job.
     """
-    patterns = [m.pattern for m in metrics if m.pattern is not None]
-    if patterns:
-        df.sparkSession.sql("SELECT " + ", ".join(["'' RLIKE ?"] * len(patterns)), args=patterns).collect()
+    compile_patterns(df.sparkSession, [m.pattern for m in metrics])
     scans = [m.value.try_cast("double") for m in metrics if m.frame is None]
     if scans:
         df.agg(*scans).schema  # noqa: B018
@@ -197,6 +194,8 @@ def run_metrics(df: DataFrame, metrics: list[Metric]) -> DataFrame:
     number; the others run. Conversions that the metrics make themselves never
     raise; for expressions of the caller that may, see :func:`run_isolated`.
     """
+    if not metrics:
+        return df.sparkSession.createDataFrame([], RESULT)
     message = F.when(F.col("value").isNotNull(), F.lit(None)).when(F.col("found"), F.lit(NOT_A_NUMBER))
     message = message.otherwise(F.lit(EMPTY_INPUT)).alias("message")
     scans, frames = [], []
@@ -216,23 +215,16 @@ def run_metrics(df: DataFrame, metrics: list[Metric]) -> DataFrame:
     return union_frames(frames)
 
 
+RESULT = "entity string, instance string, name string, is_ratio boolean, value double, message string"
+
+
 def run_isolated(df: DataFrame, metrics: list[Metric]) -> DataFrame:
     """As :func:`run_metrics`, measured at once, with metrics that fail while running kept apart.
 
-    One run measures them all. Only if it fails, halving finds the metrics at
-    fault; they get a row with a NULL value and the message. One row per metric
+    Those get a row with a NULL value and the message. One row per metric
     reaches the driver.
     """
-
-    def measured(some: list[Metric]) -> list:
-        try:
-            return run_metrics(df, some).collect()
-        except PySparkException as e:
-            if len(some) == 1:
-                problem = str(e).split("\n", 1)[0]
-                return _failed(df, some[0], problem).collect()
-        half = len(some) // 2
-        return measured(some[:half]) + measured(some[half:])
-
-    schema = "entity string, instance string, name string, is_ratio boolean, value double, message string"
-    return df.sparkSession.createDataFrame(measured(metrics) if metrics else [], schema)
+    rows = isolated(
+        metrics, lambda some: run_metrics(df, some).collect(), lambda m, problem: _failed(df, m, problem).collect()
+    )
+    return df.sparkSession.createDataFrame(rows, RESULT)

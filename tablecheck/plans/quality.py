@@ -11,12 +11,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import as_column, indicator, parse_date, parse_ts, pct, run_stamp
 from ..operators import metrics as m
+from ..operators.planning import first_line
 from ..operators.windows import union_frames
 from ..sources.jdbc import JdbcPartition, read_jdbc
 from ..sources.results import INDICATOR, PERCENT, STAMP, VALUE
@@ -95,6 +95,7 @@ def plan_tests(plan: DataFrame) -> DataFrame:
             (kind == PRECISION) & ~F.coalesce(F.col("num_decimales").rlike("^[0-9]+$"), F.lit(False)),
             F.lit("number of decimals must be an integer"),
         )
+        .when((kind == PRECISION) & (F.length(F.ltrim(F.col("num_decimales"), F.lit("0"))) > 3), F.lit("number of decimals is too large"))
         .when((kind == INTEGRITY) & (_blank("tabla_2") | _blank("columna_2")), F.lit("second table and column are required"))
         .when((kind == CURRENCY) & _blank("tiempo_limite"), F.lit("limit is required"))
         .when((kind == CURRENCY) & subtype("tipo_actualidad", BY_DATE, BY_DATE_TIME), F.lit("unknown subtype"))
@@ -164,8 +165,8 @@ def run_plan(spark: SparkSession, plan: DataFrame, resolve: TableResolver, isola
             try:
                 table(test["schema"], test["tabla"])
                 metric = replace(test_metric(test, table), instance=test["indicator"])
-            except (PySparkException, KeyError, ValueError) as e:
-                problem = str(e).split("\n", 1)[0]
+            except Exception as e:  # whatever keeps one table or test from being used is its message
+                problem = first_line(e)
         if problem is None:
             by_table.setdefault((test["schema"], test["tabla"]), []).append(metric)
         else:
