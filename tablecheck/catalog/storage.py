@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.windows import preview
 from ..sources.files import load_seed, normalize_nulls, read_csv, read_json
+from ..sources.json_array import read_json_array
 from ..sources.scratch import scratch_path
 from .data import portable, query, table
 
@@ -101,3 +102,19 @@ def null_tokens(spark, d):
 def preview_limit(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
     return portable(preview(orders.orderBy(F.desc("o_totalprice"), "o_orderkey"), 5))
+
+
+@query("json_array_split", f"SELECT o_orderkey, o_totalprice, {TOKEN_SQL} AS \"prioridad año\", o_orderstatus || ' }},{{ \"x\"' AS note FROM orders")
+def json_array_split(spark, d):
+    """One array file of all orders, read in splits of 256 KB; notes hold what looks like the end of an element."""
+    orders = _with_tokens(table(spark, d, "orders")).select(
+        "o_orderkey", "o_totalprice", F.col("o_orderpriority").alias("prioridad año"),
+        F.concat("o_orderstatus", F.lit(' },{ "x"')).alias("note"),
+    )
+    path = scratch_path(spark, "orders-array")
+    # One file, as the array is one text: its first line opens it, the last one closes it.
+    line = F.to_json(F.struct(*orders.columns))
+    numbered = orders.select(F.concat(F.when(F.monotonically_increasing_id() == 0, F.lit("[")).otherwise(F.lit(",")), line).alias("value"))
+    end = spark.range(1).select(F.lit("]").alias("value"))
+    numbered.coalesce(1).union(end).coalesce(1).write.text(path)
+    return normalize_nulls(read_json_array(spark, path, split_bytes=256 << 10))

@@ -24,8 +24,9 @@ def read_csv(spark: SparkSession, path: str, delimiter: str = ";") -> DataFrame:
 def read_json(spark: SparkSession, path: str, lines: bool = False, schema: T.StructType | str | None = None) -> DataFrame:
     """JSON file holding an array of objects, or JSON Lines.
 
-    An array file is read by one task. Large data belongs in JSON Lines
-    (``lines=True``), which splits, with a schema, which saves the inference scan.
+    An array file is read by one task, which suits small ones; large array files
+    are read by :func:`~tablecheck.sources.json_array.read_json_array` in many. JSON
+    Lines (``lines=True``) split by themselves; a schema saves the inference scan.
     """
     reader = spark.read.option("multiline", not lines)
     if schema is not None:
