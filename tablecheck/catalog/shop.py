@@ -18,7 +18,7 @@ from ..operators.joins import combine_metrics, offset_join, on_spine
 from ..operators.spine import date_spine
 from ..operators.windows import cumulative, growth_pct, ordinal, running_sum
 from ..plans import marts, staging
-from ..plans.semantic import SAVED_QUERIES, Key, MetricCatalog, TimeDimension, shop_metrics
+from ..plans.semantic import SAVED_QUERIES, Cumulative, Key, MetricCatalog, TimeDimension, shop_metrics
 from ..sources.scratch import scratch_path
 from ..sources.tables import TABLE, VIEW, materialize
 from .data import portable, query, table
@@ -85,7 +85,7 @@ class Shop:
             F.col("s_suppkey").alias("id"),
             F.col("s_name").alias("name"),
             (F.col("s_nationkey") / 100).alias("tax_rate"),
-            F.expr("timestamp_ntz'2016-09-01 00:00:00' + make_dt_interval(0, cast(s_suppkey * 5 as int))").alias("opened_at"),
+            F.expr("timestamp_ntz'1998-03-15 06:30:00' + make_dt_interval(0, cast(s_suppkey * 5 as int))").alias("opened_at"),
         )
         return staging.stg_locations(raw)
 
@@ -124,6 +124,9 @@ class Shop:
             lambda: self.orders,
             lambda: self.customers,
             lambda: marts.locations(self.locations_stg),
+            lambda: marts.order_facts(
+                self.orders_stg, marts.priced_items(self.items_stg, self.products_stg, self.supplies_stg)
+            ),
         )
 
 
@@ -141,7 +144,7 @@ FROM (SELECT *, o_orderkey AS id, o_custkey % 10 AS store_id, o_custkey AS custo
   {CENTS.format('CAST(round(p_retailprice * 100) AS BIGINT)')} AS product_price,
   coalesce(p_type = '{FOOD}', false) AS is_food_item, coalesce(p_type = '{DRINK}', false) AS is_drink_item FROM part""",
     "stg_locations": """SELECT s_suppkey AS location_id, s_name AS location_name, s_nationkey / CAST(100 AS DOUBLE) AS tax_rate,
-  strftime(TIMESTAMP '2016-09-01 00:00:00' + to_hours(CAST(s_suppkey * 5 AS INTEGER)), '%Y-%m-%d') AS opened_date FROM supplier""",
+  strftime(TIMESTAMP '1998-03-15 06:30:00' + to_hours(CAST(s_suppkey * 5 AS INTEGER)), '%Y-%m-%d') AS opened_date FROM supplier""",
     "stg_supplies": f"""SELECT md5('SUP-' || k || '-' || p_partkey) AS supply_uuid, 'SUP-' || k AS supply_id,
   p_partkey AS product_id, 'supply ' || k AS supply_name, {CENTS.format('(p_size * k)')} AS supply_cost,
   k = 2 AS is_perishable_supply FROM (SELECT *, unnest([1, 2, 3]) AS k FROM part)""",
@@ -441,6 +444,38 @@ _filled_metric(
   round((cur.revenue - prev.revenue) * 100 / prev.revenue, 6) AS revenue_growth_mom
 FROM {FILLED_SQL} cur LEFT JOIN {FILLED_SQL} prev ON prev.day = CAST(cur.day - INTERVAL 1 MONTH AS DATE)""",
 )
+SPEND_SQL = f"""(SELECT customer_id, CAST(ordered_at AS DATE) AS day, {_dec('order_total')} AS spend FROM stg_orders GROUP BY 1, 2)"""
+
+
+@query(
+    "metric_cumulative_filled_by_customer",
+    mart_sql(f"""SELECT customer_id AS customer, count(*) AS days, count(spend) AS days_with_orders,
+  max(upto) AS spend_in_all, CAST(sum(CAST(upto AS DECIMAL(18, 2))) AS DOUBLE) AS sum_of_totals
+FROM (SELECT customer_id, spend, CAST(sum(CAST(spend AS DECIMAL(18, 2))) OVER (PARTITION BY customer_id ORDER BY day) AS DOUBLE) AS upto
+  FROM (SELECT customer_id, CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM {SPEND_SQL} GROUP BY 1)
+  LEFT JOIN {SPEND_SQL} USING (customer_id, day)) GROUP BY 1"""),
+)
+def cumulative_by_customer(spark, d):
+    """Each customer's spending so far on every day between their first and last order, summed up per customer."""
+    catalog = Shop(spark, d).catalog.extended([Cumulative("spend_so_far", "order_total")])
+    series = catalog.query_metrics(["order_total", "spend_so_far"], [TimeDimension("day"), Key("customer")], fill=True)
+    return portable(
+        series.groupBy("customer").agg(
+            F.count(F.lit(1)).alias("days"), F.count("order_total").alias("days_with_orders"),
+            F.max("spend_so_far").alias("spend_in_all"), F.sum("spend_so_far").alias("sum_of_totals"),
+        )
+    )
+
+
+_metric(
+    "metric_grains_by_month",
+    ["revenue", "food_revenue", "order_cost", "order_total"],
+    [TimeDimension("month")],
+    f"""SELECT * FROM (SELECT substr(ordered_at, 1, 8) || '01' AS metric_time, {_dec('product_price')} AS revenue,
+  {_dec('CASE WHEN is_food_item THEN product_price ELSE 0 END')} AS food_revenue FROM order_items GROUP BY 1)
+FULL JOIN (SELECT substr(ordered_at, 1, 8) || '01' AS metric_time, {_dec('order_cost')} AS order_cost, {_dec('order_total')} AS order_total
+  FROM orders_mart GROUP BY 1) USING (metric_time)""",
+)
 _metric(
     "metric_by_entity",
     ["order_total", "orders"],

@@ -193,3 +193,24 @@ def on_spine(series: DataFrame, spine: DataFrame, day: str, spine_day: str = "da
     """
     days = spine.select(as_column(spine_day).alias(day))
     return days.join(series, day, "left")
+
+
+def on_own_days(series: DataFrame, day: str, keys: list[str]) -> DataFrame:
+    """Every day of each key from its first to its last, with the series' values, NULL where it has none.
+
+    The days are generated from two days per key, so nothing is multiplied with a
+    spine. Rows without a day have no row in the result; NULL keys are keys.
+    """
+    of_key = [as_column(k).alias(f"__k{i}") for i, k in enumerate(keys)]
+    ends = series.filter(as_column(day).isNotNull()).groupBy(*of_key).agg(
+        F.min(as_column(day)).alias("__first"), F.max(as_column(day)).alias("__last")
+    )
+    # Without keys and days there is one row of two NULLs, which gives no day.
+    days = ends.select("*", F.explode(F.sequence("__first", "__last", F.expr("interval 1 day"))).alias("__day"))
+    same = reduce(
+        operator.and_,
+        [as_column(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)], as_column(day) == F.col("__day"),
+    )
+    joined = days.join(series, same, "left")
+    named = {day: F.col("__day"), **{k: F.col(f"__k{i}") for i, k in enumerate(keys)}}
+    return joined.select(*[named.get(c, as_column(c)).alias(c) for c in series.columns])

@@ -10,18 +10,21 @@ from ..operators.aggregates import count_col, count_distinct, count_flag, sum_by
 from ..operators.windows import ordinal
 
 
+def priced_items(items: DataFrame, products: DataFrame, supplies: DataFrame) -> DataFrame:
+    """One row per order item with product attributes and supply cost."""
+    attributes = products.select("product_id", "product_name", "product_price", "is_food_item", "is_drink_item")
+    return items.join(attributes, "product_id", "left").join(
+        sum_by(supplies, ["product_id"], "supply_cost"), "product_id", "left"
+    )
+
+
 def order_items(items: DataFrame, orders: DataFrame, products: DataFrame, supplies: DataFrame) -> DataFrame:
     """One row per order item with order date, product attributes and supply cost.
 
     The order comes last, so that a grouping by order finds the rows already
     partitioned by it.
     """
-    attributes = products.select("product_id", "product_name", "product_price", "is_food_item", "is_drink_item")
-    enriched = (
-        items.join(attributes, "product_id", "left")
-        .join(sum_by(supplies, ["product_id"], "supply_cost"), "product_id", "left")
-        .join(orders.select("order_id", "ordered_at"), "order_id", "left")
-    )
+    enriched = priced_items(items, products, supplies).join(orders.select("order_id", "ordered_at"), "order_id", "left")
     return enriched.select(
         *items.columns, "ordered_at", "product_name", "product_price", "is_food_item", "is_drink_item", "supply_cost"
     )
@@ -60,6 +63,26 @@ def orders(stg_orders: DataFrame, items: DataFrame, **limits) -> DataFrame:
     return ordinal(flagged, "customer_id", by, "customer_order_number", cells_from=stg_orders, **limits)
 
 
+def order_facts(stg_orders: DataFrame, items: DataFrame) -> DataFrame:
+    """One row per order that exists or has items: both grains of a sale from one grouping of the items.
+
+    ``items`` are :func:`priced_items`. Sums of items (``item_*``) hold for items
+    without an order too, those of orders (``order_*`` and the staged amounts) are
+    NULL there.
+    """
+    sums = items.groupBy(F.col("order_id").alias("items_of")).agg(
+        F.sum("product_price").alias("item_revenue"),
+        F.sum(F.when(F.col("is_food_item"), F.col("product_price")).otherwise(0)).alias("item_food_revenue"),
+        F.sum(F.when(F.col("is_drink_item"), F.col("product_price")).otherwise(0)).alias("item_drink_revenue"),
+        F.sum("supply_cost").alias("item_cost"),
+    )
+    joined = stg_orders.join(sums, stg_orders["order_id"] == sums["items_of"], "full_outer")
+    known = F.col("order_id").isNotNull()
+    return joined.withColumn("order_cost", F.when(known, F.col("item_cost"))).withColumn(
+        "order_id", F.coalesce("order_id", "items_of")
+    ).drop("items_of")
+
+
 def customers(stg_customers: DataFrame, order_mart: DataFrame) -> DataFrame:
     """One row per customer with lifetime totals and a new/returning label."""
     summary = order_mart.groupBy("customer_id").agg(

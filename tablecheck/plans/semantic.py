@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import as_column
 from ..functions.predicates import expr_true
 from ..operators.aggregates import count_distinct, exact_median
-from ..operators.joins import combine_metrics, offset_join, on_spine
+from ..operators.joins import combine_metrics, offset_join, on_own_days, on_spine
 from ..operators.windows import cumulative, growth_pct
 from ..sources.tables import TABLE, materialize
 
@@ -54,6 +54,20 @@ class SemanticModel:
     keys: dict[str, str] = field(default_factory=dict)
 
 
+@dataclass(frozen=True, eq=False)
+class Shared:
+    """A frame that can stand in for several models at once.
+
+    ``measures`` gives the SQL expression whose sum is a measure's sum there;
+    ``time`` and ``keys`` are groups that mean the same in all those models.
+    """
+
+    frame: DataFrame | Callable[[], DataFrame]
+    measures: dict[str, str]
+    time: str | None = None
+    keys: dict[str, str] = field(default_factory=dict)
+
+
 @dataclass(frozen=True)
 class Simple:
     """A measure, over the rows that meet ``where``."""
@@ -136,10 +150,15 @@ def _aggregate(measure: Measure, where: str | None) -> Column:
 class MetricCatalog:
     """Semantic models and metric definitions that can be queried by name."""
 
-    def __init__(self, models: list[SemanticModel], metrics: list):
+    def __init__(self, models: list[SemanticModel], metrics: list, shared: list[Shared] | None = None):
+        self.models, self.shared = models, shared or []
         self.metrics = {m.name: m for m in metrics}
         self.home = {measure.name: (model, measure) for model in models for measure in model.measures}
 
+    def extended(self, metrics: list) -> MetricCatalog:
+        """The same models with further metrics."""
+        return MetricCatalog(self.models, [*self.metrics.values(), *metrics], self.shared)
+
     def _leaves(self, name: str) -> set[str]:
         """Simple metrics a metric is made of."""
         metric = self.metrics[name]
@@ -181,29 +200,50 @@ class MetricCatalog:
             frame = part if frame is None else combine_metrics(frame, part, names)
         return frame
 
-    def query_metrics(self, metrics: list[str], group_by: list | None = None, spine: DataFrame | None = None) -> DataFrame:
+    def _shared_frame(self, by_model: dict, group_by: list) -> DataFrame | None:
+        """All measures from one frame, where the query spans models and some shared frame has everything it asks for."""
+        leaves = [leaf for _, own in by_model.values() for leaf in own]
+        for one in self.shared if len(by_model) > 1 else []:
+            summed = all(leaf.where is None and self.home[leaf.measure][1].agg == "sum" for leaf in leaves)
+            if not summed or not {leaf.measure for leaf in leaves} <= set(one.measures):
+                continue
+            if all(one.time is not None if isinstance(g, TimeDimension) else g.name in one.keys for g in group_by):
+                facts = one.frame() if callable(one.frame) else one.frame
+                sums = [F.sum(F.expr(one.measures[leaf.measure])).alias(leaf.name) for leaf in leaves]
+                return facts.groupBy(*self._group(one, group_by)).agg(*sums)
+        return None
+
+    def query_metrics(
+        self, metrics: list[str], group_by: list | None = None, spine: DataFrame | None = None, fill: bool = False
+    ) -> DataFrame:
         """The metrics at the requested grain: group columns, then one column each.
 
         ``spine`` (see :func:`~tablecheck.operators.spine.date_spine`) gives one
         row for each of its days, with or without measurements, before running
         totals and offsets are taken. It needs the day as the only group; days
-        outside the spine have no row then.
+        outside the spine have no row then. ``fill`` does the same without a
+        spine: every combination of the other groups gets all days from its first
+        to its last, generated from these two.
         """
         group_by = group_by or []
         names = [METRIC_TIME if isinstance(g, TimeDimension) else g.name for g in group_by]
         if spine is not None and group_by != [TimeDimension("day")]:
             raise ValueError("a spine needs the day as the only group")
+        if fill and TimeDimension("day") not in group_by:
+            raise ValueError("filling needs the day as a group")
         by_model: dict[str, tuple[SemanticModel, list[Simple]]] = {}
         for leaf in sorted(set().union(*[self._leaves(n) for n in metrics])):
             simple = self.metrics[leaf]
             model = self.home[simple.measure][0]
             by_model.setdefault(model.name, (model, []))[1].append(simple)
-        frame = None
-        for model, leaves in by_model.values():
+        frame = self._shared_frame(by_model, group_by)
+        for model, leaves in by_model.values() if frame is None else []:
             part = self._model_frame(model, leaves, group_by, names)
             frame = part if frame is None else combine_metrics(frame, part, names)
         if spine is not None:
             frame = on_spine(frame, spine, METRIC_TIME)
+        if fill:
+            frame = on_own_days(frame, METRIC_TIME, [n for n in names if n != METRIC_TIME])
         for n in metrics:
             frame = self._add(frame, n, names)
         return frame.select(*[as_column(c) for c in [*names, *metrics]])
@@ -261,8 +301,12 @@ class MetricCatalog:
 Mart = DataFrame | Callable[[], DataFrame]
 
 
-def shop_metrics(order_items: Mart, orders: Mart, customers: Mart, locations: Mart) -> MetricCatalog:
-    """The semantic layer of the shop marts."""
+def shop_metrics(order_items: Mart, orders: Mart, customers: Mart, locations: Mart, facts: Mart | None = None) -> MetricCatalog:
+    """The semantic layer of the shop marts.
+
+    With ``facts`` (see :func:`~tablecheck.plans.marts.order_facts`) sums of items
+    and of orders that are asked for together come from one grouping of the items.
+    """
     models = [
         SemanticModel(
             "order_item",
@@ -328,7 +372,10 @@ def shop_metrics(order_items: Mart, orders: Mart, customers: Mart, locations: Ma
         Growth("revenue_growth_mom", "revenue"),
         Cumulative("cumulative_revenue", "revenue"),
     ]
-    return MetricCatalog(models, metrics)
+    of_orders = {"order_total": "order_total", "tax_paid": "tax_paid", "order_cost": "order_cost"}
+    of_items = {"revenue": "item_revenue", "food_revenue": "item_food_revenue", "drink_revenue": "item_drink_revenue"}
+    shared = [] if facts is None else [Shared(facts, of_items | of_orders, "ordered_at", {"order_id": "order_id"})]
+    return MetricCatalog(models, metrics, shared)
 
 
 # Metrics of the exported queries, and what each is grouped by.

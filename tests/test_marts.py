@@ -290,6 +290,13 @@ def test_marts_read_each_table_once_or_twice(spark, no_broadcast):
     assert items == 0 and orders <= 2 and shuffles <= 4
 
 
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="the given tables are not here")
+def test_profit_groups_the_items_once(spark, no_broadcast):
+    for name in ("metric_profit", "metric_grains_by_month"):
+        shuffles, items, orders = nodes(QUERIES[name](spark, SF_DIR), "Exchange hashpartitioning", "lineitem.parquet", "orders.parquet")
+        assert items == 1 and orders == 1 and shuffles <= 7, name
+
+
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="the given tables are not here")
 def test_building_a_query_starts_few_jobs(spark):
     """Beside the jobs that read file schemas, only the list of hot keys."""
