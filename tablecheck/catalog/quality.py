@@ -256,10 +256,10 @@ def row_counts(spark, d):
 @query(
     "minimum_where",
     """SELECT 'o_totalprice' AS instance, 'Minimum' AS name, min(o_totalprice) AS value FROM orders WHERE o_orderstatus = 'F'
-UNION ALL SELECT 'o_custkey', 'Minimum', CAST(min(o_custkey) AS DOUBLE) FROM orders WHERE o_custkey > 1""",
+UNION ALL SELECT 'o_custkey', 'Minimum', CAST(min(o_custkey) AS DOUBLE) FROM orders WHERE o_totalprice >= 300000""",
 )
 def minimum_where(spark, d):
-    metrics = [m.minimum("o_totalprice", "o_orderstatus = 'F'"), m.minimum("o_custkey", F.col("o_custkey") > 1)]
+    metrics = [m.minimum("o_totalprice", "o_orderstatus = 'F'"), m.minimum("o_custkey", F.col("o_totalprice") >= 300000)]
     return _measured(m.run_metrics(table(spark, d, "orders"), metrics))
 
 
@@ -346,13 +346,13 @@ def empty_input(spark, d):
     "missing_column",
     _union_sql(
         f"SELECT *, false AS failed FROM ({_ratio_sql('segment', 'Completeness', 'segment IS NOT NULL', CUSTOMERS_SQL)})",
-        "SELECT 'telf', 'PatternMatch', CAST(NULL AS DOUBLE), true",
+        "SELECT 'rating', 'PatternMatch', CAST(NULL AS DOUBLE), true",
         "SELECT 'unreadable', 'PatternMatch', CAST(NULL AS DOUBLE), true",
     ),
 )
 def missing_column(spark, d):
     customers = _customers(spark, d).withColumn("unreadable", F.col("c_name"))
-    metrics = [m.completeness("segment"), m.pattern_match("telf", r"^\d{9,}$"), m.pattern_match("unreadable", "^[a-z")]
+    metrics = [m.completeness("segment"), m.pattern_match("rating", "[A-E][+-]?"), m.pattern_match("unreadable", "^[a-z")]
     rows = m.run_metrics(customers, metrics)
     return rows.select("instance", "name", "value", F.col("message").isNotNull().alias("failed"))
 
