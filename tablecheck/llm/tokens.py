@@ -3,15 +3,16 @@
 Both kinds of pre-tokenization used here never let a token cross a single space
 between two other characters, so a text may be cut there, its distinct pieces
 encoded by the tokenizer, and their ids strung together again: the result
-equals that of the whole text. Pieces of plain letters and marks are cut further
-into their pre-tokens; all others go to the tokenizer as they are.
+equals that of the whole text. The same holds between a letter and a mark other
+than an apostrophe. Pieces of plain letters and marks are cut further into their
+pre-tokens; all others go to the tokenizer as they are.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from array import array
+from itertools import chain, islice, repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -30,7 +31,8 @@ _LOOSE = re.compile(f"(?<![^{_SPACE}]) | (?![^{_SPACE}])")
 _RE2_SPACE = r"[\t-\r\x{1c}-\x{20}\x{85}\x{180e}\x{200b}\x{feff}\pZ]"
 _RE2_LOOSE = f"^ | $|{_RE2_SPACE} | {_RE2_SPACE}"
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_PLAIN = re.compile(rf" ?[{_LETTERS}]+|[.,;:!?*$&%#|()\"-]+|\n")
+_MARKS = r".,;:!?*$&%#|()\"-"
+_PLAIN = re.compile(rf" ?[{_LETTERS}]+|[{_MARKS}]+|\n")
 
 _LOADED: dict[tuple[str, bool], "Encoder"] = {}
 
@@ -54,37 +56,64 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        # Their strings inside a text are ordinary text.
+        # Their strings inside a text are ordinary text, as the vocabularies' own notes have it: a document must
+        # not be able to write a control token.
         self.tokenizer.encode_special_tokens = True
         self.spaced = spaced
         self.cache = cache
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, pieces: list[str]) -> dict[str, bytes]:
-        found = {}
-        for first in range(0, len(pieces), STEP):
-            some = pieces[first : first + STEP]
-            for piece, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                found[piece] = array("I", got.ids).tobytes()
-        return found
+        # Units (pieces or their pre-tokens) by number, and the ids of each behind one another.
+        self.known: dict[str, int] = {}
+        self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all units behind one another, and the number of each."""
+        flat, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for first in range(0, len(units), STEP):
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(units[first : first + STEP], add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, got), np.int64, len(got)))
+            flat.append(np.fromiter(chain.from_iterable(got), np.uint32, int(sizes[-1].sum())))
+        return np.concatenate(flat), np.concatenate(sizes)
 
     def _parts(self, piece: str) -> list[str]:
-        parts = _PLAIN.findall(piece)
+        # How a run of line breaks is cut depends on what follows it.
+        parts = [] if "\n\n" in piece else _PLAIN.findall(piece)
         return parts if "".join(parts) == piece and not piece[-1:].isspace() else [piece]
 
-    def pieces(self, pieces: list[str]) -> list[bytes]:
-        """The ids of each piece as little-endian 32-bit numbers."""
-        known = self.known
-        cut = {p: self._parts(p) for p in pieces if p not in known}
-        fresh = self._encode(list({part: None for parts in cut.values() for part in parts if part not in known}))
-        for part, ids in fresh.items():
-            if len(known) >= self.cache:
-                break
-            known[part] = ids
-        for piece, parts in cut.items():
-            if piece not in fresh:
-                fresh[piece] = b"".join([fresh[q] if q in fresh else known[q] for q in parts])
-        return [fresh[p] if p in fresh else known[p] for p in pieces]
+    def pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces behind one another, and where each piece's begin."""
+        found = list(map(self.known.get, pieces, repeat(-1)))
+        fresh: dict[str, int] = {}
+        base, units, parts_of = len(self.known), [], np.ones(len(pieces), np.int64)
+        number = lambda unit: fresh.setdefault(unit, base + len(fresh))
+        for k, unit in enumerate(found):
+            if unit >= 0:
+                units.append(unit)
+                continue
+            piece = pieces[k]
+            # A single word is a pre-token of its own; most pieces are.
+            if piece[1:].isalpha():
+                units.append(number(piece))
+                continue
+            parts = self._parts(piece)
+            parts_of[k] = len(parts)
+            for part in parts:
+                unit = self.known.get(part, -1)
+                units.append(unit if unit >= 0 else number(part))
+        ids, sizes = self._encode(list(fresh))
+        flat = np.concatenate([self.flat, ids])
+        starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        units = np.array(units, np.int64)
+        each = starts[units + 1] - starts[units]
+        ends = np.cumsum(each)
+        out = flat[np.repeat(starts[units] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)]
+        piece_ends = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(parts_of)])]
+        room = self.cache - base
+        if room > 0 and fresh:
+            kept = min(room, len(fresh))
+            self.known.update(islice(fresh.items(), kept))
+            self.starts = starts[: base + kept + 1]
+            self.flat = flat[: self.starts[-1]]
+        return out, piece_ends
 
     def _split(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """Piece codes, the first piece of each text, and the pieces."""
@@ -92,32 +121,27 @@ class Encoder:
             found = words(texts, lower=True)
             return found.codes, found.starts, found.vocab.to_pylist()
         loose = pc.match_substring_regex(texts, _RE2_LOOSE)
-        mark = ""
+        # Marks for a cut and for loose spaces; neither may occur in a text of the block.
+        free = (c for c in map(chr, range(0xE000, 0xF8FF)) if not pc.any(pc.match_substring(texts, c)).as_py())
+        cut, mark = next(free), ""
         if pc.any(loose).as_py():
-            rows, odd = texts.to_pylist(), loose.to_pylist()
-            # Stands for the loose spaces; it must occur in no text of the block.
-            mark = next(c for c in map(chr, range(0xE000, 0xF8FF)) if not pc.any(pc.match_substring(texts, c)).as_py())
+            rows, odd, mark = texts.to_pylist(), loose.to_pylist(), next(free)
             texts = pa.array([_LOOSE.sub(mark, t) if o else t for t, o in zip(rows, odd)], pa.string())
-        lists = pc.split_pattern(texts, " ")
+        # A piece keeps the space before it; a word and the marks behind it are pieces of their own.
+        texts = pc.replace_substring(texts, " ", cut + " ")
+        texts = pc.replace_substring_regex(texts, f"([{_LETTERS}])([{_MARKS}])", f"\\1{cut}\\2")
+        lists = pc.split_pattern(texts, cut)
         offsets = lists.offsets.to_numpy()
         codes, starts, vocab = encode(lists.flatten(), offsets - offsets[0])
         plain = vocab.to_pylist()
-        if mark:
-            plain = [p.replace(mark, " ") for p in plain]
-        leading = starts[:-1][np.diff(starts) > 0]
-        first_codes, where = np.unique(codes[leading], return_inverse=True)
-        codes = codes.astype(np.int64)
-        codes[leading] = len(plain) + where
-        return codes, starts, [" " + p for p in plain] + [plain[c] for c in first_codes.tolist()]
+        return codes, starts, [p.replace(mark, " ") for p in plain] if mark else plain
 
     def block(self, texts: pa.Array, end: int = 0) -> Ids:
         """Ids of all texts of a block, each followed by ``end``."""
         codes, starts, vocab = self._split(texts)
-        parts = self.pieces(vocab)
-        parts.append(np.array([end], "<u4").tobytes())
-        flat = np.frombuffer(b"".join(parts), "<u4")
-        size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        place = np.cumsum(size) - size
+        flat, place = self.pieces(vocab)
+        flat = np.append(flat, np.uint32(end))
+        size = np.append(np.diff(place), 1)
         codes = np.insert(codes.astype(np.int64), starts[1:], len(vocab))
         starts = starts + np.arange(len(starts))
         each = size[codes]

@@ -17,6 +17,8 @@ from .helpers import doc, frame, prose
 BYTE, WORD = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 ODD = [None, "", " ", "\n\n", " a", "a ", "a  b", "a \n b", "don't 'twas", "x y 　 z", "<|endoftext|> a", "\x1c a \x1c", " a  b", "é ﬁ İ"]
 
+ODD += ["a\n\n b", "a\n\nb", "a,\n\n\nb. c", "it's, isn't.", "x-y (z)", "a.\n b\n\n\n c"]
+
 
 def reference(path, text):
     tokenizer = Tokenizer.from_file(path)
@@ -27,7 +29,7 @@ def reference(path, text):
 @pytest.mark.parametrize("path,spaced", [(BYTE, True), (WORD, False)])
 def test_pieces_equal_whole_texts(path, spaced):
     rng = random.Random(1)
-    letters = list(" \n\t .,'sté1À|　\xa0\x1c<>$")
+    letters = list(" \n\n\t .,'sté1À|　\xa0\x1c<>$")
     texts = ODD + ["".join(rng.choice(letters) for _ in range(rng.randint(0, 30))) for _ in range(400)]
     found = Encoder(path, spaced).block(pa.array([t or "" for t in texts], pa.string()))
     for k, text in enumerate(texts):
