@@ -17,12 +17,16 @@ import tempfile
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tablecheck.catalog import QUERIES  # noqa: E402
 from tablecheck.catalog.quality import PLAN, plan_frame, resolver  # noqa: E402
 from tablecheck.catalog.shop import Shop  # noqa: E402
+from tablecheck.operators import bitmaps, keys  # noqa: E402
+from tablecheck.operators.aggregates import frequencies  # noqa: E402
+from tablecheck.operators.joins import key_match  # noqa: E402
 from tablecheck.plans import marts  # noqa: E402
 from tablecheck.plans.quality import run_plan  # noqa: E402
 from tablecheck.plans.semantic import Key, TimeDimension, shop_metrics  # noqa: E402
@@ -35,6 +39,12 @@ HEADLINE = (
     "metric_simple", "metric_filtered", "metric_profit", "metric_mom", "metric_cumulative", "metric_aov",
 )
 
+#: Timed too, but not part of the total, which stays comparable over rounds.
+FURTHER = (
+    "integrity_bitmaps", "uniqueness_two_pass", "constraints_two_pass", "suite_guarded", "json_array_split", "metric_median",
+    "metric_grains_by_month", "metrics_from_states", "footer_summary",
+)
+
 
 def drain(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
@@ -67,6 +77,35 @@ def metrics_on_tables(spark: SparkSession, sf_dir: str, buckets: int) -> dict[st
     return seconds
 
 
+def shuffled_bytes(df: DataFrame) -> int:
+    """Bytes that the exchanges of a frame write when it runs."""
+    df.collect()
+    total, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        if kind == "ShuffleExchangeExec":
+            total += node.metrics().apply("shuffleBytesWritten").value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+def bytes_of_keys(spark: SparkSession, sf_dir: str) -> dict[str, int]:
+    """What references and uniqueness move: whole keys against bitmaps, and whole keys against hashes."""
+    items, orders, docs = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("lineitem", "orders", "documents"))
+    one = F.count(F.lit(1))
+    return {
+        "reference_by_keys": shuffled_bytes(key_match(items, orders, "l_orderkey", "o_orderkey").groupBy("matched").agg(one)),
+        "reference_by_bitmaps": shuffled_bytes(bitmaps.key_bits(items, orders, "l_orderkey", "o_orderkey").agg(F.sum("n"))),
+        "unique_texts_by_keys": shuffled_bytes(frequencies(docs, ["text"]).agg(one)),
+        "unique_texts_by_hashes": shuffled_bytes(keys.hash_counts(docs, [["text"]]).agg(one)),
+    }
+
+
 def one_job_per_test(spark: SparkSession, sf_dir: str) -> float:
     """The plan the way it costs one table read and one job per test."""
     start = time.perf_counter()
@@ -95,6 +134,12 @@ def main() -> None:
         start = time.perf_counter()
         drain(QUERIES[name](spark, sf_dir))
         seconds[name] = round(time.perf_counter() - start, 3)
+    further = {}
+    for name in FURTHER:
+        drain(QUERIES[name](spark, sf_dir))
+        start = time.perf_counter()
+        drain(QUERIES[name](spark, sf_dir))
+        further[name] = round(time.perf_counter() - start, 3)
     single = round(one_job_per_test(spark, sf_dir), 3)
     on_tables = metrics_on_tables(spark, sf_dir, int(cpus))
     found = re.search(r"sf([0-9.]+)", sf_dir)
@@ -108,6 +153,8 @@ def main() -> None:
                 "plan_one_job_per_test": single,
                 "metrics_on_tables": on_tables,
                 "plans": plans,
+                "bytes_of_keys": bytes_of_keys(spark, sf_dir),
+                "further": further,
                 "sf": float(found.group(1)) if found else None,
             }
         )

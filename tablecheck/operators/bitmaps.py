@@ -36,23 +36,28 @@ def _has_bit(bits: Column, key: Column) -> Column:
     return F.getbit(byte, (at % 8).cast("int")) == 1
 
 
-def key_buckets(child: DataFrame, parent: DataFrame, col: str, col2: str) -> DataFrame:
-    """One row per bucket with child rows: their number ``n`` and, if some key is absent, the parent's ``bits``.
-
-    Rows with a NULL key are the bucket NULL. Both sides are read once, at once,
-    and the buckets are written to the shared folder.
-    """
+def key_bits(child: DataFrame, parent: DataFrame, col: str, col2: str) -> DataFrame:
+    """One row per bucket of either side's keys: child rows ``n``, and bitmaps of ``every`` key and of ``theirs``, the parent's."""
     sides = child.select(as_column(col).cast("long").alias("k"), F.lit(True).alias("mine")).union(
         parent.select(as_column(col2).cast("long").alias("k"), F.lit(False).alias("mine")).filter("k IS NOT NULL")
     )
     at = F.bitmap_bit_position("k")
-    grouped = sides.groupBy(F.bitmap_bucket_number("k").alias(_BUCKET)).agg(
+    return sides.groupBy(F.bitmap_bucket_number("k").alias(_BUCKET)).agg(
         F.count_if("mine").alias("n"),
         F.bitmap_construct_agg(at).alias("every"),
         F.bitmap_construct_agg(F.when(~F.col("mine"), at)).alias("theirs"),
     )
+
+
+def key_buckets(child: DataFrame, parent: DataFrame, col: str, col2: str) -> DataFrame:
+    """One row per bucket with child rows: their number ``n`` and, if some key is absent, the parent's ``bits``.
+
+    Rows with a NULL key are the bucket NULL. Both sides are read once, at once,
+    and the buckets are written to the shared folder.
+    """
     absent = F.bitmap_count("every") > F.bitmap_count("theirs")
-    return saved(grouped.filter("n > 0").select(_BUCKET, "n", F.when(absent, F.col("theirs")).alias(_BITS)), "buckets")
+    found = key_bits(child, parent, col, col2).filter("n > 0")
+    return saved(found.select(_BUCKET, "n", F.when(absent, F.col("theirs")).alias(_BITS)), "buckets")
 
 
 def orphans(child: DataFrame, parent: DataFrame, col: str, col2: str, buckets: DataFrame | None = None) -> DataFrame:

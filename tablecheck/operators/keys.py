@@ -48,6 +48,11 @@ def _rules(df: DataFrame, key_sets: list[list[str]], with_key: bool) -> DataFram
     return df.select(F.inline(F.array(*structs)))
 
 
+def hash_counts(df: DataFrame, key_sets: list[list[str]]) -> DataFrame:
+    """The first pass: rows ``n`` per rule, kind of NULL parts and hash of the key."""
+    return _rules(df, key_sets, False).groupBy("rule", "nulls", "hash").agg(F.count(F.lit(1)).alias("n"))
+
+
 def key_summary(df: DataFrame, key_sets: list[list[str] | str]) -> DataFrame:
     """One row per key: ``key``, ``rows``, ``null_rows``, ``part_null_rows``, ``once``, ``repeated_keys``, ``repeated_rows``.
 
@@ -58,7 +63,7 @@ def key_summary(df: DataFrame, key_sets: list[list[str] | str]) -> DataFrame:
     them to the rows where they are few and joins them where they are many.
     """
     names = [[k] if isinstance(k, str) else list(k) for k in key_sets]
-    counted = _rules(df, names, False).groupBy("rule", "nulls", "hash").agg(F.count(F.lit(1)).alias("n"))
+    counted = hash_counts(df, names)
     again = F.when(F.col("n") > 1, F.col("hash")).alias("hash")
     first = saved(
         counted.groupBy("rule", "nulls", again).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("hashes")), "hashes"

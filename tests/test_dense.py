@@ -63,8 +63,7 @@ def test_dense_keys_move_far_fewer_bytes(spark):
     assert [tuple(r) for r in whole.collect()] == [(True, 1_000_000)]
     found = bitmaps.integrity(child, parent, "k", "p")
     assert found.first()["value"] == 1.0
-    sides = child.selectExpr("k", "true AS mine").union(parent.selectExpr("p AS k", "false AS mine"))
-    grouped = sides.groupBy(bitmaps.F.bitmap_bucket_number("k").alias("b")).agg(bitmaps.F.bitmap_construct_agg(bitmaps.F.bitmap_bit_position("k")))
+    grouped = bitmaps.key_bits(child, parent, "k", "p")
     grouped.collect()
     assert 0 < shuffled_bytes(grouped) < shuffled_bytes(whole) / 50
 
