@@ -100,7 +100,9 @@ def bytes_of_keys(spark: SparkSession, sf_dir: str) -> dict[str, int]:
     one = F.count(F.lit(1))
     return {
         "reference_by_keys": shuffled_bytes(key_match(items, orders, "l_orderkey", "o_orderkey").groupBy("matched").agg(one)),
-        "reference_by_bitmaps": shuffled_bytes(bitmaps.key_bits(items, orders, "l_orderkey", "o_orderkey").agg(F.sum("n"))),
+        "reference_by_bitmaps": shuffled_bytes(bitmaps.key_bits(items, orders, "l_orderkey", "o_orderkey").agg(
+            F.sum("n"), *[F.sum(F.bitmap_count(c)) for c in ("every", "theirs")]
+        )),
         "unique_texts_by_keys": shuffled_bytes(frequencies(docs, ["text"]).agg(one)),
         "unique_texts_by_hashes": shuffled_bytes(keys.hash_counts(docs, [["text"]]).agg(one)),
     }
