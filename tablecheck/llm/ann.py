@@ -32,13 +32,16 @@ from ..sources.scratch import scratch_path
 from .batches import ship, sum_runs
 
 SAMPLE = 20_000
-LISTS = 1024
+LISTS = 4096
 SEEDS = 4096
 TRIED = 300
 RECALL = 0.95
 COLUMNS = 16
 CONFIDENCE = 2.8
 CHUNK = 20_000
+#: Pairs of a query and a vector that are held at once, and the share of them from which on all are multiplied.
+CELLS = 2_000_000
+DENSE = 0.2
 CENTRE_ROUNDS = 8
 
 
@@ -114,13 +117,16 @@ def probes_needed(index: Index, ids: np.ndarray, points: np.ndarray, plain: np.n
 def build(
     rows: DataFrame, dimension: int, k: int, sample: int = SAMPLE, lists: int = LISTS, recall: float = RECALL, seed: int = 9
 ) -> Index:
-    """Centres by k-means on about ``sample`` vectors chosen by a hash of their ids; the lengths of all count."""
-    n, longest = rows.agg(F.count_distinct("vec_id"), F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))).first()
+    """Centres by k-means on about ``sample`` vectors chosen by a hash of the row; the lengths of all count."""
+    n, total, longest = rows.agg(
+        F.count_distinct("vec_id"), F.count(F.lit(1)), F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
+    ).first()
     rng = np.random.default_rng(seed)
     rotation = np.linalg.qr(rng.normal(size=(dimension + 1, dimension + 1)))[0]
     index = Index(rotation, math.sqrt(longest), np.zeros((1, dimension + 1)), 1, np.zeros(0), np.zeros((0, dimension + 1)))
-    share = int((1 << 30) * min(1.0, sample / n)) + 1
-    got = rows.filter(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < share).distinct().limit(2 * sample).collect()
+    # By id and vector, so an id with very many vectors does not fill the sample.
+    share = int((1 << 30) * min(1.0, sample / total)) + 1
+    got = rows.filter(F.pmod(F.xxhash64("vec_id", "vector"), F.lit(1 << 30)) < share).distinct().collect()
     got.sort(key=lambda r: (r["vec_id"], r["vector"]))
     plain = np.array([r["vector"] for r in got], float).reshape(-1, dimension)
     points = index.rotated(plain, False)
@@ -144,31 +150,60 @@ def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dimension)
 
 
+def _least_of_ids(query: np.ndarray, ids: np.ndarray, value: np.ndarray, k: int, among: int) -> np.ndarray:
+    """For each of ``among`` queries the ``k``-th least value over different ids; infinite where there are fewer."""
+    order = np.lexsort((value, ids, query))
+    q, i = query[order], ids[order]
+    first = np.ones(len(order), bool)
+    first[1:] = (q[1:] != q[:-1]) | (i[1:] != i[:-1])
+    order = order[first]
+    order = order[np.lexsort((value[order], query[order]))]
+    starts = np.searchsorted(query[order], np.arange(among + 1))
+    bound = np.full(among, np.inf)
+    full = np.diff(starts) >= k
+    bound[full] = value[order][starts[:-1][full] + k - 1]
+    return bound
+
+
 def scan(
-    query: np.ndarray, ids: np.ndarray, near: np.ndarray, columns: int, k: int, limit: float, confidence: float = CONFIDENCE
-) -> np.ndarray:
-    """Rows of ``near`` that may be of the ``k`` ids closest to ``query`` (rotated vectors), which lie within ``limit``.
+    asked: np.ndarray, ids: np.ndarray, near: np.ndarray, columns: int, k: int, limits: np.ndarray, confidence: float = CONFIDENCE
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (query, row) where the row of ``near`` may be of the ``k`` ids closest to the query (rotated vectors), within its limit.
 
     ``ids`` are those of the rows, in order; an id is as close as its closest row.
+    Blocks of columns are multiplied for all pairs while most of them are left,
+    then for those that are.
     """
-    total = near.shape[1]
-    if limit == math.inf and len(near) > 4 * k:
-        some = closest_of_each(np.square(near[: 4 * k] - query).sum(axis=1), ids[: 4 * k])
-        limit = float(np.partition(some, k - 1)[k - 1]) if len(some) >= k else limit
-    alive, partial = np.arange(len(near)), np.zeros(len(near))
+    total, n = near.shape[1], len(near)
+    limits = limits.copy()
+    open_ended = np.flatnonzero(np.isinf(limits))
+    if len(open_ended) and n > 4 * k:
+        some = near[: 4 * k]
+        far = np.square(asked[open_ended]).sum(axis=1)[:, None] - 2 * asked[open_ended] @ some.T + np.square(some).sum(axis=1)
+        least = closest_of_each(far, ids[: 4 * k])
+        if least.shape[1] >= k:
+            limits[open_ended] = np.partition(least, k - 1, axis=1)[:, k - 1] * (1 + 1e-9) + 1e-9
+    partial = np.zeros((len(asked), n))
+    q = r = p = None
     for at in range(0, total, columns):
-        block = near[:, at : at + columns] if len(alive) == len(near) else near[alive, at : at + columns]
-        partial = partial + np.square(block - query[at : at + columns]).sum(axis=1)
-        seen = min(at + columns, total)
+        part = slice(at, min(at + columns, total))
+        seen = part.stop
         # The partial distance of a rotated vector is its share of the whole up to a deviation of about 1 / sqrt(seen).
         slack = (1 + confidence / math.sqrt(seen)) ** 2 if seen < total else 1 + 1e-9
-        keep = partial <= limit * min(1.0, seen / total * slack) * (1 + 1e-9)
-        alive, partial = alive[keep], partial[keep]
-    least = closest_of_each(partial, ids[alive]) if len(alive) > k else partial
-    if len(least) > k:
-        bound = np.partition(least, k - 1)[k - 1]
-        alive = alive[partial <= bound * (1 + 1e-9) + 1e-9]
-    return alive
+        allowed = limits * min(1.0, seen / total * slack) * (1 + 1e-9) + 1e-9
+        if q is None:
+            partial += np.square(asked[:, part]).sum(axis=1)[:, None] - 2 * asked[:, part] @ near[:, part].T + np.square(near[:, part]).sum(axis=1)
+            keep = partial <= allowed[:, None]
+            if keep.mean() < DENSE or seen == total:
+                q, r = np.nonzero(keep)
+                p = partial[q, r]
+        else:
+            p = p + np.square(near[r, part] - asked[q, part]).sum(axis=1)
+            keep = p <= allowed[q]
+            q, r, p = q[keep], r[keep], p[keep]
+    bound = _least_of_ids(q, ids[r], p, k, len(asked))
+    keep = p <= bound[q] * (1 + 1e-9) + 1e-9
+    return q[keep], r[keep]
 
 
 def _searcher(index: Index, dimension: int, k: int, columns: int):
@@ -178,18 +213,25 @@ def _searcher(index: Index, dimension: int, k: int, columns: int):
             right = right.sort_values("vec_id", kind="stable")
             ids, original = right["vec_id"].to_numpy(), np.array(right["vector"].tolist(), float).reshape(-1, dimension)
             rotated = index.rotated(original, False)
-            asked = np.array(left["vector"].tolist(), float).reshape(-1, dimension)
-            turned = index.rotated(asked, True)
-            for row, query_id, limit in zip(range(len(left)), left["vec_id"].tolist(), left["limit"].tolist()):
-                plain = asked[row]
+            plain = np.array(left["vector"].tolist(), float).reshape(-1, dimension)
+            turned, limits, query_ids = index.rotated(plain, True), left["limit"].to_numpy(), left["vec_id"].to_numpy()
+            step = max(1, CELLS // len(ids))
+            for at in range(0, len(plain), step):
+                own = slice(at, at + step)
                 # One more than asked for, as the query may meet itself.
-                alive = scan(turned[row], ids, rotated, columns, k + 1, limit)
-                alive = alive[ids[alive] != query_id]
-                score = (original[alive] * plain).sum(axis=1)
-                best = np.lexsort((ids[alive], -score))
+                q, r = scan(turned[own], ids, rotated, columns, k + 1, limits[own])
+                other = ids[r] != query_ids[own][q]
+                q, r = q[other], r[other]
+                score = (original[r] * plain[own][q]).sum(axis=1)
                 # The best row of each id, then the best ids.
-                best = best[np.sort(np.unique(ids[alive][best], return_index=True)[1])][:k]
-                out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[alive][best], "score": score[best]}))
+                order = np.lexsort((-score, ids[r], q))
+                first = np.ones(len(order), bool)
+                first[1:] = (q[order][1:] != q[order][:-1]) | (ids[r][order][1:] != ids[r][order][:-1])
+                order = order[first]
+                order = order[np.lexsort((ids[r][order], -score[order], q[order]))]
+                place = np.arange(len(order)) - np.searchsorted(q[order], q[order])
+                order = order[place < k]
+                out.append(pd.DataFrame({"query_id": query_ids[own][q[order]], "vec_id": ids[r[order]], "score": score[order]}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
     return search
