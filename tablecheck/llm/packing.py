@@ -4,8 +4,8 @@ Every partition packs its pieces by best-fit decreasing and computes a lower
 bound of its number of sequences from dual feasible functions. A partition that
 meets its bound is certified and keeps its sequences, but for one that may be
 less than half full. Partitions with a gap release their emptier sequences.
-Released pieces of neighbouring partitions meet and are packed again, until
-nothing is released or only one partition is left.
+Released sequences are dealt anew over groups of bounded size and packed again,
+until nothing is released or an exchange saves nothing.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from .tokens import encoded
 
 LENGTH = 2048
 PART_PIECES = 60_000
-MERGE = 8
+GROUP_PARTS = 4
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = f"{PIECES}, part long, sequence long, offset long, filled long, bins long, bound long, released boolean"
 
@@ -136,28 +136,34 @@ def pack(pieces: DataFrame, capacity: int = LENGTH, part_pieces: int = PART_PIEC
     ``pieces`` has the columns of ``tokenized``; lengths are from 1 to ``capacity``.
     Each partition holds about ``part_pieces`` pieces, dealt out by a hash of
     the piece and its place in the input files, so repeated rows spread too.
-    ``bins`` and ``bound`` are the number of sequences and its lower bound where
-    the piece was last packed.
+    Sequences that partitions with gaps give back are packed again in groups of
+    about ``GROUP_PARTS * part_pieces`` pieces, from partitions all over, until an
+    exchange saves nothing or none is given back. ``bins`` and ``bound`` are the
+    number of sequences and its lower bound where the piece was last packed.
     Repeated rows are packed as often as they occur; an empty table gives an empty result.
     """
     spark = pieces.sparkSession
     parts = max(1, math.ceil(pieces.count() / part_pieces))
     spread = F.xxhash64(F.col("doc_id"), F.col("piece"), F.monotonically_increasing_id())
     state = pieces.select("*", F.pmod(spread, F.lit(parts)).alias("part"), F.lit(None).cast("long").alias("sequence"))
-    done, level = [], 0
+    done, level, came = [], 0, None
     while True:
         path = scratch_path(spark, f"packed-{level}")
         state.groupBy("part").applyInPandas(_packer(capacity, parts == 1), PACKED).write.parquet(path)
         packed = spark.read.schema(PACKED).parquet(path)
-        done.append(packed.filter("not released"))
-        if parts == 1 or packed.filter("released").isEmpty():
+        released = packed.filter("released")
+        n, sequences = released.agg(F.count(F.lit(1)), F.count_distinct("sequence")).first()
+        used = packed.select("part", "bins").distinct().agg(F.coalesce(F.sum("bins"), F.lit(0))).first()[0]
+        # An exchange that saved nothing is the last one.
+        if parts == 1 or n == 0 or (came is not None and used >= came):
+            done.append(packed)
             break
-        level, below, parts = level + 1, parts, math.ceil(parts / MERGE)
-        # Partition numbers of a level are above those of all levels before it.
-        state = packed.filter("released").select(
+        done.append(packed.filter("not released"))
+        level, came, parts = level + 1, sequences, max(1, math.ceil(n / (GROUP_PARTS * part_pieces)))
+        # Whole sequences of all partitions are dealt anew; partition numbers of a level are above those of all levels before it.
+        state = released.select(
             *[c.split()[0] for c in PIECES.split(", ")],
-            (F.floor(F.pmod(F.col("part"), F.lit(1 << 24)) / MERGE) + (level << 24)).cast("long").alias("part"),
-            "sequence",
+            (F.pmod(F.xxhash64("sequence", F.lit(level)), F.lit(parts)) + (level << 24)).cast("long").alias("part"), "sequence",
         )
     whole = done[0]
     for more in done[1:]:

@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -150,3 +151,14 @@ def test_packing_documents(spark):
     assert sorted(r["length"] for r in rows if r["doc_id"] in (2, 3)) == [1, 1]
     assert sum(r["doc_id"] == 4 for r in rows) == 2 and sum(r["doc_id"] is None for r in rows) == 1
     assert packing.pack_documents(frame(spark, []), WORD).collect() == []
+
+
+def test_exchange_groups_stay_bounded(spark):
+    """Lengths of which no partition meets its bound: nearly every sequence is given back at every level."""
+    rng = random.Random(10)
+    rows = [(i, 0, 0, rng.randint(570, 819), i) for i in range(24_000)]
+    packed = packing.pack(spark.createDataFrame(rows, packing.PIECES), 2048, 1000).collect()
+    assert sorted(r["doc_id"] for r in packed) == list(range(24_000))
+    check_packing(packed, 2048)
+    groups = Counter(r["sequence_id"] >> 32 for r in packed)
+    assert max(groups.values()) <= 1.5 * packing.GROUP_PARTS * 1000
