@@ -225,8 +225,7 @@ def fit(pages: DataFrame, sample: int = SAMPLE, page_id: str = "page_id", html:
     chosen = marked.filter(F.pmod(F.xxhash64(page_id), F.lit(1 << 30)) < share)
     rows = (
         chosen.select(F.inline(counted(F.col(html)))).groupBy("feature")
-        .agg(F.sum("inside").alias("a"), F.sum("outside").alias("b")).orderBy(F.desc(F.col("a") + F.col("b")), "feature")
-        .limit(5000).collect()
+        .agg(F.sum("inside").alias("a"), F.sum("outside").alias("b")).collect()
     )
     return learn({r["feature"]: (r["a"], r["b"]) for r in rows})
 
