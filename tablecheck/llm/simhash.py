@@ -199,10 +199,16 @@ def near_duplicates(
 def one_per_group(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
     """The document with the smallest id of each group, with all its columns.
 
-    Rows that repeat an id go but one. Rows without an id cannot be named by a
-    group and stay. The document rows are shuffled once, by their id.
+    Of rows that repeat an id the one with the least hash of its columns stays, so
+    every run keeps the same. Rows without an id cannot be named by a group and
+    stay. The document rows are shuffled once, by their id.
     """
     groups = near_duplicates(docs, text, doc_id, **options)
     chosen = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("__kept_id")).distinct()
-    kept = docs.join(chosen, docs[doc_id] == F.col("__kept_id"), "left_semi").dropDuplicates([doc_id])
-    return kept.unionByName(docs.filter(F.col(doc_id).isNull()))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    # Maps have no hash.
+    hashed = [c for c, f in zip(names, docs.schema.fields) if "map<" not in f.dataType.simpleString()]
+    kept = docs.join(chosen, docs[doc_id] == F.col("__kept_id"), "left_semi").groupBy(F.col(doc_id).alias("__id")).agg(
+        F.min_by(F.struct(*names), F.xxhash64(*hashed)).alias("__row")
+    )
+    return kept.select("__row.*").unionByName(docs.filter(F.col(doc_id).isNull()))

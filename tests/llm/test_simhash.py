@@ -106,3 +106,10 @@ def test_empty_table(spark):
 def test_components(spark, links, expected):
     got = components(spark.createDataFrame(links, "u long, v long"))
     assert {r["node"]: r["root"] for r in got.collect()} == expected
+
+
+def test_one_row_of_a_repeated_id_stays_whatever_the_order(spark):
+    rows = [(1, f"text number {k} of one id with its own words {k * 7}") for k in range(30)] + [(2, "another one")]
+    df = frame(spark, rows, "doc_id long, text string").selectExpr("*", "map('a', doc_id) as m", "1 as print")
+    kept = {tuple(map(str, r)) for n in (1, 3, 7) for r in simhash.one_per_group(df.repartition(n).orderBy("text", ascending=n > 1)).collect()}
+    assert len(kept) == 2
