@@ -48,6 +48,7 @@ STEP_TOKENS = 1 << 14
 RATE = 0.35
 DECAY = 1e-5
 PIECES = 16
+SUMMED_TASKS = 256
 EMPTY = -39.0
 END = "\n"  # no word holds white space
 BLOCK_BYTES = 4 << 20
@@ -145,23 +146,64 @@ class Model(NamedTuple):
         return np.where(found >= 0, found // SLOTS, of_class), np.where(found >= 0, found % SLOTS, -1)
 
 
-def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities and log-normalisers."""
-    top = logits.max(axis=1, keepdims=True)
-    p = np.exp(logits - top)
-    total = p.sum(axis=1, keepdims=True)
-    return p / total, (np.log(total) + top)[:, 0]
+def _logits(table: np.ndarray, features: tuple[np.ndarray, ...], bias: np.ndarray) -> np.ndarray:
+    """The sum of a row of the table for each feature and of the bias."""
+    # Rows are known to exist, so "clip" spares a check of each.
+    total = table.take(features[0], axis=0, mode="clip")
+    for feature in features[1:]:
+        total += table.take(feature, axis=0, mode="clip")
+    total += bias
+    return total
+
+
+#: Sums of exponentials below this may have lost their terms to underflow.
+LEAST_SUM = 1e-25
+
+
+def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Exponentials of the logits less a level, their sum per row, and the level of each row."""
+    ones = np.ones(logits.shape[1], logits.dtype)
+    # One level for all rows spares a maximum of each; rows far below it get their own.
+    top = logits.dtype.type(logits.max(initial=0))
+    level = np.full(len(logits), top)
+    raised = logits - top
+    np.exp(raised, out=raised)
+    total = raised @ ones
+    low = np.flatnonzero(total < LEAST_SUM)
+    if len(low):
+        level[low] = logits[low].max(axis=1)
+        raised[low] = np.exp(logits[low] - level[low, None])
+        total[low] = raised[low] @ ones
+    return raised, total, level
+
+
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    """Probabilities."""
+    raised, total, _ = _exponentials(logits)
+    raised *= (1 / total)[:, None]
+    return raised
+
+
+def _normaliser(logits: np.ndarray) -> np.ndarray:
+    """The logarithm of the sum of the exponentials of each row."""
+    _, total, level = _exponentials(logits)
+    return np.log(total) + level
+
+
+def _bucket(hashes: np.ndarray, n: int) -> np.ndarray:
+    """One of ``n`` rows, a power of two."""
+    return (hashes & np.uint64(n - 1)).astype(np.int64)
 
 
 def _features(tokens: Tokens, part: slice, table: np.ndarray) -> tuple[np.ndarray, ...]:
     n = len(table) // 3
-    return tuple((h[part] % np.uint64(n)).astype(np.int64) + k * n for k, h in enumerate((tokens.one, tokens.two, tokens.both)))
+    return tuple(_bucket(h[part], n) + k * n for k, h in enumerate((tokens.one, tokens.two, tokens.both)))
 
 
 def _slot_features(tokens: Tokens, part: np.ndarray, of_class: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, ...]:
     n = len(table) // (2 * HEAD_CLASSES)
     return tuple(
-        ((h[part] >> np.uint64(32)) % np.uint64(n)).astype(np.int64) * HEAD_CLASSES + of_class + k * n * HEAD_CLASSES
+        _bucket(h[part] >> np.uint64(32), n) * HEAD_CLASSES + of_class + k * n * HEAD_CLASSES
         for k, h in enumerate((tokens.one, tokens.two))
     )
 
@@ -177,15 +219,18 @@ def _branchings(
     ats, places, biases, branches = [], [], [], []
     for depth, (bias, fork) in enumerate(zip(model.tree_bias, model.tree_forks)):
         leaf = tree_leaves(of_class, own, depth + 1)
-        at = np.flatnonzero(fork[leaf // SLOTS])
-        node = leaf[at] // SLOTS
+        # Sixteen slots are four bits.
+        nodes = leaf >> 4
+        at = np.flatnonzero(fork[nodes])
+        node = nodes[at]
         ats.append(at)
         places.append(mix(node.astype(np.uint64) + np.uint64((depth + 1) << 40)))
         biases.append(bias[node])
-        branches.append(leaf[at] % SLOTS)
+        branches.append(leaf[at] & (SLOTS - 1))
     at, place = np.concatenate(ats), np.concatenate(places)
+    token = part[at]
     features = tuple(
-        (mix(h[part][at] ^ place) % np.uint64(n)).astype(np.int64) + k * n for k, h in enumerate((tokens.one, tokens.two))
+        _bucket(mix(h[token] ^ place), n) + k * n for k, h in enumerate((tokens.one, tokens.two))
     )
     return at, np.concatenate(biases), features, np.concatenate(branches)
 
@@ -199,20 +244,20 @@ def log_probabilities(model: Model, tokens: Tokens, of_class: np.ndarray, slot:
     out = np.empty(len(tokens.codes))
     for low in range(0, len(out), STEP_TOKENS):
         part = slice(low, min(low + STEP_TOKENS, len(out)))
-        logits = model.class_bias + sum(model.classes[f] for f in _features(tokens, part, model.classes))
+        logits = _logits(model.classes, _features(tokens, part, model.classes), model.class_bias)
         c = of_class[tokens.codes[part]]
-        out[part] = logits[np.arange(len(c)), c] - _softmax(logits)[1]
+        out[part] = logits[np.arange(len(c)), c] - _normaliser(logits)
         s = slot[tokens.codes[part]]
         inside = np.flatnonzero(s >= 0)
         if len(inside):
             own = c[inside]
-            logits = model.slot_bias[own] + sum(model.slots[f] for f in _slot_features(tokens, inside + low, own, model.slots))
-            out[inside + low] += logits[np.arange(len(own)), s[inside]] - _softmax(logits)[1]
+            logits = _logits(model.slots, _slot_features(tokens, inside + low, own, model.slots), model.slot_bias[own])
+            out[inside + low] += logits[np.arange(len(own)), s[inside]] - _normaliser(logits)
         tail = np.flatnonzero(s < 0)
         if len(tail):
             at, bias, features, branch = _branchings(model, tokens, tail + low, c[tail], model.tree)
-            logits, each = bias + sum(model.tree[f] for f in features), np.arange(len(at))
-            changed = logits[each, branch] - _softmax(logits)[1] - bias[each, branch]
+            logits, each = _logits(model.tree, features, bias), np.arange(len(at))
+            changed = logits[each, branch] - _normaliser(logits) - bias[each, branch]
             out[tail + low] += np.bincount(at, changed, minlength=len(tail))
     return out
 
@@ -232,14 +277,15 @@ def sum_rows(values: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarra
     size = np.diff(np.append(starts, len(key)))
     longest_first = np.argsort(-size, kind="stable")
     starts, size = starts[longest_first], size[longest_first]
-    total = np.zeros((len(starts), values.shape[1]), values.dtype)
+    # The first row of each, then all second rows, and so on; a place beyond a key's rows is never read.
+    total = values.take(order[starts], axis=0, mode="clip")
     long = int(np.searchsorted(-size, -LONG_RUN, side="right"))
     ones = np.ones(int(size[0]), values.dtype)
     for k in range(long):
-        total[k] = ones[: size[k]] @ values[order[starts[k] : starts[k] + size[k]]]
-    lane, some = 0, len(starts)
+        total[k] = ones[: size[k]] @ values.take(order[starts[k] : starts[k] + size[k]], axis=0, mode="clip")
+    lane, some = 1, int(np.searchsorted(-size, -1, side="left"))
     while some > long:
-        total[long:some] += values[order[starts[long:some] + lane]]
+        total[long:some] += values.take(order[starts[long:some] + lane], axis=0, mode="clip")
         lane += 1
         some = int(np.searchsorted(-size, -lane, side="left"))
     return ordered[starts], total, size
@@ -258,30 +304,34 @@ class Trainer:
         table, moved, met = self.tables[which], self.moved[which], self.met[which]
         for feature in features:
             rows, total, size = sum_rows(gradient, feature)
-            total += DECAY * table[rows]
+            weights = table.take(rows, axis=0, mode="clip")
+            total += np.float32(DECAY) * weights
             met[rows] += size
-            moved[rows] += np.square(total).mean(axis=1)
-            table[rows] -= RATE * total / np.sqrt(moved[rows])[:, None]
+            way = moved[rows] + np.einsum("ij,ij->i", total, total) / total.shape[1]
+            moved[rows] = way
+            total *= (RATE / np.sqrt(way)).astype(np.float32)[:, None]
+            weights -= total
+            table[rows] = weights
 
     def learn(self, tokens: Tokens, of_class: np.ndarray, slot: np.ndarray) -> None:
         for low in range(0, len(tokens.codes), STEP_TOKENS):
             part = slice(low, min(low + STEP_TOKENS, len(tokens.codes)))
             features = _features(tokens, part, self.tables[0])
             c, s = of_class[tokens.codes[part]], slot[tokens.codes[part]]
-            gradient = _softmax(self.model.class_bias + sum(self.tables[0][f] for f in features))[0]
+            gradient = _softmax(_logits(self.tables[0], features, self.model.class_bias))
             gradient[np.arange(len(c)), c] -= 1
             self._step(0, features, gradient)
             inside = np.flatnonzero(s >= 0)
             if len(inside):
                 own = c[inside]
                 features = _slot_features(tokens, inside + low, own, self.tables[1])
-                gradient = _softmax(self.model.slot_bias[own] + sum(self.tables[1][f] for f in features))[0]
+                gradient = _softmax(_logits(self.tables[1], features, self.model.slot_bias[own]))
                 gradient[np.arange(len(own)), s[inside]] -= 1
                 self._step(1, features, gradient)
             tail = np.flatnonzero(s < 0)
             at, bias, features, branch = _branchings(self.model, tokens, tail + low, c[tail], self.tables[2])
             if len(at):
-                gradient = _softmax(bias + sum(self.tables[2][f] for f in features))[0]
+                gradient = _softmax(_logits(self.tables[2], features, bias))
                 gradient[np.arange(len(at)), branch] -= 1
                 self._step(2, features, gradient)
 
@@ -346,20 +396,26 @@ def _train_round(model: Model):
     return of_batches
 
 
-def _sum_changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    totals: dict[int, list[np.ndarray]] = {}
-    for batch in batches:
-        for row in batch.to_pylist():
-            met = np.frombuffer(row["met"], "<f4").astype(np.float64)
-            got = [np.frombuffer(row["weights"], "<f2").reshape(len(met), -1) * met[:, None], met]
-            old = totals.get(row["piece"])
-            totals[row["piece"]] = got if old is None else [old[0] + got[0], old[1] + got[1]]
-    if totals:
-        pieces = sorted(totals)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(pieces, pa.int32()), *[pa.array([totals[p][k].astype("<f4").tobytes() for p in pieces], pa.binary()) for k in (0, 1)]],
-            ["piece", "weights", "met"],
-        )
+def _sum_changes(averaged: bool):
+    """The sums of all changes of each piece; a task's own changes are averages, those of several tasks are sums."""
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, list[np.ndarray]] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                met = np.frombuffer(row["met"], "<f4").astype(np.float64)
+                weights = np.frombuffer(row["weights"], "<f2" if averaged else "<f4").reshape(len(met), -1)
+                got = [weights * met[:, None] if averaged else weights.astype(np.float64), met]
+                old = totals.get(row["piece"])
+                totals[row["piece"]] = got if old is None else [old[0] + got[0], old[1] + got[1]]
+        if totals:
+            pieces = sorted(totals)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(pieces, pa.int32()), *[pa.array([totals[p][k].astype("<f4").tobytes() for p in pieces], pa.binary()) for k in (0, 1)]],
+                ["piece", "weights", "met"],
+            )
+
+    return of_batches
 
 
 def _apply(model: Model, rows: list) -> Model:
@@ -443,7 +499,10 @@ def fit(train: DataFrame, counts: DataFrame, text: str = "text", doc_id: str = "
         own = train.filter(F.pmod(F.xxhash64(F.lit(5), doc_id), F.lit(rounds)) == k)
         changes = (
             own.select(F.coalesce(F.col(text), F.lit("")).alias("text")).mapInArrow(_train_round(model), CHANGES)
-            .repartition(PIECES, "piece").mapInArrow(_sum_changes, CHANGES)
+            # First among some tasks, then among the sums, so that no task reads the changes of all.
+            .withColumn("tasks", F.floor(F.spark_partition_id() / SUMMED_TASKS)).repartition("piece", "tasks").drop("tasks")
+            .mapInArrow(_sum_changes(True), CHANGES)
+            .repartition(PIECES, "piece").mapInArrow(_sum_changes(False), CHANGES)
         )
         model = _apply(model, changes.collect())
     return model
