@@ -17,8 +17,9 @@ Before the walks a lossless test leaves out most windows: ``d`` edits spoil at m
 ``q * d`` of the ``n - q + 1`` runs of ``q`` words of an item, so only windows that
 hold at least the other ``n - q + 1 - q * d`` runs of some item need to walk.
 
-Walks fall out of step in long items with many edits. So the runs are also counted for
-each item by itself: places where enough runs of three words of one item lie close
+Walks fall out of step in long items with many edits, so the number of walks of a band
+follows from its items' allowed edits and a target recall. To leave nothing to chance
+the runs are also counted for each item by itself: places where enough runs of three words of one item lie close
 together are verified too. For items that share at least two such runs with every
 occurrence (seven words or more, and four) this loses nothing; items of five or six
 words rest on the walks, shorter ones must occur unchanged.
@@ -39,6 +40,8 @@ from pyspark.sql import functions as F
 from .batches import hash_words, mix, ship, text_blocks, words
 
 SIMILARITY = 0.8
+#: The chance with which walks alone are to find an occurrence with all allowed edits, and the fewest walks.
+TARGET_RECALL = 0.99
 WALKS = 24
 SAMPLES = 3
 BAND = 1.4
@@ -120,13 +123,24 @@ class Band(NamedTuple):
     owners: list[np.ndarray]
 
 
-def _samples(shortest: int, seed: int) -> list[np.ndarray]:
+def walks_for(edits: int, recall: float = TARGET_RECALL) -> int:
+    """Walks with which an occurrence with that many edits shares a key with that chance.
+
+    One walk of ``SAMPLES`` samples meets with a chance that falls by the same factor
+    with each edit; 0.17 and 0.027 are fitted to trials with edits spread evenly, the
+    hardest case, in items of 100 to 400 words.
+    """
+    met = 0.17 * math.exp(-0.027 * edits)
+    return max(WALKS, math.ceil(math.log(1 - recall) / math.log(1 - met)))
+
+
+def _samples(shortest: int, seed: int, walks: int) -> list[np.ndarray]:
     """The sampled steps of each walk of a band.
 
     Walks sample ever later parts in turn, so edits that crowd in one part leave others alone.
     """
     rng, steps = np.random.default_rng(seed), []
-    for walk in range(WALKS):
+    for walk in range(walks):
         share = (walk % 4) / 4
         low = int(share * 1.5 * shortest)
         high = max(low + SAMPLES, int((share + 0.4) * 1.5 * shortest))
@@ -179,10 +193,11 @@ def _band(own: np.ndarray, each: list[np.ndarray], similarity: float, seed: int)
     seen = np.zeros(1 << FILTER_BITS, bool)
     for s in symbols:
         seen[_runs(s, run) >> np.uint64(64 - FILTER_BITS)] = True
-    steps = _samples(int(lengths.min()), seed)
+    walks = walks_for(max(edits_allowed(n, similarity) for n in lengths.tolist()))
+    steps = _samples(int(lengths.min()), seed, walks)
     joined, begin = np.append(np.concatenate(symbols), np.uint64(0)), np.cumsum(lengths) - lengths
     keys, owners = [], []
-    for walk in range(WALKS):
+    for walk in range(walks):
         key = _walk_keys(joined, begin, begin + lengths, walk, steps[walk])
         order = np.argsort(key, kind="stable")
         keys.append(key[order])
@@ -277,7 +292,7 @@ def _candidates(symbols: np.ndarray, text_of: np.ndarray, starts: np.ndarray, it
         stop = starts[1:][text_of[begin]]
         enough = before[np.minimum(begin + band.reach, stop)] - before[begin] >= band.needed
         begin, stop = begin[enough], stop[enough]
-        for walk in range(WALKS if len(begin) else 0):
+        for walk in range(len(band.steps) if len(begin) else 0):
             key, known = _walk_keys(padded, begin, stop, walk, band.steps[walk]), band.keys[walk]
             low = np.searchsorted(known, key)
             met = np.flatnonzero(known[np.minimum(low, len(known) - 1)] == key)
@@ -290,10 +305,10 @@ def _candidates(symbols: np.ndarray, text_of: np.ndarray, starts: np.ndarray, it
     return pairs // (len(items.ids) + 1), pairs % (len(items.ids) + 1)
 
 
-def occurrences(texts: pa.Array, items: Items) -> list[list[tuple]]:
+def occurrences(texts: pa.Array, items: Items, complete: bool = True) -> list[list[tuple]]:
     """For each text its items as (item id, first word, words, edits): the closest, then the first place of each item.
 
-    ``first_word`` and ``words`` count white-space separated words of the text.
+    Without ``complete`` only the walks search. ``first_word`` and ``words`` count white-space separated words of the text.
     """
     results: list[list[tuple]] = []
     for block in text_blocks(texts, PIECE_BYTES):
@@ -325,7 +340,7 @@ def occurrences(texts: pa.Array, items: Items) -> list[list[tuple]]:
                 seen[text, k] = first + max(1, allowed // 2)
                 verify(text, k, max(int(starts[text]), first - allowed - 2), min(int(starts[text + 1]), first + own + 2 * allowed + 2))
             # What the walks missed, or found at a place farther from the item.
-            for text, k, low, high in _dense_places(symbols, text_of, starts, items.counted):
+            for text, k, low, high in _dense_places(symbols, text_of, starts, items.counted) if complete else ():
                 if found[text].get(k, (1,))[0] > 0:
                     verify(text, k, low, high)
         results += [sorted((items.ids[k], at, n, e) for k, (e, at, n) in f.items()) for f in found]
@@ -346,12 +361,12 @@ def item_blocks(benchmark: DataFrame, similarity: float, text: str, item_id: str
         yield index([r["id"] for r in got], [r["text"] for r in got], similarity)
 
 
-def found_column(items: Items, text: str | Column) -> Column:
+def found_column(items: Items, text: str | Column, complete: bool = True) -> Column:
     """The items that occur in a text column, as an array of (item_id, first_word, n_words, edits)."""
 
     @F.arrow_udf(f"array<struct<{', '.join(':'.join(c.split()) for c in FOUND.split(', '))}>>")
     def of_texts(texts: pa.Array) -> pa.Array:
-        rows = occurrences(texts, items)
+        rows = occurrences(texts, items, complete)
         kinds = (("item_id", pa.int64()), ("first_word", pa.int64()), ("n_words", pa.int64()), ("edits", pa.int32()))
         flat = [hit for row in rows for hit in row]
         columns = [pa.array([hit[c] for hit in flat], kind) for c, (_, kind) in enumerate(kinds)]
@@ -362,18 +377,20 @@ def found_column(items: Items, text: str | Column) -> Column:
 
 
 def contaminations(
-    docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id"
-) -> DataFrame:
+    docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id",
+    complete: bool = True,
+) -> DataFrame:
     """One row per document row and item that occurs in it: ``doc_id``, ``item_id``, ``first_word``, ``n_words``, ``edits``.
 
     Null texts count as empty and match nothing, as do items without words;
     items below five words must occur unchanged. Ids may be null or repeat;
     equal items under one id count once. Empty tables give an empty result.
+    ``complete`` also counts runs, which finds what the walks may miss.
     """
     ship(docs.sparkSession)
     parts = None
     for items in item_blocks(benchmark, similarity, text="text" if text not in benchmark.columns else text, item_id=item_id):
-        hits = docs.select(F.col(doc_id).cast("long").alias("doc_id"), found_column(items, F.col(text)).alias("found"))
+        hits = docs.select(F.col(doc_id).cast("long").alias("doc_id"), found_column(items, F.col(text), complete).alias("found"))
         hits = hits.select("doc_id", F.inline("found"))
         parts = hits if parts is None else parts.union(hits)
     return parts

@@ -14,6 +14,8 @@ import corpus_pipeline
 from tablecheck.llm import decontamination, packing
 from tablecheck.llm.queries import ORACLE, QUERIES
 
+from .test_lexical import brute as brute_search
+from .test_minhash import brute_groups as brute_sets
 from .test_simhash import brute_groups, brute_print
 from .test_text_operators import bare, brute_edits, lm_tokens
 from .test_tokens import check_packing
@@ -85,6 +87,29 @@ def test_op3(spark):
     assert sorted(tuple(r[n] for n in names) for r in got) == sorted(con.fetchall())
 
 
+@pytest.mark.parametrize("start", ["op12_", "op13_"])
+def test_equals_its_sql(spark, start):
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    for name in ("documents", "benchmark", "conversations"):
+        con.execute(f"create view {name} as select * from '{SF_DIR}/{name}.parquet'")
+    got = run(spark, start)
+    con.execute(ORACLE[next(n for n in ORACLE if n.startswith(start))])
+    names = [c[0] for c in con.description]
+    assert got and sorted(tuple(r[n] for n in names) for r in got) == sorted(con.fetchall())
+
+
+def test_op11(spark, docs):
+    expected = brute_sets({d["doc_id"]: d["text"] for d in docs})
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in run(spark, "op11_")} == expected
+
+
+def test_op12(spark, docs):
+    items = {r["item_id"]: r["text"] for r in rows(spark, "benchmark")}
+    got = sorted((tuple(r[n] for n in ("item_id", "rank", "doc_id", "score")) for r in run(spark, "op12_")), key=str)
+    assert got == brute_search([(d["doc_id"], d["text"]) for d in docs], items)
+
+
 def test_op4(spark, docs):
     lang = {d["doc_id"]: d["lang"] for d in docs}
     got = run(spark, "op4_")

@@ -364,3 +364,35 @@ def test_fold_is_the_checksum_of_the_id(spark):
 
     rows = frame(spark, [doc(i, "x") for i in range(200)]).select("doc_id", remainder(10).alias("r")).collect()
     assert all(r["r"] == zlib.crc32(str(r["doc_id"]).encode()) % 10 for r in rows)
+
+
+def spread_edits(rng, parts, edits, even):
+    """The words with that many edits, at evenly spread or random places."""
+    parts, n = list(parts), len(parts)
+    places = [int((k + 0.5) * n / edits) for k in range(edits)] if even else sorted(rng.sample(range(n), edits))
+    for p in reversed(places):
+        kind = rng.choice("sid")
+        if kind == "s":
+            parts[p] = f"x{rng.random()}"
+        elif kind == "i":
+            parts.insert(p, f"y{rng.random()}")
+        else:
+            del parts[p]
+    return parts
+
+
+@pytest.mark.parametrize("n", [6, 50, 200, 400])
+def test_walks_alone_reach_the_target_recall(n):
+    rng = random.Random(n)
+    for even in (False, True):
+        items = [[f"w{rng.randrange(5000)}" for _ in range(n)] for _ in range(40)]
+        edits = decontamination.edits_allowed(n, 0.8)
+        texts = [" ".join(["some", "words", *spread_edits(rng, i, edits, even), "more", "words"]) for i in items]
+        index = decontamination.index(list(range(40)), [" ".join(i) for i in items], 0.8)
+        found = decontamination.occurrences(pa.array(texts), index, complete=False)
+        assert sum(any(hit[0] == k for hit in found[k]) for k in range(40)) >= 0.95 * 40, even
+
+
+def test_walks_grow_with_the_edits_and_the_recall():
+    assert decontamination.WALKS <= decontamination.walks_for(0) < decontamination.walks_for(40) < decontamination.walks_for(80)
+    assert decontamination.walks_for(40, 0.9) < decontamination.walks_for(40, 0.99)
