@@ -6,7 +6,7 @@ import pytest
 
 from tablecheck.catalog import QUERIES
 from tablecheck.operators import data_tests
-from tablecheck.operators.joins import on_spine
+from tablecheck.operators.joins import on_own_days, on_spine
 from tablecheck.operators.spine import date_spine
 from tablecheck.plans import marts, staging
 from tablecheck.plans.semantic import (
@@ -262,6 +262,37 @@ def test_filled_metrics_have_every_day(spark, catalog):
         catalog.query_metrics(["revenue"], [TimeDimension("month")], spine)
 
 
+def test_days_between_are_filled_without_a_shuffle_of_their_own(spark):
+    days = [(1, 1, 5), (1, 4, 7), (2, 2, 1), (None, 1, 2), (None, 3, None), (3, None, 9)]
+    rows = [(k, None if day is None else dt.date(2024, 2, day), v) for k, day, v in days]
+    frame = spark.createDataFrame(rows, "k int, day date, v long")
+    catalog = MetricCatalog(
+        [SemanticModel("m", frame, (Measure("v"),), "day", {"k": "k"})],
+        [Simple("v", "v"), Cumulative("upto", "v"), Derived("twice", "upto * 2", {"upto": Input("upto")}),
+         Derived("some", "coalesce(v, 1)", {"v": Input("v")}), Cumulative("some_upto", "some")],
+    )
+    df = catalog.query_metrics(["v", "upto", "twice"], [TimeDimension("day"), Key("k")], fill=True)
+    want = [
+        (1, 1, 5, 5), (2, 1, None, 5), (3, 1, None, 5), (4, 1, 7, 12), (2, 2, 1, 1),
+        (1, None, 2, 2), (2, None, None, 2), (3, None, None, 2),
+    ]
+    assert sorted(map(str, df.collect())) == sorted(
+        map(str, spark.createDataFrame([(dt.date(2024, 2, d), k, v, u, u * 2) for d, k, v, u in want], df.schema).collect())
+    )
+    # The days are generated above the last join, sort and shuffle.
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.index("Generate") < plan.index("Sort") < plan.index("Exchange")
+    # A running total of what is not simple needs the filled days themselves.
+    rows = catalog.query_metrics(["some_upto"], [TimeDimension("day"), Key("k")], fill=True).filter("k = 1").collect()
+    assert {r["metric_time"].day: r["some_upto"] for r in rows} == {1: 5, 2: 6, 3: 7, 4: 14}
+
+
+def test_a_day_that_occurs_twice_stays_twice(spark):
+    rows = [(dt.date(2024, 2, 1), "a"), (dt.date(2024, 2, 1), "b"), (dt.date(2024, 2, 3), "c"), (None, "d")]
+    filled = on_own_days(spark.createDataFrame(rows, "day date, v string"), "day", [])
+    assert sorted((r["day"].day, r["v"] or "") for r in filled.collect()) == [(1, "a"), (1, "b"), (2, ""), (3, "c")]
+
+
 def nodes(df, *names):
     """How often plan nodes occur in the plan that is about to run."""
     plan = df._jdf.queryExecution().executedPlan().toString()
