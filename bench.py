@@ -104,7 +104,7 @@ def bytes_of_keys(spark: SparkSession, sf_dir: str) -> dict[str, int]:
             F.sum("n"), *[F.sum(F.bitmap_count(c)) for c in ("every", "theirs")]
         )),
         "unique_texts_by_keys": shuffled_bytes(frequencies(docs, ["text"]).agg(one)),
-        "unique_texts_by_hashes": shuffled_bytes(keys.hash_counts(docs, [["text"]]).agg(one)),
+        "unique_texts_by_hashes": shuffled_bytes(keys.hash_counts(docs, ["text"]).agg(one)),
     }
 
 

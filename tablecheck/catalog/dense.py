@@ -1,4 +1,4 @@
-"""Keys in bulk: bitmaps for references, two passes for uniqueness."""
+"""Keys in bulk: bitmaps for references, a second pass for long texts only for uniqueness."""
 
 from __future__ import annotations
 
@@ -70,7 +70,7 @@ WITH_GAPS = "(SELECT *, nullif(l_returnflag, 'N') AS flag, nullif(l_linestatus,
     ),
 )
 def uniqueness_two_pass(spark, d):
-    """Seven keys of one table share both passes; texts of another are never moved whole."""
+    """Seven keys of numbers, days and short texts, each counted in one pass; long texts of another table are moved whole only if their hash repeats."""
     gaps = table(spark, d, "lineitem").withColumns(
         {"flag": F.nullif("l_returnflag", F.lit("N")), "status": F.nullif("l_linestatus", F.lit("O"))}
     )

@@ -1,10 +1,10 @@
-"""Uniqueness of any number of keys of a table in two passes.
+"""Uniqueness of any number of keys of a table, without moving long texts.
 
-The first pass counts a hash of every key, for all rules in one scan and one
-shuffle of a few bytes per key. A hash met once belongs to a key that occurs
-once. The second pass looks only at rows whose hash was met again and counts
-their real keys, so a chance clash of hashes changes nothing. For nearly unique
-keys almost no key is moved, whatever its length.
+The first pass groups the rows by each key: by its cells as they are, but by a
+hash for texts of more than ``SHORT`` bytes. Keys without such a text are counted
+then, as is a hash met once. The second pass looks only at rows whose hash was
+met again and counts their real keys, so a chance clash of hashes changes
+nothing. Keys of numbers, days and short texts need no second pass.
 """
 
 from __future__ import annotations
@@ -21,36 +21,90 @@ from ..sources.scratch import saved
 
 #: What parts of a key are NULL: none, some, all.
 FULL, PART, NONE = range(3)
+#: Texts of more bytes are grouped by a hash first.
+SHORT = 32
 _COUNTS = ("rows", "null_rows", "part_null_rows", "once", "repeated_keys", "repeated_rows")
 
 
-def _whole(df: DataFrame, c: str) -> Column:
-    """A cell as a text that equal cells, and only those, share."""
-    kind = df.select(as_column(c)).schema.fields[0].dataType
-    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
-        raise ValueError(f"column {c} has a type that is no key: {kind.simpleString()}")
-    cell = as_column(c)
-    if isinstance(kind, (T.FloatType, T.DoubleType)):
-        cell = cell + F.lit(0.0)  # one zero
-    text = F.hex(cell) if isinstance(kind, T.BinaryType) else cell.cast("string")
-    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+def _cells(df: DataFrame, names: list[str]) -> list[tuple[Column, bool]]:
+    """The parts of a key as values to group by, and whether they are texts."""
+    found = []
+    for c in names:
+        kind = df.select(as_column(c)).schema.fields[0].dataType
+        if isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            raise ValueError(f"column {c} has a type that is no key: {kind.simpleString()}")
+        text = isinstance(kind, T.StringType)
+        found.append((as_column(c).cast("string") if text else as_column(c), text or isinstance(kind, T.BinaryType)))
+    return found
 
 
-def _rules(df: DataFrame, key_sets: list[list[str]], with_key: bool) -> DataFrame:
-    """One row per row and rule: ``rule``, ``nulls``, ``hash`` and, if wanted, the whole ``key``."""
-    structs = []
-    for i, names in enumerate(key_sets):
-        missing = [as_column(c).isNull() for c in names]
-        nulls = F.when(reduce(operator.and_, missing), F.lit(NONE)).when(reduce(operator.or_, missing), F.lit(PART)).otherwise(F.lit(FULL))
-        whole = F.concat(*[_whole(df, c) for c in names])
-        fields = [F.lit(i).alias("rule"), nulls.alias("nulls"), F.when(nulls != NONE, F.xxhash64(whole)).alias("hash")]
-        structs.append(F.struct(*fields, *([whole.alias("key")] if with_key else [])))
-    return df.select(F.inline(F.array(*structs)))
+def _shortened(cells: list[tuple[Column, bool]]) -> dict[str, Column]:
+    """What stands for the parts of a key in the first pass: ``__cell`` and its number, and for texts ``__hash`` and its number."""
+    out = {}
+    for i, (cell, text) in enumerate(cells):
+        long = F.octet_length(cell) > SHORT if text else F.lit(False)
+        out[f"__cell{i}"] = F.when(~long, cell) if text else cell
+        if text:
+            out[f"__hash{i}"] = F.when(long, F.xxhash64(cell))
+    return out
 
 
-def hash_counts(df: DataFrame, key_sets: list[list[str]]) -> DataFrame:
-    """The first pass: rows ``n`` per rule, kind of NULL parts and hash of the key."""
-    return _rules(df, key_sets, False).groupBy("rule", "nulls", "hash").agg(F.count(F.lit(1)).alias("n"))
+def _nulls(missing: list[Column]) -> Column:
+    return F.when(reduce(operator.and_, missing), F.lit(NONE)).when(reduce(operator.or_, missing), F.lit(PART)).otherwise(F.lit(FULL))
+
+
+def hash_counts(df: DataFrame, names: list[str]) -> DataFrame:
+    """The first pass over one key: its shortened parts, rows ``n``, kind of ``nulls``, and whether ``hashed``."""
+    parts = _shortened(_cells(df, names))
+    counted = df.select(*[c.alias(n) for n, c in parts.items()]).groupBy(*parts).agg(F.count(F.lit(1)).alias("n"))
+    both = [[f"{kind}{i}" for kind in ("__cell", "__hash") if f"{kind}{i}" in parts] for i in range(len(names))]
+    hashed = [F.col(c).isNotNull() for c in parts if c.startswith("__hash")]
+    return counted.withColumns({
+        "nulls": _nulls([F.coalesce(*own).isNull() if len(own) == 1 else F.col(own[0]).isNull() & F.col(own[1]).isNull() for own in both]),
+        "hashed": reduce(operator.or_, hashed, F.lit(False)),
+    })
+
+
+def _of_key(df: DataFrame, names: list[str], rule: int) -> list[DataFrame]:
+    """Frames of ``rule`` and the counts, which add up to the summary of one key."""
+    zero = F.lit(0).cast("long")
+    n, nulls, keys = F.col("n"), F.col("nulls"), F.col("keys")
+
+    def part(rows=zero, null=zero, some=zero, once=zero, keys=zero, repeated=zero) -> list[Column]:
+        counts = zip((rows, null, some, once, keys, repeated), _COUNTS)
+        return [F.lit(rule).alias("rule"), *[c.cast("long").alias(name) for c, name in counts]]
+
+    def found(sure: Column) -> dict[str, Column]:
+        """Counts of keys of which ``keys`` have ``n`` rows in all; below two rows a key occurs once."""
+        single, again = F.col("times") == 1, (F.col("times") > 1) & (nulls == FULL)
+        return {
+            "once": F.when(sure & single & (nulls != NONE), keys).otherwise(zero),
+            "keys": F.when(sure & again, keys).otherwise(zero), "repeated": F.when(sure & again, n).otherwise(zero),
+        }
+
+    counted = hash_counts(df, names)
+    shortened = [c for c in counted.columns if c.startswith("__")]
+    texts = any(c.startswith("__hash") for c in shortened)
+    met = F.col("hashed") & (n > 1)
+    first = counted.groupBy(
+        "nulls", met.alias("met"), F.least(n, F.lit(2)).alias("times"), *[F.when(met, F.col(c)).alias(c) for c in shortened if texts]
+    ).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("keys"))
+    if texts:
+        first = saved(first, "hashes")
+    summed = first.select(
+        *part(n, F.when(nulls == NONE, n).otherwise(zero), F.when(nulls == PART, n).otherwise(zero), **found(~F.col("met")))
+    )
+    if not texts:
+        return [summed]
+    cells = _cells(df, names)
+    whole = {f"__key{i}": cell for i, (cell, _) in enumerate(cells)}
+    rows = df.select(*[c.alias(k) for k, c in (_shortened(cells) | whole).items()])
+    wanted = first.filter("met").select(*[F.col(c).alias(f"{c}_met") for c in shortened])
+    same = reduce(operator.and_, [F.col(c).eqNullSafe(F.col(f"{c}_met")) for c in shortened])
+    real = rows.join(wanted, same).groupBy(*whole).agg(F.count(F.lit(1)).alias("n")).withColumns(
+        {"nulls": _nulls([F.col(k).isNull() for k in whole]), "times": F.col("n"), "keys": F.lit(1)}
+    )
+    return [summed, real.select(*part(**found(F.lit(True))))]
 
 
 def key_summary(df: DataFrame, key_sets: list[list[str] | str]) -> DataFrame:
@@ -58,37 +112,17 @@ def key_summary(df: DataFrame, key_sets: list[list[str] | str]) -> DataFrame:
 
     ``once`` counts keys that occur in one row, keys with some NULL parts among
     them; keys of NULL parts only are ``null_rows``. ``repeated_keys`` and
-    ``repeated_rows`` are about keys without a NULL part. The first pass runs at
-    once and leaves the repeated hashes in the shared folder, so that Spark sends
-    them to the rows where they are few and joins them where they are many.
+    ``repeated_rows`` are about keys without a NULL part. For keys with texts the
+    first pass runs at once and leaves the repeated hashes in the shared folder, so
+    that Spark sends them to the rows where they are few and joins them where they
+    are many.
     """
     names = [[k] if isinstance(k, str) else list(k) for k in key_sets]
-    counted = hash_counts(df, names)
-    again = F.when(F.col("n") > 1, F.col("hash")).alias("hash")
-    first = saved(
-        counted.groupBy("rule", "nulls", again).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("hashes")), "hashes"
-    )
-    zero = F.lit(0).cast("long")
-    part = lambda rows=zero, null=zero, some=zero, once=zero, keys=zero, repeated=zero: [
-        c.cast("long").alias(n) for c, n in zip((rows, null, some, once, keys, repeated), _COUNTS)
-    ]
-    n, nulls = F.col("n"), F.col("nulls")
-    single = F.col("hash").isNull() & (nulls != NONE)
-    from_first = first.select(
-        "rule",
-        *part(n, F.when(nulls == NONE, n).otherwise(zero), F.when(nulls == PART, n).otherwise(zero),
-              F.when(single, F.col("hashes")).otherwise(zero)),
-    )
-    met = first.filter(F.col("hash").isNotNull()).select("rule", "nulls", "hash")
-    keys = _rules(df, names, True).join(met, ["rule", "nulls", "hash"]).groupBy("rule", "nulls", "key").agg(F.count(F.lit(1)).alias("n"))
-    repeated = (n > 1) & (nulls == FULL)
-    from_keys = keys.select(
-        "rule",
-        *part(once=F.when(n == 1, F.lit(1)).otherwise(zero), keys=F.when(repeated, F.lit(1)).otherwise(zero),
-              repeated=F.when(repeated, n).otherwise(zero)),
-    )
     labels = df.sparkSession.createDataFrame([(i, ",".join(k)) for i, k in enumerate(names)], "rule int, key string")
-    everything = labels.select("rule", *part()).unionByName(from_first).unionByName(from_keys)
+    everything = labels.select("rule", *[F.lit(0).cast("long").alias(c) for c in _COUNTS])
+    for i, k in enumerate(names):
+        for frame in _of_key(df, k, i):
+            everything = everything.unionByName(frame)
     return everything.groupBy("rule").agg(*[F.sum(c).alias(c) for c in _COUNTS]).join(labels, "rule").select("key", *_COUNTS)
 
 

@@ -100,6 +100,33 @@ def test_hashes_that_clash_change_nothing(spark, monkeypatch):
     assert got == {"id": (200, 0, 0), "half": (0, 100, 200), "some": (149, 1, 51)}
 
 
+def test_long_texts_whose_hashes_clash(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(keys.F, "xxhash64", lambda c: F.pmod(F.hash(c), F.lit(7)).cast("long"))
+    rng = random.Random(8)
+    texts = [None, "", "é" * 16, "é" * 17, "x" * 32, "x" * 33, *["y" * 40 + str(i) for i in range(30)], *[str(i) for i in range(30)]]
+    rows = [(rng.choice([None, 1, 2]), rng.choice(texts)) for _ in range(150)]
+    df = spark.createDataFrame(rows, "a int, b string").withColumn("c", F.encode("b", "UTF-8"))
+    got = {r["key"]: tuple(r)[1:] for r in keys.key_summary(df, ["b", "c", ["a", "b"], ["c", "a"]]).collect()}
+    for name, whole in {"b": [r[1:] for r in rows], "c": [r[1:] for r in rows], "a,b": rows, "c,a": rows}.items():
+        counts = Counter(whole)
+        nulls = sum(all(v is None for v in k) for k in whole)
+        repeated = [n for k, n in counts.items() if None not in k and n > 1]
+        once = sum(n == 1 and any(v is not None for v in k) for k, n in counts.items())
+        assert got[name] == (150, nulls, sum(None in k for k in whole) - nulls, once, len(repeated), sum(repeated)), name
+
+
+def test_keys_without_long_texts_are_moved_once(spark):
+    df = spark.range(50_000).selectExpr("id div 2 AS k", "id % 3 AS l", "'d' || id % 5 AS s").repartition(4)
+    found = keys.key_summary(df, [["k", "l"], ["k", "s"], "k"])
+    assert {r["key"]: r["once"] for r in found.collect()} == {"k,l": 50_000, "k,s": 50_000, "k": 0}
+    # Numbers are grouped as numbers: no join with repeated hashes, no key as a text.
+    plain = keys.key_summary(df, [["k", "l"], "k"])
+    plan = plain._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join") == 1 and "xxhash64" not in plan and "concat" not in plan
+
+
 def test_empty_table_and_unfit_types(spark):
     df = spark.createDataFrame([], "a int, b array<int>")
     assert [tuple(r) for r in keys.key_summary(df, ["a"]).collect()] == [("a", 0, 0, 0, 0, 0, 0)]
