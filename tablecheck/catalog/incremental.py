@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import states as st
 from ..operators.windows import union_frames
 from ..sources.footers import table_summary
-from ..sources.scratch import scratch_path
+from ..sources.scratch import saved, scratch_path
 from .data import portable, query, table
 
 STATE_METRICS = """SELECT 'Size' AS name, '*' AS instance, CAST(count(*) AS DOUBLE) AS value FROM orders
@@ -55,19 +55,30 @@ def states_by_sketch(spark, d):
     asked = [
         st.approx_distinct("o_custkey"), st.approx_distinct("o_orderkey"), st.approx_quantile("o_totalprice", 0.5), st.approx_quantile("o_totalprice", 0.9),
     ]
-    found = st.metrics_from_states(st.metric_states(orders, asked, "quarter"))
-    exact = orders.agg(
-        F.count_distinct("o_custkey").alias("o_custkey"), F.count_distinct("o_orderkey").alias("o_orderkey"),
-        *[F.percentile("o_totalprice", p).alias(f"p{int(100 * p)}") for p in (0.48, 0.52, 0.88, 0.92)],
-    )
-    both = found.withColumn("one", F.lit(1)).join(exact.withColumn("one", F.lit(1)), "one")
+    found = saved(st.metrics_from_states(st.metric_states(orders, asked, "quarter")), "found")
+    distinct = orders.agg(F.count_distinct("o_custkey").alias("o_custkey"), F.count_distinct("o_orderkey").alias("o_orderkey"))
+    near = _near_ranks(orders, found, "o_totalprice", {"ApproxQuantile-0.5": (0.48, 0.52), "ApproxQuantile-0.9": (0.88, 0.92)})
+    both = found.withColumn("one", F.lit(1)).join(distinct.withColumn("one", F.lit(1)), "one").join(near, "name", "left")
     share = F.when(F.col("instance") == "o_custkey", F.col("o_custkey")).otherwise(F.col("o_orderkey"))
-    near = (
-        F.when(F.col("name") == "ApproxCountDistinct", F.abs(F.col("value") / share - 1) < 0.05)
-        .when(F.col("name") == "ApproxQuantile-0.5", F.col("value").between(F.col("p48"), F.col("p52")))
-        .otherwise(F.col("value").between(F.col("p88"), F.col("p92")))
+    close = F.when(F.col("name") == "ApproxCountDistinct", F.abs(F.col("value") / share - 1) < 0.05).otherwise(F.col("near"))
+    return both.select("name", "instance", close.alias("near"))
+
+
+def _near_ranks(df, found, col, ranks):
+    """Whether each value in ``found`` lies between the exact, interpolated quantiles of two ranks: ``name``, ``near``.
+
+    The values below it and up to it are counted, which merges map-side, where a
+    quantile itself would need all distinct values in one task. Value number k of
+    n, from 0, is at most the quantile of rank p exactly if k <= p * (n - 1).
+    """
+    asked = found.filter(F.col("name").isin(list(ranks))).select("name", "value")
+    counted = df.select(F.col(col).alias("x")).join(F.broadcast(asked)).groupBy("name").agg(
+        F.count("x").alias("n"), F.count_if(F.col("x") < F.col("value")).alias("below"),
+        F.count_if(F.col("x") <= F.col("value")).alias("upto"), F.first("value").alias("value"),
     )
-    return both.select("name", "instance", near.alias("near"))
+    last, at = F.col("n") - 1, {i: F.element_at(F.create_map(*[F.lit(x) for n, r in ranks.items() for x in (n, r[i])]), F.col("name")) for i in (0, 1)}
+    inside = (F.col("below") <= last * at[1]) & (F.col("upto") - 1 >= last * at[0])
+    return counted.select("name", F.when(F.col("value").isNotNull() & (F.col("n") > 0), inside).alias("near"))
 
 
 @query(

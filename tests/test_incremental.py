@@ -1,14 +1,19 @@
 """States that merge and answers from footers."""
 
 import datetime as dt
+import os
 import random
 
 import pytest
 
+from tablecheck.catalog import QUERIES
+from tablecheck.catalog.incremental import _near_ranks
 from tablecheck.operators import metrics as m
 from tablecheck.operators import states as st
 from tablecheck.sources.footers import footer_reads, table_summary
 
+SF_DIR = "/root/testdata/sf0.001"
+
 
 @pytest.fixture(scope="module")
 def trips_by_day(spark):
@@ -77,3 +82,23 @@ def test_footers_of_an_empty_table(spark, tmp_path):
     path = str(tmp_path / "none")
     spark.createDataFrame([], "k long, s string").write.parquet(path)
     assert tuple(table_summary(spark, path, ["k", "s"]).first()) == (0, None, None, None, None)
+
+
+def test_ranks_counted_equal_interpolated_quantiles(spark):
+    for seed, size in enumerate((1, 2, 3, 50, 51, 100)):
+        rng = random.Random(seed)
+        values = [float(rng.randint(0, size)) for _ in range(size)] + [None]
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        low, high = df.selectExpr("percentile(x, 0.4)", "percentile(x, 0.6)").first()
+        ranks = {f"q{i}": (0.4, 0.6) for i in range(size)}
+        found = spark.createDataFrame([(f"q{i}", values[i]) for i in range(size)] + [("other", 1.0)], "name string, value double")
+        near = {r["name"]: r["near"] for r in _near_ranks(df, found, "x", ranks).collect()}
+        assert near == {f"q{i}": low <= values[i] <= high for i in range(size)}, size
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="the given tables are not here")
+def test_sketches_are_held_against_counts(spark):
+    """An exact quantile would bring all distinct values into one task."""
+    df = QUERIES["states_by_sketch"](spark, SF_DIR)
+    assert "percentile(" not in df._jdf.queryExecution().executedPlan().toString()
+    assert [r["near"] for r in df.collect()] == [True] * 4
