@@ -17,7 +17,7 @@ import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import Broadcast, cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +44,11 @@ def _braces(chunk: str) -> tuple[list[int], int]:
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, str]]:
     for batch in batches:
-        yield from zip(*[batch.column(i).to_pylist() for i in range(3)])
+        # Paths are long and the same in most rows, so each is made a text once.
+        files = batch.column(0).dictionary_encode()
+        names = files.dictionary.to_pylist()
+        for file, start, chunk in zip(files.indices.to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            yield names[file], start, chunk
 
 
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,7 +101,9 @@ def _first_brace(chunk: str, inside: int) -> int:
     return next((m.start() - inside for m in _STRING_OR_BRACE.finditer('"' * inside + chunk) if m[0] == "{"), -1)
 
 
-def _elements(states: dict[tuple[str, int], tuple[int, int, int]]):
+def _elements(states: Broadcast):
+    """``states`` are those of all splits, loaded once per worker and not once per split."""
+
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple[int, str]] = []
         at, inside, depth, owner = None, 0, 0, 0
@@ -118,7 +124,7 @@ def _elements(states: dict[tuple[str, int], tuple[int, int, int]]):
             if (file, start) != at:
                 piece()
                 at = (file, start)
-                inside, depth, owner = states[at]
+                inside, depth, owner = states.value[at]
             size += len(chunk)
             if depth == 0:
                 # Between elements, or in one that is no object.
@@ -170,7 +176,7 @@ def read_json_array(
         )
         states = _states(cut.mapInArrow(_sums, _SUMS).collect())
         target = scratch_path(spark, "elements")
-        cut.mapInArrow(_elements(states), _OUT).write.partitionBy("kind").text(target)
+        cut.mapInArrow(_elements(spark.sparkContext.broadcast(states)), _OUT).write.partitionBy("kind").text(target)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     places = []

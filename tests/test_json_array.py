@@ -4,7 +4,9 @@ import json
 import random
 
 import pytest
+from pyspark import cloudpickle
 
+from tablecheck.sources import json_array
 from tablecheck.sources.json_array import read_json_array
 
 TEXTS = ["", "plain", "},{", '"', '\\"}', "\\", "a{b}c", "[{", "line\nbreak", "\t}", "}\\\\", "é€😀}", '{"a": "}"}', "}" * 7, "NaN"]
@@ -63,3 +65,13 @@ def test_nothing_but_empty_arrays(spark, tmp_path):
     df = read_json_array(spark, str(tmp_path / "e.json"), "id int")
     assert df.columns == ["id"] and df.count() == 0
     assert read_json_array(spark, str(tmp_path / "e.json")).count() == 0
+
+
+def test_what_a_task_gets_does_not_grow_with_the_splits(spark, tmp_path, monkeypatch):
+    path = tmp_path / "a.json"
+    path.write_text(json.dumps([{"id": i, "t": "},{"} for i in range(400)]))
+    sizes, made = [], json_array._elements
+    monkeypatch.setattr(json_array, "_elements", lambda states: sizes.append(len(cloudpickle.dumps(made(states)))) or made(states))
+    for split in (5000, 50):
+        assert read_json_array(spark, str(path), "id int, t string", split_bytes=split).count() == 400
+    assert sizes[1] < sizes[0] + 200
