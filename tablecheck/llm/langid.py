@@ -212,8 +212,9 @@ def fit(docs: DataFrame, sample: int = SAMPLE, text: str = "text", lang: str = "
     at, bucket, weight = parts[0].offsets.to_numpy(), parts[0].values.to_numpy(), parts[1].values.to_numpy()
     langs = sorted(set(names))
     order = sorted(range(len(names)), key=lambda k: (got["id"][k].as_py(), names[k], at[k + 1] - at[k]))
+    # Slices of what came from Spark, not copies: the driver holds the sample once.
     return train(
-        [bucket[at[k] : at[k + 1]].astype(np.int64) for k in order],
+        [bucket[at[k] : at[k + 1]] for k in order],
         [weight[at[k] : at[k + 1]] for k in order],
         np.array([langs.index(names[k]) for k in order]),
         langs,
