@@ -54,7 +54,7 @@ END = "\n"  # no word holds white space
 BLOCK_BYTES = 4 << 20
 COUNTED = "word string, n long"
 CHANGES = "piece int, weights binary, met binary"
-SCORED = "row long, doc_id long, word string, n long, s double, tokens long, known long, base double"
+SCORED = "row long, word string, n long, s double, whole struct<doc_id: long, tokens: long, known: long, base: double>"
 
 
 class Tokens(NamedTuple):
@@ -146,48 +146,98 @@ class Model(NamedTuple):
         return np.where(found >= 0, found // SLOTS, of_class), np.where(found >= 0, found % SLOTS, -1)
 
 
-def _logits(table: np.ndarray, features: tuple[np.ndarray, ...], bias: np.ndarray) -> np.ndarray:
-    """The sum of a row of the table for each feature and of the bias."""
-    # Rows are known to exist, so "clip" spares a check of each.
-    total = table.take(features[0], axis=0, mode="clip")
-    for feature in features[1:]:
-        total += table.take(feature, axis=0, mode="clip")
-    total += bias
-    return total
+#: Rows of logits that are worked on at once, so that they stay in the cache of a core.
+ROWS = 2048
 
 
-#: Sums of exponentials below this may have lost their terms to underflow.
-LEAST_SUM = 1e-25
+def _logits(
+    table: np.ndarray, features: tuple[np.ndarray, ...], bias: np.ndarray, of_row: np.ndarray | None = None
+) -> Iterator[tuple[slice, np.ndarray]]:
+    """Slices of rows with their logits: the sum of a row of the table for each feature and of the bias, or its row ``of_row``."""
+    for low in range(0, len(features[0]), ROWS):
+        part = slice(low, low + ROWS)
+        # Rows are known to exist, so "clip" spares a check of each.
+        total = table.take(features[0][part], axis=0, mode="clip")
+        for feature in features[1:]:
+            total += table.take(feature[part], axis=0, mode="clip")
+        total += bias if of_row is None else bias.take(of_row[part], axis=0, mode="clip")
+        yield part, total
+
+
+#: Sums of exponentials beyond these may have lost their terms to underflow, or overflown.
+SUMS = (1e-25, 1e30)
 
 
 def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Exponentials of the logits less a level, their sum per row, and the level of each row."""
     ones = np.ones(logits.shape[1], logits.dtype)
-    # One level for all rows spares a maximum of each; rows far below it get their own.
-    top = logits.dtype.type(logits.max(initial=0))
-    level = np.full(len(logits), top)
-    raised = logits - top
-    np.exp(raised, out=raised)
-    total = raised @ ones
-    low = np.flatnonzero(total < LEAST_SUM)
-    if len(low):
-        level[low] = logits[low].max(axis=1)
-        raised[low] = np.exp(logits[low] - level[low, None])
-        total[low] = raised[low] @ ones
+    # Most rows need no level, which spares their maximum and a subtraction.
+    with np.errstate(over="ignore"):
+        raised = np.exp(logits)
+    total, level = raised @ ones, np.zeros(len(logits), logits.dtype)
+    odd = np.flatnonzero(~((total > SUMS[0]) & (total < SUMS[1])))
+    if len(odd):
+        level[odd] = logits[odd].max(axis=1)
+        raised[odd] = np.exp(logits[odd] - level[odd, None])
+        total[odd] = raised[odd] @ ones
     return raised, total, level
 
 
-def _softmax(logits: np.ndarray) -> np.ndarray:
-    """Probabilities."""
-    raised, total, _ = _exponentials(logits)
-    raised *= (1 / total)[:, None]
-    return raised
+def _softmax(logits: Iterator[tuple[slice, np.ndarray]], n: int, width: int) -> np.ndarray:
+    """Probabilities of all ``n`` rows."""
+    out = np.empty((n, width), np.float32)
+    for part, some in logits:
+        raised, total, _ = _exponentials(some)
+        np.multiply(raised, (1 / total)[:, None], out=out[part])
+    return out
 
 
-def _normaliser(logits: np.ndarray) -> np.ndarray:
-    """The logarithm of the sum of the exponentials of each row."""
-    _, total, level = _exponentials(logits)
-    return np.log(total) + level
+class Raised(NamedTuple):
+    """A table of weights and one of biases, with their exponentials, whose products need no exponential of each row."""
+
+    table: np.ndarray
+    bias: np.ndarray
+    of_table: np.ndarray
+    of_bias: np.ndarray
+
+    @classmethod
+    def of(cls, table: np.ndarray, bias: np.ndarray) -> Raised:
+        with np.errstate(over="ignore"):
+            return cls(table, bias, np.exp(table), np.exp(bias))
+
+    def log_sums(self, features: tuple[np.ndarray, ...], of_row: np.ndarray | None = None) -> np.ndarray:
+        """The logarithm of the sum of the exponentials of each row's logits; see ``_logits``."""
+        out = np.empty(len(features[0]))
+        for low in range(0, len(out), ROWS):
+            part = slice(low, low + ROWS)
+            with np.errstate(all="ignore"):
+                product = self.of_table.take(features[0][part], axis=0, mode="clip")
+                for feature in features[1:]:
+                    product *= self.of_table.take(feature[part], axis=0, mode="clip")
+                if of_row is None:
+                    total = product @ self.of_bias
+                else:
+                    total = np.einsum("ij,ij->i", product, self.of_bias.take(of_row[part], axis=0, mode="clip"))
+                out[part] = np.log(total)
+            odd = low + np.flatnonzero(~((total > SUMS[0]) & (total < SUMS[1])))
+            if len(odd):
+                for some, logits in _logits(self.table, tuple(f[odd] for f in features), self.bias, None if of_row is None else of_row[odd]):
+                    _, total, level = _exponentials(logits)
+                    out[odd[some]] = np.log(total) + level
+        return out
+
+    def weights(self, features: tuple[np.ndarray, ...], column: np.ndarray) -> np.ndarray:
+        """The sum of the weights of each row in its column."""
+        flat, width = self.table.ravel(), self.table.shape[1]
+        return sum(flat.take(f * width + column, mode="clip") for f in features)
+
+
+def raised_tables(model: Model) -> tuple[Raised, Raised, Raised]:
+    """Of the classes, the slots and the tree, whose biases are numbered through all depths."""
+    return (
+        Raised.of(model.classes, model.class_bias), Raised.of(model.slots, model.slot_bias),
+        Raised.of(model.tree, np.concatenate(model.tree_bias)),
+    )
 
 
 def _bucket(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -208,87 +258,115 @@ def _slot_features(tokens: Tokens, part: np.ndarray, of_class: np.ndarray, table
     )
 
 
-def _branchings(
-    model: Model, tokens: Tokens, part: np.ndarray, of_class: np.ndarray, table: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, ...], np.ndarray]:
-    """Where the tokens of ``part`` (tail words) pass a branching: their places in ``part``, biases, features and branches.
+class Paths(NamedTuple):
+    """The branchings that the words of a block pass, one word behind another: where each word's start, biases, hashes and branches.
 
     Where at most one branch holds words there is nothing to choose.
     """
-    n, own = len(table) // 2, tokens.own[tokens.codes[part]]
-    ats, places, biases, branches = [], [], [], []
-    for depth, (bias, fork) in enumerate(zip(model.tree_bias, model.tree_forks)):
-        leaf = tree_leaves(of_class, own, depth + 1)
-        # Sixteen slots are four bits.
-        nodes = leaf >> 4
-        at = np.flatnonzero(fork[nodes])
-        node = nodes[at]
-        ats.append(at)
-        places.append(mix(node.astype(np.uint64) + np.uint64((depth + 1) << 40)))
-        biases.append(bias[node])
-        branches.append(leaf[at] & (SLOTS - 1))
-    at, place = np.concatenate(ats), np.concatenate(places)
-    token = part[at]
+
+    starts: np.ndarray
+    bias: np.ndarray
+    place: np.ndarray
+    branch: np.ndarray
+
+
+def _paths(model: Model, own: np.ndarray, of_class: np.ndarray, slot: np.ndarray) -> Paths:
+    """Rows of biases are numbered through all depths."""
+    tail, depth = np.flatnonzero(slot < 0), len(model.tree_forks)
+    # Sixteen slots are four bits, so the branches on the way to a leaf are its digits.
+    leaf, up = tree_leaves(of_class[tail], own[tail], depth)[:, None], 4 * np.arange(depth, 0, -1)
+    nodes, before = leaf >> up, np.cumsum([0, *map(len, model.tree_forks[:-1])])
+    rows = nodes + before
+    passes = np.concatenate(model.tree_forks)[rows]
+    size = np.zeros(len(own), np.int64)
+    size[tail] = passes.sum(axis=1)
+    places = nodes.astype(np.uint64) + (np.arange(1, depth + 1, dtype=np.uint64) << np.uint64(40))
+    return Paths(np.concatenate([[0], np.cumsum(size)]), rows[passes], mix(places[passes]), (leaf >> (up - 4) & (SLOTS - 1))[passes])
+
+
+def _branchings(
+    paths: Paths, tokens: Tokens, part: np.ndarray, table: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, ...], np.ndarray]:
+    """Where the tokens of ``part`` pass a branching: their places in ``part``, rows of biases, features and branches."""
+    n, code = len(table) // 2, tokens.codes[part]
+    first = paths.starts[code]
+    size = paths.starts[code + 1] - first
+    ends = np.cumsum(size)
+    at = np.repeat(np.arange(len(part)), size)
+    path = np.repeat(first - (ends - size), size) + np.arange(len(at))
+    token, place = part[at], paths.place[path]
     features = tuple(
         _bucket(mix(h[token] ^ place), n) + k * n for k, h in enumerate((tokens.one, tokens.two))
     )
-    return at, np.concatenate(biases), features, np.concatenate(branches)
+    return at, paths.bias[path], features, paths.branch[path]
 
 
-def log_probabilities(model: Model, tokens: Tokens, of_class: np.ndarray, slot: np.ndarray) -> np.ndarray:
+def log_probabilities(
+    model: Model, tokens: Tokens, of_class: np.ndarray, slot: np.ndarray, raised: tuple[Raised, Raised, Raised] | None = None
+) -> np.ndarray:
     """Natural logarithm of the class probability of each token, and of the word within a frequent class.
 
     For a tail word it has what the features change in the share of its leaf, so that
-    its smoothed count divided by the size of its class completes it.
+    its smoothed count divided by the size of its class completes it. ``raised`` are
+    the tables of the model, if they are at hand.
     """
     out = np.empty(len(tokens.codes))
+    classes, slots, tree = raised or raised_tables(model)
+    paths = _paths(model, tokens.own, of_class, slot)
     for low in range(0, len(out), STEP_TOKENS):
         part = slice(low, min(low + STEP_TOKENS, len(out)))
-        logits = _logits(model.classes, _features(tokens, part, model.classes), model.class_bias)
-        c = of_class[tokens.codes[part]]
-        out[part] = logits[np.arange(len(c)), c] - _normaliser(logits)
-        s = slot[tokens.codes[part]]
+        c, s = of_class[tokens.codes[part]], slot[tokens.codes[part]]
+        features = _features(tokens, part, model.classes)
+        out[part] = classes.weights(features, c) + model.class_bias[c] - classes.log_sums(features)
         inside = np.flatnonzero(s >= 0)
         if len(inside):
-            own = c[inside]
-            logits = _logits(model.slots, _slot_features(tokens, inside + low, own, model.slots), model.slot_bias[own])
-            out[inside + low] += logits[np.arange(len(own)), s[inside]] - _normaliser(logits)
+            own, place = c[inside], s[inside]
+            features = _slot_features(tokens, inside + low, own, model.slots)
+            out[inside + low] += slots.weights(features, place) + model.slot_bias[own, place] - slots.log_sums(features, own)
         tail = np.flatnonzero(s < 0)
-        if len(tail):
-            at, bias, features, branch = _branchings(model, tokens, tail + low, c[tail], model.tree)
-            logits, each = _logits(model.tree, features, bias), np.arange(len(at))
-            changed = logits[each, branch] - _normaliser(logits) - bias[each, branch]
-            out[tail + low] += np.bincount(at, changed, minlength=len(tail))
+        at, bias, features, branch = _branchings(paths, tokens, tail + low, model.tree)
+        if len(at):
+            # The bias of the branch is in the share already.
+            out[tail + low] += np.bincount(at, tree.weights(features, branch) - tree.log_sums(features, bias), minlength=len(tail))
     return out
 
 
 LONG_RUN = 24
 
 
-def sum_rows(values: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct keys (below 65,536), the sum of the rows of each, and their number.
+def sum_rows(values: np.ndarray, key: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Distinct keys (below 65,536), the sum of the rows of each, and their number; ``ROWS`` keys at a time, so that sums stay in the cache.
 
+    There may be several keys a row: the first of all rows, then the second of all, and so on.
     Keys with many rows are summed one by one as products, the others together,
     first rows first, then all second rows, and so on.
     """
     order = np.argsort(key.astype(np.uint16), kind="stable")
     ordered = key[order]
+    order = np.tile(np.arange(len(values)), len(key) // len(values))[order]
     starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
     size = np.diff(np.append(starts, len(key)))
-    longest_first = np.argsort(-size, kind="stable")
+    # Sixteen bits are sorted by their digits; which of the longest keys comes first does not matter.
+    longest_first = np.argsort((0xFFFF - np.minimum(size, 0xFFFF)).astype(np.uint16), kind="stable")
     starts, size = starts[longest_first], size[longest_first]
-    # The first row of each, then all second rows, and so on; a place beyond a key's rows is never read.
-    total = values.take(order[starts], axis=0, mode="clip")
-    long = int(np.searchsorted(-size, -LONG_RUN, side="right"))
-    ones = np.ones(int(size[0]), values.dtype)
-    for k in range(long):
-        total[k] = ones[: size[k]] @ values.take(order[starts[k] : starts[k] + size[k]], axis=0, mode="clip")
-    lane, some = 1, int(np.searchsorted(-size, -1, side="left"))
-    while some > long:
-        total[long:some] += values.take(order[starts[long:some] + lane], axis=0, mode="clip")
-        lane += 1
-        some = int(np.searchsorted(-size, -lane, side="left"))
-    return ordered[starts], total, size
+    # How many keys have more than so many rows.
+    more = len(size) - np.cumsum(np.bincount(np.minimum(size, LONG_RUN), minlength=LONG_RUN + 1))
+    long = int(more[LONG_RUN - 1])
+    more = more[: LONG_RUN - 1].tolist()
+    ones = np.ones(int(size[:long].max(initial=0)), values.dtype)
+    for low in range(0, len(starts), ROWS):
+        first = starts[low : low + ROWS]
+        # The first row of each, then all second rows, and so on.
+        total = values.take(order[first], axis=0, mode="clip")
+        inside = max(long - low, 0)
+        for k in range(min(inside, len(first))):
+            total[k] = ones[: size[low + k]] @ values.take(order[first[k] : first[k] + size[low + k]], axis=0, mode="clip")
+        for lane in range(1, len(more)):
+            some = min(more[lane] - low, len(first))
+            if some <= inside:
+                break
+            total[inside:some] += values.take(order[first[inside:some] + lane], axis=0, mode="clip")
+        yield ordered[first], total, size[low : low + ROWS]
 
 
 class Trainer:
@@ -297,43 +375,44 @@ class Trainer:
     def __init__(self, model: Model):
         self.model = model
         self.tables = [model.classes.copy(), model.slots.copy(), model.tree.copy()]
+        self.tree_bias = np.concatenate(model.tree_bias)
         self.moved = [np.full(len(t), 1.0, np.float32) for t in self.tables]
         self.met = [np.zeros(len(t), np.float32) for t in self.tables]
 
     def _step(self, which: int, features: tuple[np.ndarray, ...], gradient: np.ndarray) -> None:
         table, moved, met = self.tables[which], self.moved[which], self.met[which]
-        for feature in features:
-            rows, total, size = sum_rows(gradient, feature)
+        # The features have rows of their own, so one step serves all.
+        for rows, change, size in sum_rows(gradient, np.concatenate(features)):
             weights = table.take(rows, axis=0, mode="clip")
-            total += np.float32(DECAY) * weights
+            change += np.float32(DECAY) * weights
             met[rows] += size
-            way = moved[rows] + np.einsum("ij,ij->i", total, total) / total.shape[1]
+            way = moved[rows] + np.einsum("ij,ij->i", change, change) / change.shape[1]
             moved[rows] = way
-            total *= (RATE / np.sqrt(way)).astype(np.float32)[:, None]
-            weights -= total
+            change *= (RATE / np.sqrt(way)).astype(np.float32)[:, None]
+            weights -= change
             table[rows] = weights
 
     def learn(self, tokens: Tokens, of_class: np.ndarray, slot: np.ndarray) -> None:
+        model, (classes, slots, tree) = self.model, self.tables
+        paths = _paths(model, tokens.own, of_class, slot)
         for low in range(0, len(tokens.codes), STEP_TOKENS):
             part = slice(low, min(low + STEP_TOKENS, len(tokens.codes)))
-            features = _features(tokens, part, self.tables[0])
             c, s = of_class[tokens.codes[part]], slot[tokens.codes[part]]
-            gradient = _softmax(_logits(self.tables[0], features, self.model.class_bias))
-            gradient[np.arange(len(c)), c] -= 1
-            self._step(0, features, gradient)
+            self._follow(0, _features(tokens, part, classes), model.class_bias, None, c)
             inside = np.flatnonzero(s >= 0)
             if len(inside):
                 own = c[inside]
-                features = _slot_features(tokens, inside + low, own, self.tables[1])
-                gradient = _softmax(_logits(self.tables[1], features, self.model.slot_bias[own]))
-                gradient[np.arange(len(own)), s[inside]] -= 1
-                self._step(1, features, gradient)
-            tail = np.flatnonzero(s < 0)
-            at, bias, features, branch = _branchings(self.model, tokens, tail + low, c[tail], self.tables[2])
+                self._follow(1, _slot_features(tokens, inside + low, own, slots), model.slot_bias, own, s[inside])
+            at, bias, features, branch = _branchings(paths, tokens, np.flatnonzero(s < 0) + low, tree)
             if len(at):
-                gradient = _softmax(_logits(self.tables[2], features, bias))
-                gradient[np.arange(len(at)), branch] -= 1
-                self._step(2, features, gradient)
+                self._follow(2, features, self.tree_bias, bias, branch)
+
+    def _follow(self, which: int, features: tuple[np.ndarray, ...], bias: np.ndarray, of_row: np.ndarray | None, chosen: np.ndarray) -> None:
+        """A step towards the chosen column of each row."""
+        table = self.tables[which]
+        gradient = _softmax(_logits(table, features, bias, of_row), len(chosen), table.shape[1])
+        gradient.ravel()[np.arange(0, gradient.size, table.shape[1]) + chosen] -= 1
+        self._step(which, features, gradient)
 
     def changes(self) -> Iterator[tuple[int, bytes, bytes]]:
         """Changes of all rows, at half precision as every task sends them, and how often they were met, in ``PIECES`` pieces per table."""
@@ -511,26 +590,23 @@ def fit(train: DataFrame, counts: DataFrame, text: str = "text", doc_id: str = "
 def _scorer(model: Model):
     """Rows of the word ``\\t`` and the row number for a document as a whole, and of each of its rare words.
 
-    The former carry what frequent words add; the latter wait for the count of the word.
+    The former carry what frequent words add; the latter, which are most, wait for the count of the word.
     """
     ln10, seen, end_count = math.log(10), math.log10(max(1 - model.unseen, 1e-300)), float(model.ends)
-
-    def rows_of(row, doc, word, n, s, tokens, known, base) -> pa.RecordBatch:
-        whole = lambda v: pa.array(np.asarray(v).astype(np.int64))
-        real = lambda v: pa.array(np.asarray(v).astype(np.float64))
-        return pa.RecordBatch.from_arrays(
-            [whole(row), doc, word, whole(n), real(s), whole(tokens), whole(known), real(base)],
-            [c.split()[0] for c in SCORED.split(", ")],
-        )
+    names = [c.split()[0] for c in SCORED.split(", ")[:5]]
+    fields = [("doc_id", pa.int64()), ("tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64())]
+    whole = lambda v: pa.array(np.asarray(v).astype(np.int64))
+    real = lambda v: pa.array(np.asarray(v).astype(np.float64))
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        raised = raised_tables(model)
         for batch in batches:
             row_of, doc_of = batch.column(0).to_numpy(), batch.column(1)
             before = 0
             for block in text_blocks(batch.column(2), BLOCK_BYTES):
                 found = words(block, lower=True)
                 tokens, (of_class, slot) = read_tokens(found), model.places(found.vocab)
-                got = log_probabilities(model, tokens, of_class, slot) / ln10 + seen
+                got = log_probabilities(model, tokens, of_class, slot, raised) / ln10 + seen
                 hot = pc.index_in(found.vocab, value_set=model.hot).fill_null(-1).to_numpy(zero_copy_only=False)
                 hot = np.append(hot, -1)
                 count = np.where(hot >= 0, model.hot_counts[hot] if len(model.hot_counts) else 0.0, 0.0)
@@ -542,23 +618,23 @@ def _scorer(model: Model):
                 log_count = np.log10(count + 0.1)
                 text_of = np.repeat(np.arange(len(block)), np.diff(tokens.starts))
                 fixed = sure[tokens.codes]
-                whole = got + np.where(slot < 0, log_count, 0.0)[tokens.codes]
+                sum_of = got + np.where(slot < 0, log_count, 0.0)[tokens.codes]
                 add = lambda v: np.bincount(text_of[fixed], v[fixed], minlength=len(block))
-                score, base, known = add(whole), add(log_count[tokens.codes]), add(np.ones(len(whole)))
+                score, base, known = add(sum_of), add(log_count[tokens.codes]), add(np.ones(len(sum_of)))
                 owner = row_of[before : before + len(block)]
-                yield rows_of(
-                    owner, doc_of.slice(before, len(block)), pa.array([f"\t{r}" for r in owner.tolist()], pa.string()),
-                    np.zeros(len(block)), score, np.diff(tokens.starts), known, base,
+                about = [doc_of.slice(before, len(block)), whole(np.diff(tokens.starts)), whole(known), real(base)]
+                yield pa.RecordBatch.from_arrays(
+                    [whole(owner), pa.array([f"\t{r}" for r in owner.tolist()], pa.string()), whole(np.zeros(len(block))), real(score),
+                     pa.StructArray.from_arrays(about, fields=[pa.field(*f) for f in fields])], names,
                 )
                 rare = np.flatnonzero(~fixed)
                 pair, where = np.unique(text_of[rare] * (len(found.vocab) + 1) + tokens.codes[rare], return_inverse=True)
                 if len(pair):
                     text, code = pair // (len(found.vocab) + 1), pair % (len(found.vocab) + 1)
                     word = pa.concat_arrays([found.vocab, pa.array([END], pa.string())]).take(pa.array(code))
-                    zero = np.zeros(len(pair))
-                    yield rows_of(
-                        owner[text], doc_of.slice(before, len(block)).take(pa.array(text)), word, np.bincount(where),
-                        np.bincount(where, got[rare]), zero, zero, zero,
+                    yield pa.RecordBatch.from_arrays(
+                        [whole(owner[text]), word, whole(np.bincount(where)), real(np.bincount(where, got[rare])),
+                         pa.nulls(len(pair), pa.struct(fields))], names,
                     )
                 before += len(block)
 
@@ -581,10 +657,10 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, text: str = "text",
     rare, seen = F.col("n") > 0, F.col("c").isNotNull()
     value = F.when(~rare, F.col("s")).when(seen, F.col("s") + F.col("n") * log_count).otherwise(F.col("n") * F.lit(math.log10(model.unseen)))
     totals = parts.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"),
-        F.sum("tokens").alias("n_tokens"),
-        F.sum(F.col("known") + F.when(rare & seen, F.col("n")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("base") + F.when(rare, F.col("n") * log_count).otherwise(0.0)).alias("base"),
+        F.max("whole.doc_id").alias("doc_id"),
+        F.sum("whole.tokens").alias("n_tokens"),
+        F.sum(F.when(~rare, F.col("whole.known")).when(seen, F.col("n")).otherwise(0)).alias("n_known"),
+        F.sum(F.when(~rare, F.col("whole.base")).otherwise(F.col("n") * log_count)).alias("base"),
         F.sum(value).alias("score"),
     )
     norm = math.log10(model.total + 0.1 * (model.distinct + 1))
