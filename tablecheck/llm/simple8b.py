@@ -29,6 +29,7 @@ COUNTS = (120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 WIDTHS = (0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 STRIDE = 256
 BLOCK_IDS = 1 << 16
+JUMPS = 5
 TEXT_BYTES = 24 << 20
 PIECES = 250_000
 BLOCK = "shard int, block int, first long, n long, escapes int, doc_ids array<long>, counts array<long>, words binary, skips binary"
@@ -36,6 +37,25 @@ BLOCK = "shard int, block int, first long, n long, escapes int, doc_ids array<lo
 _COUNT_OF = np.array((1, *COUNTS), np.int64)
 
 
+def chain_from_zero(step: np.ndarray) -> np.ndarray:
+    """The places 0, ``step[0]``, and so on, each a step of the last place further, below the number of steps."""
+    n = len(step)
+    after = np.append(np.minimum(np.arange(n) + step, n), n)
+    # Places after 1, 2, 4, ... steps; only every 2 ** JUMPS-th place is looked up by itself.
+    jumps = [after]
+    for _ in range(JUMPS):
+        jumps.append(jumps[-1][jumps[-1]])
+    at, far = 0, []
+    while at < n:
+        far.append(at)
+        at = jumps[-1].item(at)
+    places = np.array(far, np.int64)[:, None]
+    for jump in jumps[-2::-1]:
+        places = np.stack([places, jump[places]], axis=2).reshape(len(far), 2 * places.shape[1])
+    places = places.ravel()
+    return places[places < n]
+
+
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """The words, the skips, and the number of escapes."""
     n = len(ids)
@@ -53,11 +73,7 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
             more = min(have, count - have)
             fits, have = fits[:-more] & fits[more:], have + more
         chosen[fits[:n]] = selector
-    step, starts, at = _COUNT_OF[chosen].tolist(), [], 0
-    while at < n:
-        starts.append(at)
-        at += step[at]
-    starts = np.array(starts, np.int64)
+    starts = chain_from_zero(_COUNT_OF[chosen])
     selector = chosen[starts] if n else np.zeros(0, np.uint8)
     target = np.arange(len(starts)) + np.concatenate([[0], np.cumsum(selector == 0)])[: len(starts)]
     words = np.zeros(len(starts) + int((selector == 0).sum()), np.uint64)
